@@ -14,12 +14,11 @@ def collapse_spaces(text: Column) -> Column:
 def outermost_json(text: Column) -> Column:
     """From the first ``{`` to the last ``}``; NULL when there is no such span.
 
-    Found by position: a pattern would rescan the rest of the text for every ``{``.
+    Tied to the start of the text, the pattern is tried once; on its own, ``{.*}`` would scan
+    the rest of the text again for every ``{``.
     """
-    first = F.instr(text, "{")
-    last = F.length(text) - F.instr(F.reverse(text), "}") + 1
-    found = (first > 0) & F.contains(text, F.lit("}")) & (last > first)
-    return F.when(found, F.substring(text, first, last - first + 1))
+    span = F.regexp_extract(text, r"(?s)\A[^{]*+(\{.*\})", 1)
+    return F.nullif(span, F.lit(""))
 
 
 def document_json(text: Column) -> Column:

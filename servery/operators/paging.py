@@ -64,4 +64,4 @@ class Listing:
     def last_page(self) -> DataFrame:
         """The last page, read from the stored listing."""
         pages = -(-self._run.total // self._size)
-        return self._run.slice((pages - 1) * self._size, self._size)
+        return self._run.slice(max(pages - 1, 0) * self._size, self._size)

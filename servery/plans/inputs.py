@@ -11,12 +11,30 @@ from pyspark.sql import functions as F
 from servery.schemas import ADDRESS, MENU_ITEMS, ORDERS, RESTAURANTS, USERS, conform
 
 
+# Columns of the source tables that are read here, in the types they are stored in.
+SOURCE = {
+    "nation": "n_nationkey int, n_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SOURCE[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _restaurant_count(self) -> Column:
         return self.table("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()

@@ -95,7 +95,7 @@ def _replayed(inputs: Inputs, rows: DataFrame, key: str, running, schema, stats_
     job = start_file_changelog(
         running(messages), f"{root}/changelog", f"{root}/checkpoint", availableNow=True
     )
-    await_all(session, [job])
+    await_all([job])
     changelog = read_file_changelog(spark, f"{root}/changelog", schema)
     return compact_changelog(changelog, stats_key, FILE_SEQUENCE)
 
@@ -256,13 +256,8 @@ def typecast_orders(inputs: Inputs) -> DataFrame:
 @query
 def publish_orders(inputs: Inputs) -> DataFrame:
     messages = keyed_messages(inputs.orders(), "order_id")
-    decoded = F.from_json("value", ORDER_EVENT)
-    return messages.select(
-        "key",
-        decoded["order_id"].alias("order_id"),
-        decoded["order_datetime"].alias("order_datetime"),
-        decoded["total_cost"].alias("total_cost"),
-    )
+    decoded = decode_messages(messages, ORDER_EVENT, "key")
+    return decoded.select("key", "order_id", "order_datetime", "total_cost")
 
 
 # --- text and documents ------------------------------------------------------------------

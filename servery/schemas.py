@@ -117,6 +117,11 @@ RESTAURANT_DOCUMENT = _struct(
 NAME_LIST = _struct(restaurant_names=ArrayType(_text))
 
 
+def fields(schema: StructType, *names: str) -> StructType:
+    """The named fields of a schema."""
+    return StructType([schema[name] for name in names])
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the schema's columns in order and type; absent columns become NULL.
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from servery.functions.payload import decode
+from servery.sources.streams import decode_messages
 
 # The column that orders the rows of one key: micro-batch number, or offset in the topic.
 FILE_SEQUENCE = "batch_id"
@@ -35,6 +34,4 @@ def read_kafka_changelog(
     """
     options = {"startingOffsets": "earliest", "endingOffsets": "latest", **options}
     messages = spark.read.format("kafka").option("subscribe", topic).options(**options).load()
-    return messages.select(
-        decode(F.col("value"), schema).alias("data"), F.col("offset").alias(KAFKA_SEQUENCE)
-    ).select("data.*", KAFKA_SEQUENCE)
+    return decode_messages(messages, schema, KAFKA_SEQUENCE)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from servery.functions.payload import decode
+from servery.functions.payload import decode, with_parsed
 
 
 def topic_stream(
@@ -26,6 +26,8 @@ def topic_stream(
     return stream.select(F.col("value").cast("string").alias("value"))
 
 
-def decode_messages(messages: DataFrame, schema: StructType) -> DataFrame:
-    """Message texts to the schema's columns. Works on streams and on batches."""
-    return messages.select(decode(F.col("value"), schema).alias("data")).select("data.*")
+def decode_messages(messages: DataFrame, schema: StructType, *keep: str) -> DataFrame:
+    """Message texts to the schema's columns, after the columns to keep. Works on streams and
+    on batches; each text is parsed once, whatever is selected or filtered later."""
+    parsed = with_parsed(messages, decode(F.col("value"), schema), "_data")
+    return parsed.select(*keep, "_data.*")

@@ -8,40 +8,53 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from servery.operators.aggregates import item_counts, restaurant_stats
 from servery.operators.latest import compact_changelog
 from servery.operators.quality import Split, amount_out_of_range, check_messages, split
 from servery.operators.topk import top_k
-from servery.schemas import ORDER_EVENT, ORDER_ITEM_EVENT
+from servery.schemas import ORDER_EVENT, ORDER_ITEM_EVENT, fields
 from servery.sinks.changelog import start_file_changelog
 from servery.sources.changelog import FILE_SEQUENCE, read_file_changelog
 
 
-def order_events(messages: DataFrame, key: str = "restaurant_name") -> Split:
-    """Typed order events, and the messages that cannot be counted."""
+def order_events(
+    messages: DataFrame, key: str = "restaurant_name", schema: StructType = ORDER_EVENT
+) -> Split:
+    """Typed order events, and the messages that cannot be counted under ``key``."""
     checked = check_messages(
         messages,
-        ORDER_EVENT,
+        schema,
         required=[key],
         checks={"amount_out_of_range": amount_out_of_range("total_cost")},
     )
     return split(checked)
 
 
-def order_item_events(messages: DataFrame) -> Split:
-    return split(check_messages(messages, ORDER_ITEM_EVENT, required=["fk_menu_item"]))
+def order_item_events(messages: DataFrame, schema: StructType = ORDER_ITEM_EVENT) -> Split:
+    return split(check_messages(messages, schema, required=["fk_menu_item"]))
+
+
+def _counted_orders(messages: DataFrame, key: str) -> Split:
+    """Only the fields the statistics need are parsed out of a message."""
+    return order_events(messages, key, fields(ORDER_EVENT, key, "total_cost", "cust_restaurant_rating"))
+
+
+def _counted_items(messages: DataFrame) -> Split:
+    return order_item_events(messages, fields(ORDER_ITEM_EVENT, "fk_menu_item", "item_quantity"))
 
 
 def running_restaurant_stats(messages: DataFrame, key: str = "restaurant_name") -> DataFrame:
-    return restaurant_stats(order_events(messages, key).usable, key)
+    return restaurant_stats(_counted_orders(messages, key).usable, key)
 
 
 def running_item_counts(messages: DataFrame) -> DataFrame:
-    return item_counts(order_item_events(messages).usable)
+    return item_counts(_counted_items(messages).usable)
 
 
 def start_quarantine(
@@ -100,8 +113,8 @@ class OrderStatsJob:
             ),
         ]
         if quarantine:
-            bad = order_events(order_messages, key).quarantined.select("value", "reason")
-            bad_items = order_item_events(item_messages).quarantined.select("value", "reason")
+            bad = _counted_orders(order_messages, key).quarantined
+            bad_items = _counted_items(item_messages).quarantined
             for topic, messages in {"orders": bad, "order_items": bad_items}.items():
                 queries.append(
                     start_quarantine(
@@ -114,17 +127,16 @@ class OrderStatsJob:
         return queries
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+def await_all(queries: list[StreamingQuery]) -> None:
     """Wait until every query has ended. The first to fail stops the others and is raised:
-    waiting for them one after the other would not see a failure in a later one."""
+    waiting for one to end before looking at the next would not see a failure in a later one."""
     try:
         while any(query.isActive for query in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
+            for query in queries:
+                query.awaitTermination(1)
         for query in queries:
-            if query.exception() is not None:
-                raise query.exception()
-    except Exception:
+            query.awaitTermination()
+    except StreamingQueryException:
         for query in queries:
             query.stop()
         raise

@@ -1,0 +1,143 @@
+"""Column functions on hand-written values."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from servery.functions.dates import days_between, parse_day, plus_seconds
+from servery.functions.money import amount, cents, item_label
+from servery.functions.payload import encode
+from servery.functions.prices import normalized_price
+from servery.functions.text import document_json, numbered_name, outermost_json, parse_document
+
+
+def evaluate(spark, values, expression, dtype="string"):
+    """The expression over column ``x``, in the order of the values."""
+    rows = spark.createDataFrame(list(enumerate(values)), f"i int, x {dtype}")
+    return [row[0] for row in rows.coalesce(1).orderBy("i").select(expression).collect()]
+
+
+PRICES = {
+    "$12": 12.0,
+    "12": 12.0,
+    "12$-20$": 16.0,
+    "$12 - $20": 16.0,
+    "FREE": 0.0,
+    "free": 0.0,
+    "$Free": 0.0,
+    "1-2-3": 1.5,
+    "1e3": 1000.0,
+    ".5": 0.5,
+    "7.": 7.0,
+    "abc": None,
+    "$": None,
+    "": None,
+    "-5": None,
+    " free ": None,
+    "$1,200": None,
+    "1_000": None,
+    "nan": None,
+    "inf": None,
+    "12d": None,
+    "0x1p3": None,
+    None: None,
+}
+
+
+def test_prices(spark):
+    assert evaluate(spark, list(PRICES), normalized_price(F.col("x"))) == list(PRICES.values())
+
+
+TEXTS = {
+    'Here: {"a": 1} bye': '{"a": 1}',
+    'x {"a": {"b": 2}} y': '{"a": {"b": 2}}',
+    "no braces": None,
+    "} then {": None,
+    "only {": None,
+    "only }": None,
+    "{}": "{}",
+    '{"a": 1} and {"b": 2}': '{"a": 1} and {"b": 2}',
+    'pre\n{"a":\n  "two  spaces"}\npost': '{"a":\n  "two  spaces"}',
+    "} {a} {": "{a}",
+    "": None,
+    None: None,
+}
+
+
+def test_outermost_json(spark):
+    assert evaluate(spark, list(TEXTS), outermost_json(F.col("x"))) == list(TEXTS.values())
+
+
+def test_outermost_json_of_a_long_text_without_an_end(spark):
+    assert evaluate(spark, ["{ word " * 60_000], outermost_json(F.col("x"))) == [None]
+
+
+def test_document_json_collapses_spaces_but_not_line_ends(spark):
+    assert evaluate(spark, ['a {"k":   "x  y"\n\n}'], document_json(F.col("x"))) == [
+        '{"k": "x y"\n\n}'
+    ]
+
+
+def test_parse_document_takes_exactly_one_object(spark):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("a string")
+    texts = ['{"a": "1"}', '{"a": 1}', '{"a": 1} {"a": 2}', '{"a": 1}, {"a": 2}', '{"a": 1} x', "{", None]
+    got = evaluate(spark, texts, parse_document(F.col("x"), schema)["a"])
+    assert got == ["1", "1", None, None, None, None, None]
+
+
+LINES = {
+    "1. The Spice Haven": "The Spice Haven",
+    "  12.  Dr. No's  ": "Dr. No's",
+    "3.X\r": "X",
+    "no number": None,
+    "4.": None,
+    "": None,
+}
+
+
+def test_numbered_names(spark):
+    assert evaluate(spark, list(LINES), numbered_name(F.col("x"))) == list(LINES.values())
+
+
+def test_cents_are_exact_and_bounded(spark):
+    values = [12.34, 0.1, 999999999.99, float("nan"), float("inf"), 1e300, None, -1.5, 0.125, 1.005]
+    got = evaluate(spark, values, cents(F.col("x")), "double")
+    assert got == [1234, 10, 99999999999, None, None, None, None, -150, 12, 100]
+
+
+def test_sum_of_cents_has_no_rounding(spark):
+    rows = spark.createDataFrame([(0.1,)] * 10 + [(12.34,), (10.0,)], "x double")
+    assert rows.agg(amount(F.sum(cents(F.col("x"))))).first()[0] == 23.34
+
+
+def test_label_prints_two_decimals(spark):
+    row = spark.sql("SELECT 'Soup' AS name, 12D AS price, 1e7D AS large")
+    got = row.select(item_label("name", F.col("price")), item_label("name", F.col("large"))).first()
+    assert tuple(got) == ("Soup\n$12.00", "Soup\n$10000000.00")
+
+
+def test_days(spark):
+    texts = ["3/8/2024", "03/08/2024", "2024-03-08", "13/1/2024", "", None]
+    day = dt.date(2024, 3, 8)
+    assert evaluate(spark, texts, parse_day(F.col("x"))) == [day, day, None, None, None, None]
+    one = evaluate(spark, ["3/8/2024"], F.size(days_between(parse_day(F.col("x")), parse_day(F.col("x")))))
+    assert one == [1]
+
+
+@pytest.mark.parametrize(
+    ("seconds", "expected"),
+    [(0, dt.datetime(2024, 3, 8)), (61, dt.datetime(2024, 3, 8, 0, 1, 1)), (86400, dt.datetime(2024, 3, 9))],
+)
+def test_plus_seconds(spark, seconds, expected):
+    start = F.lit("2024-03-08").cast("timestamp_ntz")
+    assert evaluate(spark, ["x"], plus_seconds(start, F.lit(seconds))) == [expected]
+
+
+def test_encode_leaves_out_nulls(spark):
+    row = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b, 'c' AS c")
+    assert row.select(encode()).first()[0] == '{"a":1,"c":"c"}'
