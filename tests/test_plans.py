@@ -1,0 +1,204 @@
+"""The plans themselves: what is pushed down, what is shuffled, how hot keys are joined."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from servery.operators import aggregates, joins
+from servery.operators.documents import menu_rows, parse_restaurants
+from servery.operators.ids import assign_ids, sorted_run
+from servery.operators.quality import check_documents, check_messages, usable
+from servery.plans.inputs import Inputs
+from servery.plans.queries import QUERIES
+from servery.schemas import MENU_ITEMS, ORDER_EVENT, ORDERS, USERS
+from servery.sinks.tables import append_new
+from servery.sources.tables import scan_table
+
+
+def plan(df, mode="formatted"):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
+
+
+def executed(df):
+    """The final adaptive plan, after a run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+EAGER = {"restaurant_revenue_stream", "item_counts_stream"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    for node in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups"):
+        assert node not in text
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text
+
+
+@pytest.mark.parametrize("name", ["top10_restaurants", "top10_items", "orders_page"])
+def test_top_k_never_sorts_everything(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_scans_read_only_what_they_need(spark):
+    text = plan(QUERIES["item_counts"](spark, SMALL))
+    assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in text
+    assert "ReadSchema: struct<>" in plan(QUERIES["page_index"](spark, SMALL))
+
+
+def test_predicates_reach_the_scan(spark, tmp_path):
+    users = Inputs(spark, SMALL).users()
+    assert "EqualTo(c_nationkey,3)" in plan(users.where("fk_address = 3"))
+    users.write.parquet(str(tmp_path / "users"))
+    stored = scan_table(spark, str(tmp_path / "users"), USERS, F.col("fk_address") == 3)
+    assert "EqualTo(fk_address,3)" in plan(stored)
+    assert stored.count() == scan_table(spark, str(tmp_path / "users"), where="fk_address = 3").count() > 0
+
+
+def test_aggregates_combine_before_the_shuffle(spark):
+    inputs = Inputs(spark, SMALL)
+    text = plan(aggregates.restaurant_stats_from_tables(inputs.orders(), inputs.restaurants()))
+    assert text.index("partial_sum") >= 0
+    # Orders are summed per restaurant before they meet the restaurants.
+    tree = plan(aggregates.restaurant_stats_from_tables(inputs.orders(), inputs.restaurants()), "simple")
+    join = tree.index("Join")
+    assert "HashAggregate" in tree[join:] and "o_totalprice" not in tree[:join]
+
+
+def test_numbering_has_no_single_task(spark):
+    menu = Inputs(spark, SMALL).menu_items().select("item_id", "item_name")
+    ids = assign_ids(menu, ["item_name", "item_id"], "id", 5)
+    text = plan(ids)
+    assert "SinglePartition" not in text and "Window" not in text
+    assert "Exchange rangepartitioning" not in text  # the stored run is read, not sorted again
+
+
+def test_a_page_of_a_run_reads_by_its_place(spark):
+    menu = Inputs(spark, SMALL).menu_items().select("item_id", "item_name")
+    text = plan(sorted_run(menu, ["item_name", "item_id"]).slice(1500, 10))
+    assert "GreaterThanOrEqual(_slot," in text and "LessThanOrEqual(_slot," in text
+
+
+def test_texts_are_parsed_once(spark):
+    texts = spark.createDataFrame([("{}",)], "text string")
+    parsed = usable(check_documents(parse_restaurants(texts), ["restaurant_name", "foods"]))
+    assert plan(menu_rows(parsed), "simple").count("from_json") == 1
+    messages = texts.withColumnRenamed("text", "value")
+    events = usable(check_messages(messages, ORDER_EVENT, ["restaurant_name"]))
+    assert plan(aggregates.restaurant_stats(events), "simple").count("from_json") == 1
+
+
+# --- hot keys ----------------------------------------------------------------------------
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Shuffled joins, and thresholds at which small fixtures count as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """Orders of 100 restaurants and users, half of them of one."""
+    n = F.col("id")
+    key = F.when(n % 2 == 0, 7).otherwise(n % 100).cast("bigint")
+    orders = spark.range(60_000).repartition(8).select(
+        n.alias("order_id"),
+        key.alias("fk_restaurant"),
+        key.alias("fk_user"),
+        F.lit("2024-03-08").cast("timestamp_ntz").alias("order_datetime"),
+        (n % 1000).cast("double").alias("total_cost"),
+        F.lit(3.0).alias("cust_restaurant_rating"),
+    )
+    return orders.cache()
+
+
+def dimension(spark, key, name):
+    number = F.col("id")
+    return spark.range(100).repartition(2).select(
+        number.alias(key), F.concat(F.lit("N"), number.cast("string")).alias(name)
+    )
+
+
+SKEW = "SortMergeJoin(skew=true)"
+
+
+def test_enrichment_splits_a_hot_restaurant(spark, no_broadcast, hot):
+    result = joins.enrich_orders(hot, dimension(spark, "restaurant_id", "restaurant_name"))
+    assert SKEW in executed(result)
+    assert result.count() == 60_000
+
+
+def test_listing_splits_hot_keys_of_both_lookups(spark, no_broadcast, hot):
+    result = joins.orders_list(
+        hot,
+        dimension(spark, "restaurant_id", "restaurant_name"),
+        dimension(spark, "user_id", "user_fullname"),
+    )
+    assert executed(result).count(SKEW) >= 2
+
+
+def test_menu_lookup_splits_a_hot_restaurant(spark, no_broadcast, hot):
+    number = F.col("id")
+    menu = spark.range(500).repartition(2).select(
+        number.alias("item_id"), (number % 100).alias("fk_restaurant"), number.cast("double").alias("price")
+    )
+    result = joins.order_menus(hot, menu)
+    assert SKEW in executed(result)
+    assert result.where("n_items = 5").count() == 60_000
+
+
+def test_order_totals_split_a_hot_item(spark, no_broadcast, hot):
+    items = hot.select(
+        F.col("fk_restaurant").alias("fk_menu_item"),
+        F.col("order_id").alias("fk_order"),
+        F.lit(2).cast("bigint").alias("item_quantity"),
+    )
+    menu = dimension(spark, "item_id", "item_name").withColumn("price", F.lit(1.25))
+    result = aggregates.order_totals(items, menu)
+    assert SKEW in executed(result)
+    assert result.where("total_cost = 2.5").count() == 60_000
+
+
+def test_rejects_split_a_hot_key(spark, no_broadcast, hot, tmp_path):
+    """Half of the incoming rows have one key; each differs from the others."""
+    rows = hot.select(F.col("fk_restaurant").alias("item_id"), F.col("order_id").alias("fk_restaurant"))
+    rows = rows.withColumn("item_name", F.lit("x")).withColumn("item_category", F.lit("food"))
+    rows = rows.withColumn("price", F.lit(1.0)).select(MENU_ITEMS.names)
+    spark.createDataFrame([], MENU_ITEMS).write.parquet(str(tmp_path / "menu"))
+    result = append_new(rows, str(tmp_path / "menu"), MENU_ITEMS, "item_id")
+    assert SKEW in executed(result.rejected)
+    rejected = result.rejected.agg(F.sum("n")).first()[0]
+    accepted = spark.read.parquet(str(tmp_path / "menu")).count()
+    distinct = rows.select("item_id").distinct().count()
+    assert (accepted, rejected) == (distinct, 60_000 - distinct)
+
+
+def test_statistics_join_no_order_of_a_hot_restaurant(spark, no_broadcast, hot):
+    result = aggregates.restaurant_stats_from_tables(hot, dimension(spark, "restaurant_id", "restaurant_name"))
+    assert "skew=true" not in executed(result)  # one row per restaurant is left to join
+    assert ORDERS.names == hot.columns
