@@ -12,9 +12,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], sequence: Sequence[str])
     """The row of each key that comes last by the sequence columns, batch or streaming.
 
     An aggregate rather than a ranking: each task passes on one row per key, so the shuffle
-    does not grow with the number of versions of a key.
+    does not grow with the number of versions of a key. With one sequence column each value is
+    picked on its own, which hashes without sorting as long as the values are of fixed width,
+    as those of the statistics are. All picks see the same rows in the same order, so they stay
+    together even if a sequence value repeats.
     """
     others = [name for name in df.columns if name not in keys]
+    if len(sequence) == 1:
+        last = [F.max_by(name, sequence[0]).alias(name) for name in others]
+        return df.groupBy(*keys).agg(*last).select(*keys, *others)
     last = F.max_by(F.struct(*others), F.struct(*sequence))
     return df.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*")
 

@@ -21,11 +21,11 @@ def publish_to_kafka(messages: DataFrame, topic: str, **options: str) -> None:
 def publish_to_files(messages: DataFrame, folder: str, partitions: int | None = None) -> None:
     """The file twin of a topic: one message per line, to be replayed as a stream.
 
-    With ``partitions`` the messages are spread over that many files by their key, as over the
-    partitions of a topic; without, they are written as they lie.
+    With ``partitions`` the messages are dealt out evenly to that many files, whatever their
+    keys; without, they are written as they lie.
     """
     if partitions is not None:
-        messages = messages.repartition(partitions, "key")
+        messages = messages.repartition(partitions)
     messages.select("value").write.mode("append").text(folder)
 
 

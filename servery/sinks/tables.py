@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,51 +29,68 @@ class Append:
 def append_new(rows: DataFrame, path: str, schema: StructType, key: str) -> Append:
     """Append the rows whose key is set, new to the table and met for the first time.
 
-    Of several rows with one key the smallest in column order is taken. Which rows those are
-    is decided once and stored before the table changes, so a retry of the append, or a later
-    read of the rejects, cannot come to another result. One writer at a time.
+    Of several rows with one key the smallest in column order is taken. One writer at a time,
+    and ``rows`` must not read the table itself.
+
+    Only keys are shuffled to find the clashes. They are stored before the table changes, so
+    that a retry, or a later read of the rejects, cannot come to another result; rows without
+    a clash, as a rule nearly all of them, then go from their scan to the table.
     """
-    spark = rows.sparkSession
     rows = conform(rows, schema)
-    others = [name for name in rows.columns if name != key]
     keyed = rows.where(F.col(key).isNotNull())
+    clashes = _stored(_clashes(keyed, rows.sparkSession.read.schema(schema).parquet(path), key))
 
-    # One row per key leaves each task, however often the key occurs.
-    first = keyed.groupBy(key).agg(
-        F.min(F.struct(*others)).alias("kept"), F.count(F.lit(1)).alias("copies")
-    )
-    known = spark.read.schema(schema).parquet(path).select(key).distinct()
-    decided = first.join(known.withColumn("known", F.lit(True)), key, "left").select(
-        key, "kept", "copies", F.coalesce("known", F.lit(False)).alias("known")
-    )
-    decided_path = scratch_path(spark, "append")
-    decided.write.parquet(decided_path)
-    decided = spark.read.schema(decided.schema).parquet(decided_path)
-
-    accepted = decided.where(~F.col("known")).select(key, "kept.*").select(*rows.columns)
+    fresh = keyed.join(clashes, key, "left_anti")
+    first = _smallest(keyed.join(clashes.where(~F.col("known")), key, "left_semi"), key)
+    accepted = fresh.unionByName(first)
     accepted.write.mode("append").parquet(path)
+    return Append(accepted, _rejected(rows, keyed, clashes, first, key))
 
-    # Whole rejected rows. Only keys with a clash are joined back, and the copies are counted
-    # by the row as one value: that needs its own shuffle, which leaves Spark free to split a
-    # hot key in the join before it.
-    clashes = decided.where(F.col("known") | (F.col("copies") > 1)).drop("copies")
-    is_kept = ~F.col("known") & F.struct(*others).eqNullSafe(F.col("kept"))
-    clashing = (
-        keyed.join(clashes, key)
-        .select(
-            F.struct(*rows.columns).alias("row"),
-            F.when(F.col("known"), "already_present").otherwise("duplicate_key").alias("reason"),
-            is_kept.cast("int").alias("kept_rows"),
-        )
-        .groupBy("row", "reason", "kept_rows")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .select("row.*", "reason", (F.col("copies") - F.col("kept_rows")).alias("n"))
-        .where("n > 0")
+
+def _clashes(keyed: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Keys that the table has (``known``) or that occur more than once among the rows."""
+    copies = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+    known = table.select(key).distinct().withColumn("known", F.lit(True))
+    joined = copies.join(known, key, "left")
+    return joined.select(key, "copies", F.coalesce("known", F.lit(False)).alias("known")).where(
+        "known OR copies > 1"
+    ).drop("copies")
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "append")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _smallest(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key of rows that were joined by that key.
+
+    Grouped by the key as a struct, which takes a shuffle of its own after the join. Grouped by
+    the bare key, Spark would reuse the join's partitioning and could not split a hot key there.
+    """
+    smallest = F.min(F.struct(*rows.columns)).alias("row")
+    return rows.groupBy(F.struct(key).alias("group")).agg(smallest).select("row.*")
+
+
+def _rejected(
+    rows: DataFrame, keyed: DataFrame, clashes: DataFrame, first: DataFrame, key: str
+) -> DataFrame:
+    """Every row that was not accepted, whole; equal ones as one row and their number."""
+    reason = F.when(F.col("known"), "already_present").otherwise("duplicate_key")
+    arrived = keyed.join(clashes, key).select(_whole(rows), reason.alias("reason"), F.lit(1).alias("n"))
+    taken = first.select(_whole(rows), F.lit("duplicate_key").alias("reason"), F.lit(-1).alias("n"))
+    unkeyed = rows.where(F.col(key).isNull()).select(
+        _whole(rows), F.lit("null_key").alias("reason"), F.lit(1).alias("n")
     )
-    unkeyed = (
-        rows.where(F.col(key).isNull())
-        .groupBy(F.struct(*rows.columns).alias("row"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("row.*", F.lit("null_key").alias("reason"), "n")
+    balance = arrived.unionByName(taken).unionByName(unkeyed)
+    return (
+        balance.groupBy("row", "reason")
+        .agg(F.sum("n").alias("n"))
+        .where("n > 0")
+        .select("row.*", "reason", "n")
     )
-    return Append(accepted, clashing.unionByName(unkeyed))
+
+
+def _whole(rows: DataFrame) -> Column:
+    return F.struct(*rows.columns).alias("row")

@@ -15,9 +15,11 @@ def read_user_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: its path as ``document`` and its whole text as ``text``."""
+    """One row per file: its path as ``document_id`` and its whole text as ``text``."""
     files = spark.read.text(path, wholetext=True)
-    return files.select(F.col("_metadata.file_path").alias("document"), F.col("value").alias("text"))
+    return files.select(
+        F.col("_metadata.file_path").alias("document_id"), F.col("value").alias("text")
+    )
 
 
 def read_list_texts(spark: SparkSession, *paths: str) -> DataFrame:

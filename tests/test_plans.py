@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from servery.operators import aggregates, joins
 from servery.operators.documents import menu_rows, parse_restaurants
 from servery.operators.ids import assign_ids, sorted_run
+from servery.operators.latest import compact_changelog
 from servery.operators.quality import check_documents, check_messages, usable
 from servery.plans.inputs import Inputs
 from servery.plans.queries import QUERIES
@@ -84,6 +85,24 @@ def test_numbering_has_no_single_task(spark):
     assert "Exchange rangepartitioning" not in text  # the stored run is read, not sorted again
 
 
+def test_compaction_of_a_changelog_hashes(spark):
+    log = spark.createDataFrame([("A", 1.0, 2.0, 0)], "k string, v double, w double, batch_id long")
+    text = plan(compact_changelog(log, "k", "batch_id"), "simple")
+    assert "HashAggregate" in text and "Sort" not in text
+
+
+def test_appended_rows_are_not_shuffled(spark, tmp_path):
+    """As long as few keys clash, only keys go through a shuffle."""
+    Inputs(spark, SMALL).menu_items().limit(20).write.parquet(str(tmp_path / "menu"))
+    rows = Inputs(spark, SMALL).menu_items()
+    result = append_new(rows, str(tmp_path / "menu"), MENU_ITEMS, "item_id")
+    text = executed(result.accepted)
+    fresh = text[text.index("LeftAnti") : text.index("SortAggregate")]
+    assert "BroadcastHashJoin" in text[: text.index("LeftAnti")]
+    assert "hashpartitioning" not in fresh
+    assert result.accepted.count() == 1980
+
+
 def test_a_page_of_a_run_reads_by_its_place(spark):
     menu = Inputs(spark, SMALL).menu_items().select("item_id", "item_name")
     text = plan(sorted_run(menu, ["item_name", "item_id"]).slice(1500, 10))
