@@ -17,11 +17,9 @@ def normalized_price(raw: Column) -> Column:
     """Free is 0, a range is the mean of its first two ends, anything unreadable is NULL."""
     text = F.replace(raw, F.lit("$"), F.lit(""))
     ends = F.split(text, "-")
+    first = number(F.get(ends, F.lit(0)))
     return (
         F.when(F.lower(text) == "free", F.lit(0.0))
-        .when(
-            F.contains(text, F.lit("-")),
-            (number(F.get(ends, F.lit(0))) + number(F.get(ends, F.lit(1)))) / 2,
-        )
-        .otherwise(number(text))
+        .when(F.size(ends) > 1, (first + number(F.get(ends, F.lit(1)))) / 2)
+        .otherwise(first)
     )

@@ -18,9 +18,8 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from servery.session import scratch_path
+from servery.staging import stored
 
 # monotonically_increasing_id() is (partition << 33) + row within the partition.
 _PLACE_BITS = 33
@@ -71,14 +70,9 @@ def sorted_run(df: DataFrame, order: Sequence[str | Column] | None) -> SortedRun
     a table has no such columns, a file's ``_metadata.file_path`` and ``_metadata.row_index``
     are some.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "run")
-    ranged = df
     if order is not None:
-        ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.withColumn(_SLOT, F.monotonically_increasing_id()).write.parquet(path)
-    stored = StructType([*df.schema.fields, StructField(_SLOT, LongType(), True)])
-    rows = spark.read.schema(stored).parquet(path)
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = stored(df.withColumn(_SLOT, F.monotonically_increasing_id()), "run")
     sizes = (
         rows.groupBy(F.shiftright(_SLOT, _PLACE_BITS).alias("part"))
         .agg(F.count(F.lit(1)).alias("n"))

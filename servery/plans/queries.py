@@ -28,7 +28,8 @@ from servery.schemas import (
     USER_DOCUMENT,
     typecast,
 )
-from servery.session import scratch_path, streaming_session
+from servery.session import streaming_session
+from servery.staging import scratch_path
 from servery.sinks.changelog import start_file_changelog
 from servery.sinks.messages import keyed_messages, publish_to_files
 from servery.sinks.tables import append_new

@@ -1,10 +1,7 @@
-"""Session settings and the shared folder every staged table goes to."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 # Settings the plans in this package were read with. Adaptive execution picks the partition
@@ -48,20 +45,3 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
     if state_partitions is not None:
         session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return session
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="servery-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is written yet."""
-    return f"{shared_folder(spark)}/servery-{label}-{uuid.uuid4().hex}"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from servery.schemas import TABLES, conform
-from servery.session import scratch_path
+from servery.staging import stored
 
 
 def create_tables(spark: SparkSession, root: str) -> dict[str, str]:
@@ -38,7 +38,8 @@ def append_new(rows: DataFrame, path: str, schema: StructType, key: str) -> Appe
     """
     rows = conform(rows, schema)
     keyed = rows.where(F.col(key).isNotNull())
-    clashes = _stored(_clashes(keyed, rows.sparkSession.read.schema(schema).parquet(path), key))
+    table = rows.sparkSession.read.schema(schema).parquet(path)
+    clashes = stored(_clashes(keyed, table, key), "clashes")
 
     fresh = keyed.join(clashes, key, "left_anti")
     first = _smallest(keyed.join(clashes.where(~F.col("known")), key, "left_semi"), key)
@@ -57,12 +58,6 @@ def _clashes(keyed: DataFrame, table: DataFrame, key: str) -> DataFrame:
     ).drop("copies")
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "append")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _smallest(rows: DataFrame, key: str) -> DataFrame:
     """One row per key of rows that were joined by that key.
 

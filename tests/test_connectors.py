@@ -1,0 +1,82 @@
+"""Options handed to connectors that are not installed here; their transfer itself is not run."""
+
+from __future__ import annotations
+
+from unittest.mock import MagicMock
+
+import pytest
+
+from servery.schemas import RESTAURANT_STATS, USERS
+from servery.sinks.changelog import start_kafka_changelog
+from servery.sinks.messages import publish_to_kafka
+from servery.sources.changelog import read_kafka_changelog
+from servery.sources.streams import topic_stream
+from servery.sources.tables import scan_table
+from servery.staging import shared_folder
+
+SERVERS = {"kafka.bootstrap.servers": "broker:9092"}
+
+
+def recorder(result):
+    """A reader or writer that returns itself, and the result from load()."""
+    fake = MagicMock()
+    for method in ("format", "option", "options", "outputMode", "queryName", "trigger"):
+        getattr(fake, method).return_value = fake
+    fake.load.return_value = result
+    return fake
+
+
+def test_kafka_stream_starts_at_the_earliest_message(spark):
+    messages = spark.createDataFrame([(bytearray(b"{}"),)], "value binary")
+    session = MagicMock(readStream=recorder(messages))
+    assert topic_stream(session, "orders_topic", **SERVERS).first()["value"] == "{}"
+    session.readStream.format.assert_called_with("kafka")
+    session.readStream.options.assert_called_with(
+        subscribe="orders_topic", startingOffsets="earliest", **SERVERS
+    )
+
+
+def test_kafka_changelog_is_read_as_a_bounded_batch(spark):
+    value = bytearray(b'{"restaurant_name":"A","total_revenue":2.5}')
+    messages = spark.createDataFrame([(value, 7)], "value binary, offset long")
+    session = MagicMock(read=recorder(messages))
+    rows = read_kafka_changelog(session, "restaurant_stats", RESTAURANT_STATS, **SERVERS).collect()
+    assert [tuple(row) for row in rows] == [(7, "A", 2.5, None)]
+    session.read.options.assert_called_with(
+        startingOffsets="earliest", endingOffsets="latest", **SERVERS
+    )
+
+
+def test_kafka_sinks(spark):
+    writer = recorder(None)
+    publish_to_kafka(MagicMock(write=writer), "orders_topic", **SERVERS)
+    writer.option.assert_called_with("topic", "orders_topic")
+    writer.save.assert_called_once()
+    selected = MagicMock(writeStream=recorder(None))
+    stats = MagicMock(columns=RESTAURANT_STATS.names)
+    stats.select.return_value = selected
+    start_kafka_changelog(stats, "restaurant_name", "restaurant_stats", "/c", "q", {"once": True}, **SERVERS)
+    key, value = stats.select.call_args.args
+    assert "restaurant_name" in str(key) and "to_json" in str(value)
+    selected.writeStream.outputMode.assert_called_with("update")
+    selected.writeStream.start.assert_called_once()
+
+
+def test_jdbc_scan_names_its_table(spark):
+    table = spark.createDataFrame([(1,), (2,)], "user_id long")
+    session = MagicMock(read=recorder(table))
+    rows = scan_table(session, "users", USERS, "user_id = 2", fmt="jdbc", url="jdbc:x")
+    assert [row[0] for row in rows.collect()] == [2]
+    session.read.option.assert_called_with("dbtable", "users")
+
+
+def test_the_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    cluster = MagicMock()
+    cluster.conf.get.return_value = None
+    cluster.sparkContext.getCheckpointDir.return_value = None
+    cluster.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(cluster)
+    cluster.sparkContext.getCheckpointDir.return_value = "hdfs:/shared/"
+    assert shared_folder(cluster) == "hdfs:/shared"
