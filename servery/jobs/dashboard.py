@@ -9,10 +9,9 @@ from __future__ import annotations
 import argparse
 
 from servery.operators.paging import PAGE_SIZES
-from servery.plans.dashboard import live_top_items, live_top_restaurants, order_listing
-from servery.schemas import MENU_ITEM_STATS, MENU_ITEMS, ORDERS, RESTAURANT_STATS, RESTAURANTS, USERS
+from servery.plans.dashboard import order_listing, top_items, top_restaurants
+from servery.schemas import MENU_ITEMS, ORDERS, RESTAURANTS, USERS
 from servery.session import build_session
-from servery.sources.changelog import FILE_SEQUENCE, read_file_changelog
 from servery.sources.tables import scan_table
 from servery.streaming.running import OrderStatsJob
 
@@ -30,6 +29,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Order dashboard")
     parser.add_argument("--tables", required=True, help="folder of the stored tables")
     parser.add_argument("--root", required=True, help="folder of the running statistics")
+    parser.add_argument("--key", default="restaurant_name", help="group key of the statistics")
     parser.add_argument("--sort", choices=COLUMNS, default="order_id")
     parser.add_argument("--descending", action="store_true")
     parser.add_argument("--size", type=int, choices=PAGE_SIZES, default=10)
@@ -40,10 +40,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session("order-dashboard")
-    job = OrderStatsJob(args.root)
+    job = OrderStatsJob(args.root, args.key)
     menu = scan_table(spark, f"{args.tables}/menu_items", MENU_ITEMS)
-    stats = read_file_changelog(spark, job.restaurant_changelog, RESTAURANT_STATS)
-    counts = read_file_changelog(spark, job.item_changelog, MENU_ITEM_STATS)
     listing = order_listing(
         scan_table(spark, f"{args.tables}/orders", ORDERS),
         scan_table(spark, f"{args.tables}/restaurants", RESTAURANTS),
@@ -52,8 +50,8 @@ def main(argv: list[str] | None = None) -> None:
         not args.descending,
         args.size,
     )
-    live_top_restaurants(stats, FILE_SEQUENCE).show(truncate=False)
-    live_top_items(counts, FILE_SEQUENCE, menu).show(truncate=False)
+    top_restaurants(job.restaurant_stats(spark), key=args.key).show(truncate=False)
+    top_items(job.item_counts(spark), menu).show(truncate=False)
     listing.page(args.page).show(args.size, truncate=False)
     print(f"page {args.page} of {listing.total_pages}")
 

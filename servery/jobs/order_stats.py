@@ -32,6 +32,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--items", default="order_items_topic")
     parser.add_argument("--key", default="restaurant_name", help="or fk_restaurant")
     parser.add_argument("--state-partitions", type=int)
+    parser.add_argument("--files-per-batch", type=int, help="of the changelogs")
+    parser.add_argument("--snapshot-every", type=int, default=100, help="batches")
+    parser.add_argument("--max-per-trigger", help="messages (Kafka) or files (text) of a batch")
     parser.add_argument("--quarantine", action="store_true", help="keep unusable messages")
     parser.add_argument("--once", action="store_true", help="end when all present input is read")
     return parser.parse_args(argv)
@@ -41,13 +44,16 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     session = streaming_session(build_session("order-stats"), args.state_partitions)
     servers = {"kafka.bootstrap.servers": args.servers} if args.servers else {}
-    source = servers if args.format == "kafka" else {}
+    source = dict(servers) if args.format == "kafka" else {}
+    if args.max_per_trigger:
+        limit = "maxOffsetsPerTrigger" if args.format == "kafka" else "maxFilesPerTrigger"
+        source[limit] = args.max_per_trigger
     orders = topic_stream(session, args.orders, args.format, **source)
     items = topic_stream(session, args.items, args.format, **source)
     trigger = {"availableNow": True} if args.once else {}
     if args.publish == "files":
-        job = OrderStatsJob(args.root)
-        queries = job.start(orders, items, args.key, args.quarantine, **trigger)
+        job = OrderStatsJob(args.root, args.key, args.files_per_batch, args.snapshot_every)
+        queries = job.start(orders, items, args.quarantine, **trigger)
     else:
         streams = {
             "restaurant_stats": (running_restaurant_stats(orders, args.key), args.key),

@@ -12,9 +12,9 @@ from servery.operators.ids import SortedRun, sorted_run
 
 PAGE_SIZES = (10, 25, 50, 100)
 
-# A shallow page merges all rows up to its end in one task; past this many, the listing is
-# stored sorted and the page is read from its place.
-SHALLOW_ROWS = 100_000
+# For a shallow page every task sends its first rows, up to the page's end, to one task. Past
+# this many the listing is stored sorted and the page is read from its place.
+SHALLOW_ROWS = 1_000
 
 
 def sort_order(column: str, tie_break: str, ascending: bool = True) -> list[Column]:

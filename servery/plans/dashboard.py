@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from servery.operators.joins import labelled_item_counts, orders_list
-from servery.operators.latest import compact_changelog
 from servery.operators.paging import Listing, sort_order
 from servery.operators.topk import top_k
 
 
-def top_restaurants(stats: DataFrame, k: int = 10) -> DataFrame:
-    return top_k(stats, "total_revenue", "restaurant_name", k)
+def top_restaurants(stats: DataFrame, k: int = 10, key: str = "restaurant_name") -> DataFrame:
+    return top_k(stats, "total_revenue", key, k)
 
 
 def top_items(item_stats: DataFrame, menu_items: DataFrame, k: int = 10) -> DataFrame:
@@ -20,16 +19,6 @@ def top_items(item_stats: DataFrame, menu_items: DataFrame, k: int = 10) -> Data
     return top_k(labelled, "item_quantity", "fk_menu_item", k).drop("fk_menu_item")
 
 
-def live_top_restaurants(changelog: DataFrame, sequence: str, k: int = 10) -> DataFrame:
-    return top_restaurants(compact_changelog(changelog, "restaurant_name", sequence), k)
-
-
-def live_top_items(
-    changelog: DataFrame, sequence: str, menu_items: DataFrame, k: int = 10
-) -> DataFrame:
-    return top_items(compact_changelog(changelog, "fk_menu_item", sequence), menu_items, k)
-
-
 def order_listing(
     orders: DataFrame,
     restaurants: DataFrame,

@@ -16,7 +16,7 @@ from servery.functions.text import document_json
 from servery.operators import aggregates, documents, joins, quality
 from servery.operators.calendar import day_series
 from servery.operators.ids import assign_ids, next_id
-from servery.operators.latest import compact_changelog, latest_per_key
+from servery.operators.latest import latest_per_key
 from servery.operators.paging import Listing, page_index, sort_order
 from servery.plans import dashboard
 from servery.plans.inputs import Inputs
@@ -33,7 +33,7 @@ from servery.staging import scratch_path
 from servery.sinks.changelog import start_file_changelog
 from servery.sinks.messages import keyed_messages, publish_to_files
 from servery.sinks.tables import append_new
-from servery.sources.changelog import FILE_SEQUENCE, read_file_changelog
+from servery.sources.changelog import read_current
 from servery.sources.streams import decode_messages, topic_stream
 from servery.sources.tables import as_json_rows, query_tables
 from servery.streaming.running import await_all, running_item_counts, running_restaurant_stats
@@ -97,8 +97,7 @@ def _replayed(inputs: Inputs, rows: DataFrame, key: str, running, schema, stats_
         running(messages), f"{root}/changelog", f"{root}/checkpoint", availableNow=True
     )
     await_all([job])
-    changelog = read_file_changelog(spark, f"{root}/changelog", schema)
-    return compact_changelog(changelog, stats_key, FILE_SEQUENCE)
+    return read_current(spark, f"{root}/changelog", schema, stats_key)
 
 
 @query

@@ -122,6 +122,11 @@ def fields(schema: StructType, *names: str) -> StructType:
     return StructType([schema[name] for name in names])
 
 
+def restaurant_stats_schema(key: str = "restaurant_name") -> StructType:
+    """Restaurant statistics grouped by the given order column."""
+    return StructType([ORDER_EVENT[key], *RESTAURANT_STATS.fields[1:]])
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the schema's columns in order and type; absent columns become NULL.
 

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from servery.functions.payload import encode
-from servery.sources.changelog import FILE_SEQUENCE
+from servery.sources.changelog import FILE_SEQUENCE, read_current
 
 
-def write_changelog_batch(path: str) -> Callable[[DataFrame, int], None]:
+AfterBatch = Callable[[DataFrame, int], None]
+
+
+def write_changelog_batch(path: str, files: int | None = None) -> AfterBatch:
     """Writer of one micro-batch. A batch that is run again after a failure replaces exactly
     its own partition, so the changelog holds each batch once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if files is not None:
+            batch = batch.repartition(files)
         (
             batch.withColumn(FILE_SEQUENCE, F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
@@ -28,27 +33,50 @@ def write_changelog_batch(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def keep_snapshots(
+    changelog: str, snapshots: str, key: str, every: int, files: int | None = None
+) -> AfterBatch:
+    """Stores the current statistics after each ``every`` batches; pass it as ``after_batch``.
+
+    A snapshot is made from the one before and the batches since, and
+    :func:`~servery.sources.changelog.read_current` goes on from the last, so neither reads the
+    whole history.
+    """
+
+    def snapshot(batch: DataFrame, batch_id: int) -> None:
+        if (batch_id + 1) % every == 0:
+            current = read_current(batch.sparkSession, changelog, batch.schema, key, snapshots)
+            write_changelog_batch(snapshots, files)(current, batch_id)
+
+    return snapshot
+
+
 def start_file_changelog(
     stats: DataFrame,
     path: str,
     checkpoint: str,
     name: str | None = None,
-    after_batch: Callable[[DataFrame, int], None] | None = None,
+    after_batch: Sequence[AfterBatch] = (),
+    files: int | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Publish changed rows to a parquet folder. ``trigger`` is passed on to the writer, for
-    example ``availableNow=True``. ``after_batch`` runs once the batch is written."""
-    write = write_changelog_batch(path)
+    """Publish changed rows to a parquet folder.
+
+    Each batch is written by as many tasks as there are state partitions; ``files`` deals the
+    rows out to that many instead. ``after_batch`` runs once the batch is written. ``trigger``
+    is passed on to the writer, for example ``availableNow=True``.
+    """
+    write = write_changelog_batch(path, files)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        if after_batch is None:
+        if not after_batch:
             write(batch, batch_id)
             return
-        # Two actions on one micro-batch: keep its rows, do not run its state update again.
+        # Several actions on one micro-batch: keep its rows, do not update the state again.
         batch.persist()
         try:
-            write(batch, batch_id)
-            after_batch(batch, batch_id)
+            for action in (write, *after_batch):
+                action(batch, batch_id)
         finally:
             batch.unpersist()
 

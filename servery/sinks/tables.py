@@ -32,17 +32,19 @@ def append_new(rows: DataFrame, path: str, schema: StructType, key: str) -> Appe
     Of several rows with one key the smallest in column order is taken. One writer at a time,
     and ``rows`` must not read the table itself.
 
-    Only keys are shuffled to find the clashes. They are stored before the table changes, so
-    that a retry, or a later read of the rejects, cannot come to another result; rows without
-    a clash, as a rule nearly all of them, then go from their scan to the table.
+    Only keys are shuffled to find the clashes. They, and the rows taken of those that share a
+    key, are stored before the table changes, so that a retry, or a later read of the rejects,
+    cannot come to another result; rows without a clash, as a rule nearly all of them, then go
+    from their scan to the table.
     """
     rows = conform(rows, schema)
     keyed = rows.where(F.col(key).isNotNull())
     table = rows.sparkSession.read.schema(schema).parquet(path)
     clashes = stored(_clashes(keyed, table, key), "clashes")
 
+    repeated = keyed.join(clashes.where(~F.col("known")), key, "left_semi")
+    first = stored(_smallest(repeated, key), "first")
     fresh = keyed.join(clashes, key, "left_anti")
-    first = _smallest(keyed.join(clashes.where(~F.col("known")), key, "left_semi"), key)
     accepted = fresh.unionByName(first)
     accepted.write.mode("append").parquet(path)
     return Append(accepted, _rejected(rows, keyed, clashes, first, key))

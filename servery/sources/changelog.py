@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from servery.operators.latest import compact_changelog
 from servery.sources.streams import decode_messages
 
 # The column that orders the rows of one key: micro-batch number, or offset in the topic.
@@ -24,6 +26,23 @@ def read_file_changelog(spark: SparkSession, path: str, schema: StructType) -> D
         return spark.createDataFrame([], full)
 
 
+def read_current(
+    spark: SparkSession, path: str, schema: StructType, key: str, snapshots: str | None = None
+) -> DataFrame:
+    """Current statistics: each key's last published row.
+
+    With a folder of snapshots only the last one and the batches after it are read.
+    """
+    changelog = read_file_changelog(spark, path, schema)
+    if snapshots is not None:
+        earlier = read_file_changelog(spark, snapshots, schema)
+        last = earlier.agg(F.max(FILE_SEQUENCE)).first()[0]
+        if last is not None:
+            newer = changelog.where(F.col(FILE_SEQUENCE) > last)
+            changelog = earlier.where(F.col(FILE_SEQUENCE) == last).unionByName(newer)
+    return compact_changelog(changelog, key, FILE_SEQUENCE)
+
+
 def read_kafka_changelog(
     spark: SparkSession, topic: str, schema: StructType, **options: str
 ) -> DataFrame:

@@ -9,18 +9,25 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from servery.operators.aggregates import item_counts, restaurant_stats
-from servery.operators.latest import compact_changelog
 from servery.operators.quality import Split, amount_out_of_range, check_messages, split
 from servery.operators.topk import top_k
-from servery.schemas import ORDER_EVENT, ORDER_ITEM_EVENT, fields
-from servery.sinks.changelog import start_file_changelog
-from servery.sources.changelog import FILE_SEQUENCE, read_file_changelog
+from servery.schemas import (
+    MENU_ITEM_STATS,
+    ORDER_EVENT,
+    ORDER_ITEM_EVENT,
+    fields,
+    restaurant_stats_schema,
+)
+from servery.sinks.changelog import AfterBatch, keep_snapshots, start_file_changelog
+from servery.sources.changelog import FILE_SEQUENCE, read_current, read_file_changelog
+
+RESTAURANT_TOPIC, ITEM_TOPIC = "restaurant_stats", "menu_item_stats"
 
 
 def order_events(
@@ -77,55 +84,66 @@ def start_quarantine(
 
 @dataclass(frozen=True)
 class OrderStatsJob:
-    """The two running statistics, each with its own changelog and checkpoint below a root."""
+    """The two running statistics below a root folder, each with its own changelog, snapshots
+    and checkpoint."""
 
     root: str
+    key: str = "restaurant_name"
+    files: int | None = None  # files per changelog batch
+    snapshot_every: int = 100  # batches
 
-    @property
-    def restaurant_changelog(self) -> str:
-        return f"{self.root}/restaurant_stats"
+    def changelog(self, topic: str) -> str:
+        return f"{self.root}/{topic}"
 
-    @property
-    def item_changelog(self) -> str:
-        return f"{self.root}/menu_item_stats"
+    def snapshots(self, topic: str) -> str:
+        return f"{self.root}/snapshots/{topic}"
 
     def start(
         self,
         order_messages: DataFrame,
         item_messages: DataFrame,
-        key: str = "restaurant_name",
         quarantine: bool = False,
         **trigger,
     ) -> list[StreamingQuery]:
-        checkpoints = f"{self.root}/checkpoints"
+        restaurants = running_restaurant_stats(order_messages, self.key)
+        items = running_item_counts(item_messages)
         queries = [
-            start_file_changelog(
-                running_restaurant_stats(order_messages, key),
-                self.restaurant_changelog,
-                f"{checkpoints}/restaurant_stats",
-                **trigger,
-            ),
-            start_file_changelog(
-                running_item_counts(item_messages),
-                self.item_changelog,
-                f"{checkpoints}/menu_item_stats",
-                **trigger,
-            ),
+            self._start(restaurants, RESTAURANT_TOPIC, self.key, trigger),
+            self._start(items, ITEM_TOPIC, "fk_menu_item", trigger),
         ]
         if quarantine:
-            bad = _counted_orders(order_messages, key).quarantined
-            bad_items = _counted_items(item_messages).quarantined
-            for topic, messages in {"orders": bad, "order_items": bad_items}.items():
-                queries.append(
-                    start_quarantine(
-                        messages,
-                        f"{self.root}/quarantine/topic={topic}",
-                        f"{checkpoints}/quarantine_{topic}",
-                        **trigger,
-                    )
-                )
+            bad = {
+                "orders": _counted_orders(order_messages, self.key).quarantined,
+                "order_items": _counted_items(item_messages).quarantined,
+            }
+            for topic, messages in bad.items():
+                path = f"{self.root}/quarantine/topic={topic}"
+                checkpoint = f"{self.root}/checkpoints/quarantine_{topic}"
+                queries.append(start_quarantine(messages, path, checkpoint, **trigger))
         return queries
 
+    def _start(self, stats: DataFrame, topic: str, key: str, trigger: dict) -> StreamingQuery:
+        changelog, snapshots = self.changelog(topic), self.snapshots(topic)
+        return start_file_changelog(
+            stats,
+            changelog,
+            f"{self.root}/checkpoints/{topic}",
+            after_batch=[keep_snapshots(changelog, snapshots, key, self.snapshot_every, self.files)],
+            files=self.files,
+            **trigger,
+        )
+
+    def restaurant_stats(self, spark: SparkSession) -> DataFrame:
+        """Current statistics per restaurant."""
+        return self._current(spark, RESTAURANT_TOPIC, restaurant_stats_schema(self.key), self.key)
+
+    def item_counts(self, spark: SparkSession) -> DataFrame:
+        """Current quantities per menu item."""
+        return self._current(spark, ITEM_TOPIC, MENU_ITEM_STATS, "fk_menu_item")
+
+    def _current(self, spark: SparkSession, topic: str, schema: StructType, key: str) -> DataFrame:
+        return read_current(spark, self.changelog(topic), schema, key, self.snapshots(topic))
+
 
 def await_all(queries: list[StreamingQuery]) -> None:
     """Wait until every query has ended. The first to fail stops the others and is raised:
@@ -142,12 +160,14 @@ def await_all(queries: list[StreamingQuery]) -> None:
         raise
 
 
-def live_top_k(path: str, key: str, value: str, changelog_path: str, k: int = 10):
+def live_top_k(
+    path: str, key: str, value: str, changelog: str, snapshots: str | None = None, k: int = 10
+) -> AfterBatch:
     """Keeps the current top-k in a small table at ``path``; pass it as ``after_batch``.
 
     A batch can only move its own keys. As long as k rows still rank no lower than the previous
     last row, nothing outside the previous top-k and the batch can be among them; if fewer do,
-    because totals fell, or if there is no full previous top-k, the whole changelog is read.
+    because totals fell, or if there is no full previous top-k, all current statistics are read.
     """
 
     def rank(row: Row) -> tuple:
@@ -164,8 +184,8 @@ def live_top_k(path: str, key: str, value: str, changelog_path: str, k: int = 10
             last = max(map(rank, previous))
             best = [row for row in best if rank(row) <= last]
         if len(best) < k:
-            history = read_file_changelog(spark, changelog_path, batch.schema)
-            best = top_k(compact_changelog(history, key, FILE_SEQUENCE), value, key, k).collect()
+            stats = read_current(spark, changelog, batch.schema, key, snapshots)
+            best = top_k(stats, value, key, k).collect()
         current = spark.createDataFrame(best, batch.schema).coalesce(1)
         current.withColumn(FILE_SEQUENCE, F.lit(batch_id).cast("bigint")).write.mode(
             "overwrite"

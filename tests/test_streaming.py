@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from servery.operators.aggregates import item_counts, restaurant_stats
 from servery.operators.latest import compact_changelog
 from servery.operators.topk import top_k
-from servery.plans.dashboard import live_top_items, live_top_restaurants
+from servery.plans.dashboard import top_items, top_restaurants
 from servery.schemas import MENU_ITEM_STATS, MENU_ITEMS, ORDER_EVENT, RESTAURANT_STATS
 from servery.session import streaming_session
 from servery.sinks.changelog import start_file_changelog, write_changelog_batch
-from servery.sources.changelog import FILE_SEQUENCE, read_file_changelog
+from servery.sources.changelog import FILE_SEQUENCE, read_current, read_file_changelog
 from servery.sources.streams import decode_messages, topic_stream
 from servery.streaming.running import (
     OrderStatsJob,
@@ -75,7 +75,7 @@ def run(session, topic, tmp_path, after_batch=None):
         running_restaurant_stats(topic.stream(session)),
         str(tmp_path / "changelog"),
         str(tmp_path / "checkpoint"),
-        after_batch=after_batch,
+        after_batch=[after_batch] if after_batch else [],
         availableNow=True,
     )
     await_all([query])
@@ -138,10 +138,8 @@ def test_unusable_messages_are_kept_apart(session, topic, tmp_path):
     )
     assert len(queries) == 4
     await_all(queries)
-    stats = read_file_changelog(session, job.restaurant_changelog, RESTAURANT_STATS)
-    assert as_set(compact_changelog(stats, "restaurant_name", FILE_SEQUENCE)) == {("A", 1.0, 3.0)}
-    counts = read_file_changelog(session, job.item_changelog, MENU_ITEM_STATS)
-    assert as_set(compact_changelog(counts, "fk_menu_item", FILE_SEQUENCE)) == {(11, 2)}
+    assert as_set(job.restaurant_stats(session)) == {("A", 1.0, 3.0)}
+    assert as_set(job.item_counts(session)) == {(11, 2)}
     bad = session.read.parquet(f"{job.root}/quarantine").groupBy("topic", "reason").count()
     assert as_set(bad) == {
         ("orders", "malformed", 1),
@@ -161,7 +159,7 @@ def test_a_failure_of_one_query_stops_the_other(session, topic, tmp_path):
         running_restaurant_stats(topic.stream(session)), str(tmp_path / "good"), str(tmp_path / "c1")
     )
     bad = start_file_changelog(
-        running_item_counts(topic.stream(session)), str(tmp_path / "bad"), str(tmp_path / "c2"), after_batch=fail
+        running_item_counts(topic.stream(session)), str(tmp_path / "bad"), str(tmp_path / "c2"), after_batch=[fail]
     )
     with pytest.raises(StreamingQueryException, match="sink is gone"):
         await_all([good, bad])
@@ -211,14 +209,36 @@ def test_live_top_k_follows_the_changelog(session, topic, tmp_path):
 
 
 def test_dashboards_read_the_changelogs(spark, session, topic, tmp_path):
-    empty = read_file_changelog(spark, str(tmp_path / "none"), RESTAURANT_STATS)
-    assert live_top_restaurants(empty, FILE_SEQUENCE).collect() == []
+    none = read_current(spark, str(tmp_path / "none"), RESTAURANT_STATS, "restaurant_name")
+    assert top_restaurants(none).collect() == []
     topic.send(*[order(n, f"R{n:02d}", float(n)) for n in range(12)])
     topic.send(order(12, "R00", 50.0))
-    log = run(session, topic, tmp_path)
-    got = [row["restaurant_name"] for row in live_top_restaurants(log, FILE_SEQUENCE).collect()]
+    run(session, topic, tmp_path)
+    stats = read_current(spark, str(tmp_path / "changelog"), RESTAURANT_STATS, "restaurant_name")
+    got = [row["restaurant_name"] for row in top_restaurants(stats).collect()]
     assert got == ["R00"] + [f"R{n:02d}" for n in range(11, 2, -1)]
-    counts = spark.createDataFrame([(1, 5, 0), (1, 7, 1), (2, 6, 0), (3, 9, 0)], "fk_menu_item long, item_quantity long, batch_id long")
+    counts = spark.createDataFrame([(1, 7), (2, 6), (3, 9)], MENU_ITEM_STATS)
     menu = spark.createDataFrame([(1, 0, "Tea", "beverage", 2.5), (2, 0, "Pie", "dessert", 4.0)], MENU_ITEMS)
-    shown = live_top_items(counts, FILE_SEQUENCE, menu).collect()
+    shown = top_items(counts, menu).collect()
     assert [tuple(row) for row in shown] == [("Tea\n$2.50", 7, 2.5), ("Pie\n$4.00", 6, 4.0)]
+
+
+def test_snapshots_stand_for_the_history_before_them(session, topic, tmp_path):
+    items = Topic(tmp_path / "items")
+    for number in range(5):
+        topic.send(order(number, "A", 1.0), order(10 + number, f"B{number}", 2.0))
+    items.send({"fk_menu_item": 1, "item_quantity": 2})
+    job = OrderStatsJob(str(tmp_path / "job"), key="fk_restaurant", files=1, snapshot_every=2)
+    await_all(job.start(topic.stream(session), items.stream(session), availableNow=True))
+    assert as_set(job.restaurant_stats(session)) == {(1, 15.0, 4.0)}
+
+    job = OrderStatsJob(str(tmp_path / "named"), snapshot_every=2)
+    await_all(job.start(topic.stream(session), items.stream(session), availableNow=True))
+    want = {("A", 5.0, 4.0)} | {(f"B{n}", 2.0, 4.0) for n in range(5)}
+    assert as_set(job.restaurant_stats(session)) == want
+    taken = session.read.parquet(job.snapshots("restaurant_stats"))
+    sizes = {row["batch_id"]: row["count"] for row in taken.groupBy("batch_id").count().collect()}
+    assert sizes == {1: 3, 3: 5}
+    # Only the batch after the last snapshot is still read from the changelog.
+    plan = job.restaurant_stats(session)._jdf.queryExecution().executedPlan().toString()
+    assert "(batch_id" in plan and "> 3" in plan and "= 3" in plan
