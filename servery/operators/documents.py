@@ -13,7 +13,6 @@ from servery.functions.prices import normalized_price, number
 from servery.functions.text import document_json, numbered_name, parse_document, text_lines
 from servery.operators.ids import assign_ids
 from servery.schemas import ADDRESS, MENU_ITEMS, RESTAURANT_DOCUMENT, RESTAURANTS, USERS, conform
-from servery.staging import stored
 
 # Menu arrays of a restaurant document and the category each stands for, in menu order.
 MENU_CATEGORIES = {"foods": "food", "drinks": "beverage", "desserts": "dessert"}
@@ -139,12 +138,8 @@ def load_restaurants(
     fields it needs. ``key`` names a column that identifies a document and sets the order of the
     ids. Without it documents are numbered as they lie, without a shuffle.
     """
-    if key is None:
-        numbered = assign_ids(documents.select("document"), None, "_place")
-    else:
-        # A sort by range reads its input twice; the texts should be parsed once.
-        parsed = stored(documents.select(key, "document"), "documents")
-        numbered = assign_ids(parsed, [key], "_place")
+    kept, order = (["document"], None) if key is None else ([key, "document"], [key])
+    numbered = assign_ids(documents.select(*kept), order, "_place")
     first_restaurant, first_address = _column(restaurant_start), _column(address_start)
     rows = numbered.withColumns(
         {

@@ -66,13 +66,15 @@ class SortedRun:
 def sorted_run(df: DataFrame, order: Sequence[str | Column] | None) -> SortedRun:
     """Sort and store a table; without an order, store it as it lies, with no shuffle.
 
-    ``order`` must identify a row: rows equal in all of it cannot be divided among tasks. Where
-    a table has no such columns, a file's ``_metadata.file_path`` and ``_metadata.row_index``
-    are some.
+    The table is stored as it lies first. A range sort reads its input twice, which is then a
+    plain scan; and the place a row was stored at settles ties, so that rows equal in all of
+    ``order``, even exact copies, are divided among tasks like any others.
     """
+    rows = stored(df.withColumn(_SLOT, F.monotonically_increasing_id()), "rows")
     if order is not None:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = stored(df.withColumn(_SLOT, F.monotonically_increasing_id()), "run")
+        keys = [*order, _SLOT]
+        ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        rows = stored(ranged.withColumn(_SLOT, F.monotonically_increasing_id()), "run")
     sizes = (
         rows.groupBy(F.shiftright(_SLOT, _PLACE_BITS).alias("part"))
         .agg(F.count(F.lit(1)).alias("n"))

@@ -130,13 +130,13 @@ def restaurant_stats_schema(key: str = "restaurant_name") -> StructType:
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the schema's columns in order and type; absent columns become NULL.
 
-    Values that do not fit the declared type become NULL instead of failing the job.
+    A value that does not fit its declared type is an error, as it is for a database table.
     """
     present = set(df.columns)
     return df.select(
         *[
             (
-                F.col(f"`{field.name}`").try_cast(field.dataType)
+                F.col(f"`{field.name}`").cast(field.dataType)
                 if field.name in present
                 else F.lit(None).cast(field.dataType)
             ).alias(field.name)
@@ -146,7 +146,8 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def typecast(df: DataFrame, schema: StructType) -> DataFrame:
-    """Cast the columns the schema names, leave the others as they are."""
+    """Cast the columns the schema names, leave the others as they are. For untrusted text:
+    a value that does not fit becomes NULL."""
     return df.withColumns(
         {
             field.name: F.col(field.name).try_cast(field.dataType)

@@ -23,7 +23,24 @@ ROCKSDB_STATE = {
 }
 
 
-def build_session(app_name: str = "servery", master: str | None = None, **conf: str) -> SparkSession:
+# Aim for partitions that sort and hash in memory; adaptive execution merges smaller ones.
+_PARTITION_BYTES = 256 << 20
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Partitions for a job whose largest shuffle moves so many bytes. Adaptive execution only
+    ever lowers the number, so it has to be set for the largest."""
+    return max(200, -(-shuffle_bytes // _PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str = "servery",
+    master: str | None = None,
+    shuffle_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    if shuffle_bytes is not None:
+        conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions(shuffle_bytes)), **conf}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -136,12 +136,22 @@ def test_ids_are_dense_and_follow_the_order(skewed):
     assert sorted(row["id"] for row in got) == list(range(40, 5040))
 
 
-def test_a_sorted_run_divides_a_hot_value(skewed):
-    run = sorted_run(skewed.repartition(8), ["g", "n"])
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_sorted_run_divides_hot_values_and_exact_copies(spark, skewed, copies):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = skewed.select("g") if copies else skewed
+        run = sorted_run(df, ["g"])
+        numbered = run.numbered("id").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     sizes = [b - a for a, b in zip(run.offsets, [*run.offsets[1:], run.total], strict=True)]
-    assert run.total == 5000
-    if len(sizes) > 1:
-        assert max(sizes) < 5000 / 3
+    assert run.total == 5000 and len(sizes) == 8 and max(sizes) < 5000 / 4
+    assert [row["g"] for row in sorted(numbered, key=lambda row: row["id"])] == sorted(
+        row["g"] for row in numbered
+    )
+    assert {row["id"] for row in numbered} == set(range(5000))
 
 
 def test_ids_without_an_order_are_dense_and_need_no_shuffle(skewed):
