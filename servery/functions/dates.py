@@ -12,8 +12,8 @@ def parse_day(text: Column) -> Column:
 
 
 def days_between(start: Column, end: Column) -> Column:
-    """Array of the days from start to end, both included."""
-    return F.sequence(start, end, F.expr("interval 1 day"))
+    """Array of the days from start to end, both included; NULL if the end comes first."""
+    return F.when(start <= end, F.sequence(start, end, F.expr("interval 1 day")))
 
 
 def plus_seconds(moment: Column, seconds: Column) -> Column:

@@ -12,7 +12,15 @@ from servery.functions.payload import with_parsed
 from servery.functions.prices import normalized_price, number
 from servery.functions.text import document_json, numbered_name, parse_document, text_lines
 from servery.operators.ids import assign_ids
-from servery.schemas import ADDRESS, MENU_ITEMS, RESTAURANT_DOCUMENT, RESTAURANTS, USERS, conform
+from servery.schemas import (
+    ADDRESS,
+    MENU_ITEMS,
+    RESTAURANT_DOCUMENT,
+    RESTAURANTS,
+    USER_PROFILE,
+    USERS,
+    conform,
+)
 
 # Menu arrays of a restaurant document and the category each stands for, in menu order.
 MENU_CATEGORIES = {"foods": "food", "drinks": "beverage", "desserts": "dessert"}
@@ -33,8 +41,7 @@ def distinct_names(names: DataFrame, column: str) -> DataFrame:
 
 def flatten_users(profiles: DataFrame) -> DataFrame:
     """Profiles to the users columns plus ``address_info``; other columns are kept."""
-    profile_columns = {"name", "dob", "gender", "nat", "login", "email", "phone", "cell", "picture", "location"}
-    kept = [name for name in profiles.columns if name not in profile_columns]
+    kept = [name for name in profiles.columns if name not in USER_PROFILE.names]
     street = F.concat_ws(" ", "location.street.number", "location.street.name")
     place = F.concat_ws(
         ", ", street, "location.city", "location.state", "location.postcode", "location.country"

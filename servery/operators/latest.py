@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
-    """The row of each key that comes last by the sequence columns, batch or streaming.
+    """The row of each key that comes last by the sequence columns, which are never NULL.
+    Batch or streaming.
 
     An aggregate rather than a ranking: each task passes on one row per key, so the shuffle
     does not grow with the number of versions of a key. With one sequence column each value is

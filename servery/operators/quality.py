@@ -50,9 +50,9 @@ def check_messages(
     return decoded.withColumn(REASON, reason).drop(CORRUPT)
 
 
-def amount_out_of_range(column: str) -> Column:
-    """An amount that is present but too large, or not a number, to be summed as cents."""
-    return F.col(column).isNotNull() & cents(F.col(column)).isNull()
+def beyond(column: str, limit: float) -> Column:
+    """A number that is present but larger than the limit either way, or not a number."""
+    return ~F.col(column).between(-limit, limit)
 
 
 def check_documents(parsed: DataFrame, required: Sequence[str], document: str = "document") -> DataFrame:

@@ -81,20 +81,28 @@ WITH foods AS (
 _REVENUE = _TABLES + "SELECT * FROM stats"
 _COUNTS = _TABLES + "SELECT * FROM counts"
 
-ORACLE: dict[str, str] = {
-    "restaurant_revenue": _REVENUE,
-    "restaurant_revenue_stream": _REVENUE,
-    "item_counts": _COUNTS,
-    "item_counts_stream": _COUNTS,
-    "top10_restaurants": _TABLES
-    + "SELECT * FROM stats ORDER BY total_revenue DESC, restaurant_name LIMIT 10",
-    "top10_items": _TABLES
+_TOP_RESTAURANTS = (
+    _TABLES + "SELECT * FROM stats ORDER BY total_revenue DESC, restaurant_name LIMIT 10"
+)
+_TOP_ITEMS = (
+    _TABLES
     + """
 SELECT item_name || chr(10) || '$' || CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR) AS item_name,
        item_quantity, price
 FROM counts JOIN m ON fk_menu_item = item_id
 ORDER BY item_quantity DESC, fk_menu_item LIMIT 10
-""",
+"""
+)
+
+ORACLE: dict[str, str] = {
+    "restaurant_revenue": _REVENUE,
+    "restaurant_revenue_stream": _REVENUE,
+    "item_counts": _COUNTS,
+    "item_counts_stream": _COUNTS,
+    "top10_restaurants": _TOP_RESTAURANTS,
+    "top10_restaurants_live": _TOP_RESTAURANTS,
+    "top10_items": _TOP_ITEMS,
+    "top10_items_live": _TOP_ITEMS,
     "latest_stats": """
 SELECT user_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from servery.functions.dates import parse_day, plus_seconds
-from servery.functions.payload import encode
 from servery.functions.prices import normalized_price
 from servery.functions.text import document_json
 from servery.operators import aggregates, documents, joins, quality
@@ -120,6 +119,16 @@ def item_counts_stream(inputs: Inputs) -> DataFrame:
     )
 
 
+@query
+def top10_restaurants_live(inputs: Inputs) -> DataFrame:
+    return dashboard.top_restaurants(restaurant_revenue_stream(inputs))
+
+
+@query
+def top10_items_live(inputs: Inputs) -> DataFrame:
+    return dashboard.top_items(item_counts_stream(inputs), inputs.menu_items())
+
+
 # --- orders and their dimensions ---------------------------------------------------------
 
 

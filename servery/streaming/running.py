@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from servery.operators.aggregates import item_counts, restaurant_stats
-from servery.operators.quality import Split, amount_out_of_range, check_messages, split
+from servery.operators.quality import Split, beyond, check_messages, split
 from servery.operators.topk import top_k
 from servery.schemas import (
     MENU_ITEM_STATS,
@@ -29,6 +29,12 @@ from servery.sources.changelog import FILE_SEQUENCE, read_current, read_file_cha
 
 RESTAURANT_TOPIC, ITEM_TOPIC = "restaurant_stats", "menu_item_stats"
 
+# A running total cannot be repaired: one NaN, or a sum past its type, would stay in the state
+# or stop the query for good. Messages beyond these limits are kept apart.
+MAX_AMOUNT = 1e12
+MAX_QUANTITY = 10**9
+MAX_RATING = 1e6
+
 
 def order_events(
     messages: DataFrame, key: str = "restaurant_name", schema: StructType = ORDER_EVENT
@@ -38,13 +44,22 @@ def order_events(
         messages,
         schema,
         required=[key],
-        checks={"amount_out_of_range": amount_out_of_range("total_cost")},
+        checks={
+            "amount_out_of_range": beyond("total_cost", MAX_AMOUNT),
+            "rating_out_of_range": beyond("cust_restaurant_rating", MAX_RATING),
+        },
     )
     return split(checked)
 
 
 def order_item_events(messages: DataFrame, schema: StructType = ORDER_ITEM_EVENT) -> Split:
-    return split(check_messages(messages, schema, required=["fk_menu_item"]))
+    checked = check_messages(
+        messages,
+        schema,
+        required=["fk_menu_item"],
+        checks={"quantity_out_of_range": beyond("item_quantity", MAX_QUANTITY)},
+    )
+    return split(checked)
 
 
 def _counted_orders(messages: DataFrame, key: str) -> Split:

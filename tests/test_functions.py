@@ -125,8 +125,9 @@ def test_days(spark):
     texts = ["3/8/2024", "03/08/2024", "2024-03-08", "13/1/2024", "", None]
     day = dt.date(2024, 3, 8)
     assert evaluate(spark, texts, parse_day(F.col("x"))) == [day, day, None, None, None, None]
-    one = evaluate(spark, ["3/8/2024"], F.size(days_between(parse_day(F.col("x")), parse_day(F.col("x")))))
-    assert one == [1]
+    start, end = F.lit("2024-03-08").cast("date"), parse_day(F.col("x"))
+    ends = ["3/8/2024", "3/10/2024", "3/7/2024", "3/1/2025", None]
+    assert evaluate(spark, ends, F.size(days_between(start, end))) == [1, 3, None, 359, None]
 
 
 @pytest.mark.parametrize(

@@ -34,10 +34,10 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-EAGER = {"restaurant_revenue_stream", "item_counts_stream"}
+STREAMS = {"restaurant_revenue_stream", "item_counts_stream", "top10_restaurants_live", "top10_items_live"}
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     for node in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups"):

@@ -7,9 +7,9 @@ import random
 
 import pytest
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import functions as F
 
 from servery.operators.aggregates import item_counts, restaurant_stats
+from servery.operators.joins import labelled_item_counts
 from servery.operators.latest import compact_changelog
 from servery.operators.topk import top_k
 from servery.plans.dashboard import top_items, top_restaurants
@@ -131,7 +131,9 @@ def test_unusable_messages_are_kept_apart(session, topic, tmp_path):
     items = Topic(tmp_path / "items")
     topic.send(order(0, "A", 1.0), "not json", "{}", '{"restaurant_name":"A","total_cost":1e300}')
     topic.send('{"restaurant_name":"A","total_cost":"7.5","cust_restaurant_rating":2}')
+    topic.send('{"restaurant_name":"A","cust_restaurant_rating":NaN}')
     items.send('{"fk_menu_item":11,"item_quantity":2}', '{"item_quantity":2}')
+    items.send(*['{"fk_menu_item":11,"item_quantity":-9223372036854775808}'] * 2)
     job = OrderStatsJob(str(tmp_path / "job"))
     queries = job.start(
         topic.stream(session), items.stream(session), quarantine=True, availableNow=True
@@ -145,10 +147,24 @@ def test_unusable_messages_are_kept_apart(session, topic, tmp_path):
         ("orders", "malformed", 1),
         ("orders", "incomplete", 1),
         ("orders", "amount_out_of_range", 1),
+        ("orders", "rating_out_of_range", 1),
+        ("order_items", "quantity_out_of_range", 2),
         ("order_items", "incomplete", 1),
     }
 
 
+def test_item_statistics_join_the_menu_while_streaming(session, tmp_path):
+    items = Topic(tmp_path / "items")
+    items.send({"fk_menu_item": 1, "item_quantity": 2}, {"fk_menu_item": 9, "item_quantity": 1})
+    items.send({"fk_menu_item": 1, "item_quantity": 3})
+    menu = session.createDataFrame([(1, 0, "Tea", "beverage", 2.5)], MENU_ITEMS)
+    labelled = labelled_item_counts(running_item_counts(items.stream(session)), menu)
+    query = start_file_changelog(labelled, str(tmp_path / "log"), str(tmp_path / "c"), availableNow=True)
+    await_all([query])
+    log = session.read.parquet(str(tmp_path / "log")).select("batch_id", "item_name", "item_quantity")
+    assert as_set(log) == {(0, "Tea\n$2.50", 2), (1, "Tea\n$2.50", 5)}
+
+
 def test_a_failure_of_one_query_stops_the_other(session, topic, tmp_path):
     topic.send(order(0, "A", 1.0))
 
@@ -159,7 +175,10 @@ def test_a_failure_of_one_query_stops_the_other(session, topic, tmp_path):
         running_restaurant_stats(topic.stream(session)), str(tmp_path / "good"), str(tmp_path / "c1")
     )
     bad = start_file_changelog(
-        running_item_counts(topic.stream(session)), str(tmp_path / "bad"), str(tmp_path / "c2"), after_batch=[fail]
+        running_item_counts(topic.stream(session)),
+        str(tmp_path / "bad"),
+        str(tmp_path / "c2"),
+        after_batch=[fail],
     )
     with pytest.raises(StreamingQueryException, match="sink is gone"):
         await_all([good, bad])
@@ -171,9 +190,8 @@ def test_stream_equals_batch_on_many_batches(session, tmp_path):
     rng = random.Random(3)
     for _ in range(5):
         # A third of all messages is about item 0.
-        items.send(
-            *[{"fk_menu_item": rng.choice([0, rng.randrange(40)]), "item_quantity": rng.randrange(1, 9)} for _ in range(60)]
-        )
+        keys = [rng.choice([0, rng.randrange(40)]) for _ in range(60)]
+        items.send(*[{"fk_menu_item": key, "item_quantity": rng.randrange(1, 9)} for key in keys])
     query = start_file_changelog(
         running_item_counts(items.stream(session)),
         str(tmp_path / "log"),
@@ -198,7 +216,8 @@ def test_live_top_k_follows_the_changelog(session, topic, tmp_path):
     def after(batch, batch_id):
         refresh(batch, batch_id)
         log = read_file_changelog(session, changelog, RESTAURANT_STATS)
-        want = top_k(compact_changelog(log, "restaurant_name", FILE_SEQUENCE), "total_revenue", "restaurant_name", 3)
+        stats = compact_changelog(log, "restaurant_name", FILE_SEQUENCE)
+        want = top_k(stats, "total_revenue", "restaurant_name", 3)
         got = session.read.parquet(top).select(RESTAURANT_STATS.names)
         checked.append(as_set(got) == as_set(want))
 
