@@ -87,7 +87,8 @@ def _replayed(inputs: Inputs, rows: DataFrame, key: str, running, schema, stats_
     spark = inputs.spark
     root = scratch_path(spark, "stream")
     cores = spark.sparkContext.defaultParallelism
-    publish_to_files(keyed_messages(rows, key), f"{root}/topic", partitions=cores)
+    # Dealt out before they are encoded: rows are smaller than their messages.
+    publish_to_files(keyed_messages(rows.repartition(cores), key), f"{root}/topic")
     session = streaming_session(spark, state_partitions=cores)
     messages = topic_stream(
         session, f"{root}/topic", fmt="text", maxFilesPerTrigger=str(max(1, cores // 2))

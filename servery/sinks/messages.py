@@ -18,14 +18,8 @@ def publish_to_kafka(messages: DataFrame, topic: str, **options: str) -> None:
     messages.write.format("kafka").option("topic", topic).options(**options).save()
 
 
-def publish_to_files(messages: DataFrame, folder: str, partitions: int | None = None) -> None:
-    """The file twin of a topic: one message per line, to be replayed as a stream.
-
-    With ``partitions`` the messages are dealt out evenly to that many files, whatever their
-    keys; without, they are written as they lie.
-    """
-    if partitions is not None:
-        messages = messages.repartition(partitions)
+def publish_to_files(messages: DataFrame, folder: str) -> None:
+    """The file twin of a topic: one message per line, to be replayed as a stream."""
     messages.select("value").write.mode("append").text(folder)
 
 

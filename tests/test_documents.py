@@ -177,9 +177,9 @@ def test_name_list_file(spark, tmp_path):
 
 def test_messages_through_files(spark, tmp_path):
     rows = spark.sql("SELECT id, concat('it\\'s \"', id, '\"\n') AS name, CAST(NULL AS INT) AS gap FROM range(20)")
-    messages = keyed_messages(rows, "id")
+    messages = keyed_messages(rows.repartition(4), "id")
     assert messages.where("key = '3'").first()["value"] == '{"id":3,"name":"it\'s \\"3\\"\\n"}'
-    publish_to_files(messages, str(tmp_path / "topic"), partitions=4)
+    publish_to_files(messages, str(tmp_path / "topic"))
     assert len(list((tmp_path / "topic").glob("part-*"))) == 4
     back = decode_messages(spark.read.text(str(tmp_path / "topic")), rows.schema)
     assert as_set(back) == as_set(rows)
