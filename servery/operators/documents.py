@@ -22,7 +22,8 @@ from servery.schemas import (
     conform,
 )
 
-# Menu arrays of a restaurant document and the category each stands for, in menu order.
+# Menu arrays of a restaurant document and the category each stands for, in menu
+# order.
 MENU_CATEGORIES = {"foods": "food", "drinks": "beverage", "desserts": "dessert"}
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from servery.operators.ids import SortedRun, sorted_run
 
+# The page sizes on offer.
 PAGE_SIZES = (10, 25, 50, 100)
 
 # For a shallow page every task sends its first rows, up to the page's end, to one task. Past

@@ -143,11 +143,11 @@ def orders_list_sql(inputs: Inputs) -> DataFrame:
     return query_tables(
         inputs.spark,
         """
-        SELECT u.user_fullname, r.restaurant_name, count(*) AS n_orders
-        FROM {orders} o
-        JOIN {restaurants} r ON o.fk_restaurant = r.restaurant_id
-        JOIN {users} u ON o.fk_user = u.user_id
-        GROUP BY u.user_fullname, r.restaurant_name
+        SELECT user_fullname, restaurant_name, count(*) AS n_orders
+        FROM {orders}
+        JOIN {restaurants} ON fk_restaurant = restaurant_id
+        JOIN {users} ON fk_user = user_id
+        GROUP BY user_fullname, restaurant_name
         """,
         orders=inputs.orders(),
         restaurants=inputs.restaurants(),

@@ -19,6 +19,8 @@ def _struct(**fields) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields.items()])
 
 
+# The tables, messages and documents other programs read and write have these
+# column names, in this order.
 _id, _text, _number = LongType(), StringType(), DoubleType()
 
 ADDRESS = _struct(address_id=_id, address_info=_text, longitude=_number, latitude=_number)

@@ -112,6 +112,36 @@ def test_a_restart_continues_from_the_checkpoint(session, topic, tmp_path):
     assert as_set(current) == as_set(restaurant_stats(orders))
 
 
+@pytest.mark.parametrize("after_writing", [False, True])
+def test_a_batch_that_failed_is_counted_once(session, topic, tmp_path, after_writing):
+    """The query dies in its second batch, before or after that was published, and goes on."""
+    for number in range(3):
+        topic.send(order(number, "A", 1.0), order(10 + number, f"B{number}", 2.0))
+    log, checkpoint = str(tmp_path / "changelog"), str(tmp_path / "checkpoint")
+    write = write_changelog_batch(log)
+
+    def die(batch, batch_id):
+        if batch_id == 1 and not after_writing:
+            raise RuntimeError("lost")
+        write(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost")
+
+    stats = running_restaurant_stats(topic.stream(session))
+    writer = stats.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    with pytest.raises(StreamingQueryException, match="lost"):
+        await_all([writer.foreachBatch(die).trigger(availableNow=True).start()])
+    changelog = run(session, topic, tmp_path)
+    assert as_set(changelog.select("batch_id", "restaurant_name", "total_revenue")) == {
+        (0, "A", 1.0),
+        (0, "B0", 2.0),
+        (1, "A", 2.0),
+        (1, "B1", 2.0),
+        (2, "A", 3.0),
+        (2, "B2", 2.0),
+    }
+
+
 def test_a_batch_run_again_replaces_itself(session, tmp_path):
     write = write_changelog_batch(str(tmp_path / "log"))
     rows = [[("A", 1.0, 1.0)], [("A", 2.0, 1.0)], [("A", 2.0, 1.0), ("B", 1.0, 1.0)]]
