@@ -50,14 +50,16 @@ def build_session(
 
 
 def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
-    """A session on the same cluster with RocksDB state and its own query manager.
+    """A session on the same cluster and with the same settings, but RocksDB state and its own
+    query manager.
 
     The number of state partitions is fixed in the checkpoint when a query first starts, so
     choose it for the largest key count expected, not for today's.
     """
     session = spark.newSession()
-    for key, value in {**SESSION_CONF, **ROCKSDB_STATE}.items():
-        if session.conf.isModifiable(key):
+    for key, value in {**spark.conf.getAll, **SESSION_CONF, **ROCKSDB_STATE}.items():
+        # Spark's own settings that are fixed at its start are the same for all sessions.
+        if session.conf.isModifiable(key) or not key.startswith("spark."):
             session.conf.set(key, value)
     if state_partitions is not None:
         session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))

@@ -86,6 +86,15 @@ def as_set(df):
     return set(map(tuple, df.collect()))
 
 
+def test_a_streaming_session_keeps_settings_made_at_run_time(spark):
+    spark.conf.set("fs.example.token", "t")
+    session = streaming_session(spark, state_partitions=3)
+    assert session.conf.get("fs.example.token") == "t"
+    assert session.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert "RocksDB" in session.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
 def test_each_batch_publishes_only_the_keys_it_changed(session, topic, tmp_path):
     topic.send(order(0, "A", 12.34), order(1, "B", 1.0, 2.0))
     topic.send(order(2, "A", 10.0, 1.0))
