@@ -26,6 +26,13 @@ def read_file_changelog(spark: SparkSession, path: str, schema: StructType) -> D
         return spark.createDataFrame([], full)
 
 
+def read_last_batch(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, int]:
+    """The rows of the last batch of a folder and its number, -1 if there is none."""
+    batches = read_file_changelog(spark, path, schema)
+    last = batches.agg(F.coalesce(F.max(FILE_SEQUENCE), F.lit(-1))).first()[0]
+    return batches.where(F.col(FILE_SEQUENCE) == last), last
+
+
 def read_current(
     spark: SparkSession, path: str, schema: StructType, key: str, snapshots: str | None = None
 ) -> DataFrame:
@@ -35,11 +42,8 @@ def read_current(
     """
     changelog = read_file_changelog(spark, path, schema)
     if snapshots is not None:
-        earlier = read_file_changelog(spark, snapshots, schema)
-        last = earlier.agg(F.max(FILE_SEQUENCE)).first()[0]
-        if last is not None:
-            newer = changelog.where(F.col(FILE_SEQUENCE) > last)
-            changelog = earlier.where(F.col(FILE_SEQUENCE) == last).unionByName(newer)
+        earlier, last = read_last_batch(spark, snapshots, schema)
+        changelog = earlier.unionByName(changelog.where(F.col(FILE_SEQUENCE) > last))
     return compact_changelog(changelog, key, FILE_SEQUENCE)
 
 

@@ -10,7 +10,6 @@ from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -24,8 +23,13 @@ from servery.schemas import (
     fields,
     restaurant_stats_schema,
 )
-from servery.sinks.changelog import AfterBatch, keep_snapshots, start_file_changelog
-from servery.sources.changelog import FILE_SEQUENCE, read_current, read_file_changelog
+from servery.sinks.changelog import (
+    AfterBatch,
+    keep_snapshots,
+    start_file_changelog,
+    write_changelog_batch,
+)
+from servery.sources.changelog import FILE_SEQUENCE, read_current, read_last_batch
 
 RESTAURANT_TOPIC, ITEM_TOPIC = "restaurant_stats", "menu_item_stats"
 
@@ -178,7 +182,9 @@ def await_all(queries: list[StreamingQuery]) -> None:
 def live_top_k(
     path: str, key: str, value: str, changelog: str, snapshots: str | None = None, k: int = 10
 ) -> AfterBatch:
-    """Keeps the current top-k in a small table at ``path``; pass it as ``after_batch``.
+    """Publishes the top-k after each batch to a folder, of which
+    :func:`~servery.sources.changelog.read_last_batch` gives the current one; pass it as
+    ``after_batch``.
 
     A batch can only move its own keys. As long as k rows still rank no lower than the previous
     last row, nothing outside the previous top-k and the batch can be among them; if fewer do,
@@ -190,7 +196,7 @@ def live_top_k(
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        previous = read_file_changelog(spark, path, batch.schema).drop(FILE_SEQUENCE).collect()
+        previous = read_last_batch(spark, path, batch.schema)[0].drop(FILE_SEQUENCE).collect()
         best: list[Row] = []
         if len(previous) == k:
             known = spark.createDataFrame(previous, batch.schema)
@@ -201,9 +207,6 @@ def live_top_k(
         if len(best) < k:
             stats = read_current(spark, changelog, batch.schema, key, snapshots)
             best = top_k(stats, value, key, k).collect()
-        current = spark.createDataFrame(best, batch.schema).coalesce(1)
-        current.withColumn(FILE_SEQUENCE, F.lit(batch_id).cast("bigint")).write.mode(
-            "overwrite"
-        ).parquet(path)
+        write_changelog_batch(path, files=1)(spark.createDataFrame(best, batch.schema), batch_id)
 
     return refresh

@@ -16,7 +16,7 @@ from servery.plans.dashboard import top_items, top_restaurants
 from servery.schemas import MENU_ITEM_STATS, MENU_ITEMS, ORDER_EVENT, RESTAURANT_STATS
 from servery.session import streaming_session
 from servery.sinks.changelog import start_file_changelog, write_changelog_batch
-from servery.sources.changelog import FILE_SEQUENCE, read_current, read_file_changelog
+from servery.sources.changelog import FILE_SEQUENCE, read_current, read_file_changelog, read_last_batch
 from servery.sources.streams import decode_messages, topic_stream
 from servery.streaming.running import (
     OrderStatsJob,
@@ -257,7 +257,7 @@ def test_live_top_k_follows_the_changelog(session, topic, tmp_path):
         log = read_file_changelog(session, changelog, RESTAURANT_STATS)
         stats = compact_changelog(log, "restaurant_name", FILE_SEQUENCE)
         want = top_k(stats, "total_revenue", "restaurant_name", 3)
-        got = session.read.parquet(top).select(RESTAURANT_STATS.names)
+        got = read_last_batch(session, top, RESTAURANT_STATS)[0].select(RESTAURANT_STATS.names)
         checked.append(as_set(got) == as_set(want))
 
     for number in range(7):
