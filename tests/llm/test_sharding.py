@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+import pytest
+from conftest import SMALL
+
+from servery.llm import sharding
+from servery.llm.queries import QUERIES
+
+SCHEMA = "doc_id long, text string, source string, shard int"
+
+
+def documents(n: int):
+    rows = [(i, f"text {i}", "hot" if i % 3 else f"s{i % 7}", 9) for i in range(n)]
+    return [*rows, (None, None, None, 9), (5, "text 5", "s1", 9), (5, "text 5", "s1", 9), (n, "", "s2", None)]
+
+
+def test_query_on_the_whole_table(spark):
+    rows = QUERIES["op2_interleaved_shards"](spark, SMALL).collect()
+    texts = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    assert Counter(r.doc_id for r in rows) == Counter(texts)
+    for r in rows:
+        text = texts[r.doc_id].text.encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(text) + 1, zlib.crc32(text), "rows", None)
+    sizes = Counter(r.shard for r in rows)
+    assert set(sizes) == set(range(16)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for shard in range(16):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sizes[shard]))
+    share = Counter((r.shard, r.source) for r in rows)
+    for source, n in Counter(r.source for r in rows).items():
+        assert all(abs(share[shard, source] - n / 16) <= 1.01 for shard in range(16))
+
+
+@pytest.mark.parametrize("n", [0, 1, 500])
+def test_nulls_copies_clashing_names_and_few_rows(spark, n):
+    frame = spark.createDataFrame(documents(n), SCHEMA)
+    rows = sharding.shard_digest(frame, 4).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in documents(n))
+    assert sorted(r.position for r in rows) == list(range(n + 4))
+    sizes = Counter(r.shard for r in rows)
+    assert max(sizes.values()) - min(sizes.get(s, 0) for s in range(4)) <= 1
+
+
+def test_empty_table(spark):
+    assert sharding.shard_digest(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_buckets_do_not_change_the_order(spark, monkeypatch):
+    frame = spark.createDataFrame(documents(700), SCHEMA)
+    one = sorted((r.position, r.doc_id) for r in sharding.shard_digest(frame).collect() if r.doc_id != 5)
+    monkeypatch.setattr(sharding, "buckets_for", lambda n: 64)
+    many = sorted((r.position, r.doc_id) for r in sharding.shard_digest(frame).collect() if r.doc_id != 5)
+    assert one == many
+
+
+def test_written_shards_hold_the_documents(spark, tmp_path):
+    frame = spark.createDataFrame(documents(100), SCHEMA).drop("shard")
+    sharding.write_shards(frame, f"{tmp_path}/out", 4)
+    back = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert Counter((r.doc_id, r.text) for r in back) == Counter(r[:2] for r in documents(100))
+    assert len({(r.shard, r.slot) for r in back}) == len(back)
