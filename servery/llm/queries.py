@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from servery.llm.common import table
 from servery.llm.sharding import shard_digest
+from servery.llm.toxicity import toxicity_scores
 
 
 def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_interleaved_shards": op2_interleaved_shards,
+    "op8_subword_toxicity": op8_subword_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
