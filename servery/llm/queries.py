@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from servery.llm.common import table
+from servery.llm.pii import pii_digest
 from servery.llm.sharding import shard_digest
 from servery.llm.toxicity import toxicity_scores
 
@@ -17,9 +18,14 @@ def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_interleaved_shards": op2_interleaved_shards,
     "op8_subword_toxicity": op8_subword_toxicity,
+    "op10_deobfuscated_pii": op10_deobfuscated_pii,
 }
 
 ORACLE: dict[str, str] = {}

@@ -52,7 +52,9 @@ def _ranked(rows: DataFrame, stratum: str, tie: list[str], buckets: int) -> Data
         F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"),
         F.sum("_in").over(Window.partitionBy(stratum)).alias("_of"),
     )
-    inside = Window.partitionBy(stratum, "_bucket").orderBy("_h", *tie)
+    # Buckets are ranges of the unsigned hash, so the order inside them is unsigned as well.
+    unsigned = F.col("_h").bitwiseXOR(F.lit(-(2**63)))
+    inside = Window.partitionBy(stratum, "_bucket").orderBy(unsigned, *tie)
     return (
         rows.withColumn("_rank", F.row_number().over(inside))
         .join(offsets, F.col(stratum).eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
