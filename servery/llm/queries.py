@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from servery.llm.common import table
 from servery.llm.pii import pii_digest
 from servery.llm.sharding import shard_digest
+from servery.llm.simhash import simhash_digest
 from servery.llm.toxicity import toxicity_scores
 
 
@@ -14,6 +15,10 @@ def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,6 +29,7 @@ def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_interleaved_shards": op2_interleaved_shards,
+    "op4_gray_simhash": op4_gray_simhash,
     "op8_subword_toxicity": op8_subword_toxicity,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
 }
