@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from servery.llm.common import table
+from servery.llm.hosts import HOST_RULE_SQL, host_rule_digest
 from servery.llm.pii import pii_digest
 from servery.llm.sharding import shard_digest
 from servery.llm.simhash import simhash_digest
@@ -15,6 +16,10 @@ def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rule_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(table(spark, sf_dir, "documents"))
 
@@ -29,9 +34,12 @@ def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_interleaved_shards": op2_interleaved_shards,
+    "op3_host_rules": op3_host_rules,
     "op4_gray_simhash": op4_gray_simhash,
     "op8_subword_toxicity": op8_subword_toxicity,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_host_rules": HOST_RULE_SQL,
+}
