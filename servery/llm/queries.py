@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from servery.llm.common import table
 from servery.llm.hosts import HOST_RULE_SQL, host_rule_digest
 from servery.llm.pii import pii_digest
+from servery.llm.secrets import secret_digest
 from servery.llm.sharding import shard_digest
 from servery.llm.simhash import simhash_digest
 from servery.llm.toxicity import toxicity_scores
@@ -24,6 +25,10 @@ def op4_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_shared_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,6 +41,7 @@ QUERIES = {
     "op2_interleaved_shards": op2_interleaved_shards,
     "op3_host_rules": op3_host_rules,
     "op4_gray_simhash": op4_gray_simhash,
+    "op5_shared_secrets": op5_shared_secrets,
     "op8_subword_toxicity": op8_subword_toxicity,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
 }
