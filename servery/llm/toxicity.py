@@ -41,10 +41,10 @@ def gram_buckets(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
     there is nothing else. A word has three characters with its marks at least, so one n-gram."""
     marked = [f"<{word.strip(_EDGES) or word}>" for word in found]
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
-    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    word = np.repeat(np.arange(len(marked)), sizes)
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
+    word = np.repeat(np.arange(len(marked), dtype=np.int32), sizes)
     left = np.repeat(sizes.cumsum(), sizes) - np.arange(len(codes))  # characters to the word's end
-    buckets, owners, h = [], [], codes * np.uint64(0)
+    buckets, owners, h = [], [], np.zeros(len(codes), np.uint64)
     for n in range(1, GRAMS[-1] + 1):
         if len(codes) < n:
             break
@@ -52,7 +52,7 @@ def gram_buckets(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if n in GRAMS:
             inside = left[: len(h)] >= n
             mixed = (h[inside] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
-            buckets.append((mixed >> np.uint64(64 - _BITS)).astype(np.int64))
+            buckets.append((mixed >> np.uint64(64 - _BITS)).astype(np.int32))
             owners.append(word[: len(h)][inside])
     return np.concatenate(buckets), np.concatenate(owners)
 
@@ -76,12 +76,15 @@ def fit(texts: list[str | None], labels: list[int], steps: int = 100, rate: floa
     weights = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     if not passages or not 0 < y.sum() < len(y):
         return {"values": np.zeros(BUCKETS, np.float32), "bias": bias, "prior": prior}
-    tokens, passages, owner = np.asarray(tokens), np.asarray(passages), np.asarray(owner)
-    buckets, of_word = gram_buckets(list(number))
+    tokens, passages, owner = np.asarray(tokens, np.int32), np.asarray(passages), np.asarray(owner)
+    found, step = list(number), 50_000
+    parts = [gram_buckets(found[at : at + step]) for at in range(0, len(found), step)]
+    buckets = np.concatenate([b for b, _ in parts])
+    of_word = np.concatenate([w + np.int32(k * step) for k, (_, w) in enumerate(parts)])
     n_grams, n_words = np.bincount(of_word), np.diff(np.append(passages, len(tokens)))
     docs, first = np.unique(owner, return_index=True)
     used = np.unique(buckets)  # the other rows get no gradient
-    place = np.zeros(BUCKETS, np.int64)
+    place = np.zeros(BUCKETS, np.int32)
     place[used] = np.arange(len(used))
     local, parameters = place[buckets], [embedding[used], weights, np.array([0.0, bias])]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
@@ -175,9 +178,21 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> dict:
-    """The model of the labelled sample. Repeated documents count once for each label row."""
-    sample = training_sample(docs, labels, most).dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    return fit(sample["text"].tolist(), sample["toxic"].astype(int).tolist())
+    """The model of the labelled sample, fitted in one task: the sample is bounded. Repeated
+    documents count once. What comes back is a number for each n-gram bucket."""
+    sample = training_sample(docs, labels, most).dropDuplicates(["doc_id"])
+
+    def fit_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [row for batch in batches for row in zip(batch.doc_id, batch.text, batch.toxic)]
+        rows.sort(key=lambda row: row[0])
+        model = fit([row[1] for row in rows], [int(row[2]) for row in rows])
+        yield pd.DataFrame({k: [v.tobytes() if k == "values" else v] for k, v in model.items()})
+
+    fitted = sample.repartition(1).mapInPandas(fit_all, "values binary, bias double, prior double").collect()
+    model = fitted[0].asDict() if fitted else fit([], [])
+    if fitted:
+        model["values"] = np.frombuffer(model["values"], np.float32)
+    return model
 
 
 def scored(docs: DataFrame, model: dict, text: str = "text", column: str = "score") -> DataFrame:
