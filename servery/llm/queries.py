@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from servery.llm.common import table
+from servery.llm.contamination import CONTAMINATION_SQL, contamination_digest
 from servery.llm.hosts import HOST_RULE_SQL, host_rule_digest
 from servery.llm.pii import pii_digest
 from servery.llm.secrets import secret_digest
@@ -33,6 +34,10 @@ def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
@@ -43,9 +48,11 @@ QUERIES = {
     "op4_gray_simhash": op4_gray_simhash,
     "op5_shared_secrets": op5_shared_secrets,
     "op8_subword_toxicity": op8_subword_toxicity,
+    "op9_positional_decontamination": op9_positional_decontamination,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
 }
 
 ORACLE: dict[str, str] = {
     "op3_host_rules": HOST_RULE_SQL,
+    "op9_positional_decontamination": CONTAMINATION_SQL,
 }
