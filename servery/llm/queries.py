@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from servery.llm.common import table
 from servery.llm.contamination import CONTAMINATION_SQL, contamination_digest
 from servery.llm.hosts import HOST_RULE_SQL, host_rule_digest
+from servery.llm.packing import packing_digest
 from servery.llm.pii import pii_digest
 from servery.llm.secrets import secret_digest
 from servery.llm.sharding import shard_digest
@@ -30,6 +31,10 @@ def op5_shared_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +52,7 @@ QUERIES = {
     "op3_host_rules": op3_host_rules,
     "op4_gray_simhash": op4_gray_simhash,
     "op5_shared_secrets": op5_shared_secrets,
+    "op6_retrieval_packing": op6_retrieval_packing,
     "op8_subword_toxicity": op8_subword_toxicity,
     "op9_positional_decontamination": op9_positional_decontamination,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
