@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from servery.llm.common import table
 from servery.llm.contamination import CONTAMINATION_SQL, contamination_digest
 from servery.llm.hosts import HOST_RULE_SQL, host_rule_digest
+from servery.llm.lines import line_digest
 from servery.llm.packing import packing_digest
 from servery.llm.pii import pii_digest
 from servery.llm.secrets import secret_digest
@@ -35,6 +36,10 @@ def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op4_gray_simhash": op4_gray_simhash,
     "op5_shared_secrets": op5_shared_secrets,
     "op6_retrieval_packing": op6_retrieval_packing,
+    "op7_winnowed_lines": op7_winnowed_lines,
     "op8_subword_toxicity": op8_subword_toxicity,
     "op9_positional_decontamination": op9_positional_decontamination,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
