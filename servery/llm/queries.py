@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from servery.llm import chat
 from servery.llm.common import table
 from servery.llm.contamination import CONTAMINATION_SQL, contamination_digest
 from servery.llm.hosts import HOST_RULE_SQL, host_rule_digest
@@ -16,6 +17,10 @@ from servery.llm.simhash import simhash_digest
 from servery.llm.toxicity import toxicity_scores
 
 
+def op1_hmm_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(table(spark, sf_dir, "conversations"))
+
+
 def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hmm_transcripts": op1_hmm_transcripts,
     "op2_interleaved_shards": op2_interleaved_shards,
     "op3_host_rules": op3_host_rules,
     "op4_gray_simhash": op4_gray_simhash,
