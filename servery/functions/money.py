@@ -1,23 +1,33 @@
-"""Money as whole cents: exact sums in a primitive long, and no decimal objects per row."""
+"""Money as exact decimals with two places."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: 26 digits before the point; sums have ten more.
+MONEY = "decimal(28,2)"
 
-def cents(amount: Column) -> Column:
-    """Nearest whole cent; ties go to the even cent. NaN and amounts past a long give NULL."""
-    return F.rint(amount * F.lit(100.0)).try_cast("bigint")
 
+def money(amount: Column) -> Column:
+    """The amount as written, rounded half up to whole cents: 1.015 is 1.02. NaN, infinities and
+    what has more than 26 digits before the point give NULL."""
+    return amount.try_cast(MONEY)
 
-def amount(total_cents: Column) -> Column:
-    return total_cents / F.lit(100.0)
+
+def total(amounts: Column) -> Column:
+    """The exact sum of :func:`money` values."""
+    return F.try_sum(amounts)
+
+
+def amount(total_money: Column) -> Column:
+    return total_money.cast("double")
 
 
 def price_text(price: Column) -> Column:
-    """Always two decimals, whatever the engine's way of printing doubles."""
-    return price.cast("decimal(18,2)").cast("string")
+    """Two decimals, whatever the engine's way of printing doubles; a price past all money as
+    it stands."""
+    return F.coalesce(money(price).cast("string"), price.cast("string"))
 
 
 def item_label(name: Column, price: Column) -> Column:

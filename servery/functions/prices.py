@@ -10,7 +10,9 @@ _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def number(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """The number a text writes; NULL also where it is past all doubles."""
+    value = text.try_cast("double")
+    return F.when(text.rlike(_NUMBER) & (F.abs(value) < float("inf")), value)
 
 
 def normalized_price(raw: Column) -> Column:

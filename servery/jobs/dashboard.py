@@ -34,12 +34,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--descending", action="store_true")
     parser.add_argument("--size", type=int, choices=PAGE_SIZES, default=10)
     parser.add_argument("--page", type=int, default=1)
+    parser.add_argument("--shuffle-bytes", type=int, help="of the largest shuffle")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = build_session("order-dashboard")
+    spark = build_session("order-dashboard", shuffle_bytes=args.shuffle_bytes)
     job = OrderStatsJob(args.root, args.key)
     menu = scan_table(spark, f"{args.tables}/menu_items", MENU_ITEMS)
     listing = order_listing(
@@ -53,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     top_restaurants(job.restaurant_stats(spark), key=args.key).show(truncate=False)
     top_items(job.item_counts(spark), menu).show(truncate=False)
     listing.page(args.page).show(args.size, truncate=False)
-    print(f"page {args.page} of {listing.total_pages}")
+    print(f"page {args.page} of {listing.total_pages()}")
 
 
 if __name__ == "__main__":

@@ -13,15 +13,16 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from servery.operators.documents import load_restaurants, load_users, parse_restaurants
+from servery.operators.documents import load_restaurants, load_users, parse_restaurants, parse_users
 from servery.operators.ids import next_id
 from servery.operators.quality import check_documents, quarantined, usable
 from servery.schemas import TABLES
 from servery.session import build_session
 from servery.sinks.tables import append_new, create_tables
-from servery.sources.documents import read_text_documents, read_user_documents
+from servery.sources.documents import read_document_lines, read_text_documents
 from servery.sources.tables import scan_table
 
+USER_REQUIRED = ["name", "login.username"]
 REQUIRED = ["restaurant_name", "address", "foods", "drinks", "desserts"]
 
 
@@ -31,12 +32,14 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--users", help="folder of user profile documents")
     parser.add_argument("--restaurants", help="folder of restaurant texts")
     parser.add_argument("--rejects", required=True, help="folder of what could not be loaded")
+    parser.add_argument("--lines", action="store_true", help="one document on each line of a file")
+    parser.add_argument("--shuffle-bytes", type=int, help="of the largest shuffle")
     return parser.parse_args(argv)
 
 
 class Loader:
-    def __init__(self, spark: SparkSession, tables: str, rejects: str):
-        self.spark, self.rejects = spark, rejects
+    def __init__(self, spark: SparkSession, tables: str, rejects: str, lines: bool = False):
+        self.spark, self.rejects, self.lines = spark, rejects, lines
         self.paths = create_tables(spark, tables)
 
     def stored(self, table: str) -> DataFrame:
@@ -49,12 +52,20 @@ class Loader:
 
     def append(self, table: str, rows: DataFrame) -> None:
         schema, key = TABLES[table]
-        rejected = append_new(rows, self.paths[table], schema, key).rejected
-        rejected.write.mode("append").parquet(f"{self.rejects}/{table}")
+        append = append_new(rows, self.paths[table], schema, key)
+        append.rejected.write.mode("append").parquet(f"{self.rejects}/{table}")
+        append.close()
+
+    def reject(self, kind: str, checked: DataFrame) -> None:
+        bad = quarantined(checked).select("document_id", "text", "reason")
+        bad.write.mode("append").parquet(f"{self.rejects}/{kind}")
 
     def users(self, folder: str) -> None:
+        texts = (read_document_lines if self.lines else read_text_documents)(self.spark, folder)
+        checked = check_documents(parse_users(texts), USER_REQUIRED)
+        self.reject("user_documents", checked)
         tables = load_users(
-            read_user_documents(self.spark, folder),
+            usable(checked).select("document.*"),
             self.first_free("users"),
             self.first_free("address"),
         )
@@ -62,10 +73,9 @@ class Loader:
         self.append("users", tables.users)
 
     def restaurants(self, folder: str) -> None:
-        parsed = parse_restaurants(read_text_documents(self.spark, folder))
-        checked = check_documents(parsed, REQUIRED)
-        bad = quarantined(checked).select("document_id", "text", "reason")
-        bad.write.mode("append").parquet(f"{self.rejects}/documents")
+        texts = (read_document_lines if self.lines else read_text_documents)(self.spark, folder)
+        checked = check_documents(parse_restaurants(texts), REQUIRED)
+        self.reject("documents", checked)
         tables = load_restaurants(
             usable(checked),
             None,
@@ -80,7 +90,9 @@ class Loader:
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    loader = Loader(build_session("load-documents"), args.tables, args.rejects)
+    loader = Loader(
+        build_session("load-documents", shuffle_bytes=args.shuffle_bytes), args.tables, args.rejects, args.lines
+    )
     if args.users:
         loader.users(args.users)
     if args.restaurants:

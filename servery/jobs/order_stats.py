@@ -19,6 +19,7 @@ from servery.streaming.running import (
     await_all,
     running_item_counts,
     running_restaurant_stats,
+    start_quarantines,
 )
 
 
@@ -35,14 +36,17 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--files-per-batch", type=int, help="of the changelogs")
     parser.add_argument("--snapshot-every", type=int, default=100, help="batches")
     parser.add_argument("--max-per-trigger", help="messages (Kafka) or files (text) of a batch")
-    parser.add_argument("--quarantine", action="store_true", help="keep unusable messages")
+    parser.add_argument(
+        "--quarantine", action=argparse.BooleanOptionalAction, default=True, help="keep unusable messages"
+    )
     parser.add_argument("--once", action="store_true", help="end when all present input is read")
+    parser.add_argument("--shuffle-bytes", type=int, help="of the largest shuffle")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    session = streaming_session(build_session("order-stats"), args.state_partitions)
+    session = streaming_session(build_session("order-stats", shuffle_bytes=args.shuffle_bytes), args.state_partitions)
     servers = {"kafka.bootstrap.servers": args.servers} if args.servers else {}
     source = dict(servers) if args.format == "kafka" else {}
     if args.max_per_trigger:
@@ -65,6 +69,8 @@ def main(argv: list[str] | None = None) -> None:
             )
             for topic, (stats, key) in streams.items()
         ]
+        if args.quarantine:
+            queries += start_quarantines(args.root, orders, items, args.key, **trigger)
     await_all(queries)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from servery.functions.dates import parse_day
 from servery.operators.joins import enrich_orders
-from servery.operators.quality import check_period
+from servery.operators.quality import check_period, in_period
 from servery.schemas import ORDER_ITEM, ORDERS, RESTAURANTS
 from servery.session import build_session
 from servery.sinks.messages import keyed_messages, publish_to_files, publish_to_kafka
@@ -28,21 +28,18 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--orders", default="orders_topic")
     parser.add_argument("--items", default="order_items_topic")
+    parser.add_argument("--shuffle-bytes", type=int, help="of the largest shuffle")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = build_session("publish-orders")
+    spark = build_session("publish-orders", shuffle_bytes=args.shuffle_bytes)
     days = tuple(spark.range(1).select(parse_day(F.lit(args.start)), parse_day(F.lit(args.end))).first())
     if None in days:
         raise ValueError("days are written month/day/year")
     check_period(*days)
-    # The last moment of the last day may be the midnight after it.
-    in_period = F.col("order_datetime").between(
-        F.lit(days[0]).cast("timestamp_ntz"), F.date_add(F.lit(days[1]), 1).cast("timestamp_ntz")
-    )
-    orders = scan_table(spark, f"{args.tables}/orders", ORDERS, in_period)
+    orders = scan_table(spark, f"{args.tables}/orders", ORDERS, in_period("order_datetime", *days))
     restaurants = scan_table(spark, f"{args.tables}/restaurants", RESTAURANTS)
     items = scan_table(spark, f"{args.tables}/order_item", ORDER_ITEM).join(
         orders.select(F.col("order_id").alias("fk_order")), "fk_order", "left_semi"

@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servery.functions.money import amount, cents
+from servery.functions.money import amount, money, total
 
 
 def restaurant_stats(orders: DataFrame, key: str = "restaurant_name") -> DataFrame:
     """Revenue and mean rating per restaurant. Restaurants of one name count as one, unless
     ``key`` names their id."""
     return orders.groupBy(key).agg(
-        amount(F.sum(cents(F.col("total_cost")))).alias("total_revenue"),
+        amount(total(money(F.col("total_cost")))).alias("total_revenue"),
         F.avg("cust_restaurant_rating").alias("avg_rate"),
     )
 
@@ -30,7 +30,7 @@ def restaurant_stats_from_tables(
     never an order; the totals of equally named restaurants are then added up.
     """
     per_id = orders.groupBy("fk_restaurant").agg(
-        F.sum(cents(F.col("total_cost"))).alias("cents"),
+        total(money(F.col("total_cost"))).alias("revenue"),
         F.sum("cust_restaurant_rating").alias("ratings"),
         F.count("cust_restaurant_rating").alias("rated"),
     )
@@ -38,24 +38,26 @@ def restaurant_stats_from_tables(
         restaurants.select("restaurant_id", key), F.col("fk_restaurant") == F.col("restaurant_id")
     )
     return named.groupBy(key).agg(
-        amount(F.sum("cents")).alias("total_revenue"),
+        amount(total(F.col("revenue"))).alias("total_revenue"),
         F.try_divide(F.sum("ratings"), F.sum("rated")).alias("avg_rate"),
     )
 
 
 def item_counts(order_items: DataFrame) -> DataFrame:
-    """Quantity ordered per menu item."""
-    return order_items.groupBy("fk_menu_item").agg(F.sum("item_quantity").alias("item_quantity"))
+    """Quantity ordered per menu item. Summed wider than its type, so that no quantity can stop
+    a running query; a sum past a long is NULL."""
+    wide = F.sum(F.col("item_quantity").cast("decimal(20,0)"))
+    return order_items.groupBy("fk_menu_item").agg(wide.try_cast("bigint").alias("item_quantity"))
 
 
 def order_totals(order_items: DataFrame, menu_items: DataFrame) -> DataFrame:
     """Cost of each order from its items' prices and quantities."""
     priced = order_items.select("fk_order", "fk_menu_item", "item_quantity").join(
-        menu_items.select("item_id", cents(F.col("price")).alias("price_cents")),
+        menu_items.select("item_id", money(F.col("price")).alias("price")),
         F.col("fk_menu_item") == F.col("item_id"),
     )
     return priced.groupBy("fk_order").agg(
-        amount(F.sum(F.col("price_cents") * F.col("item_quantity"))).alias("total_cost")
+        amount(total(F.try_multiply(F.col("price"), F.col("item_quantity")))).alias("total_cost")
     )
 
 

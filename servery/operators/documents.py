@@ -17,6 +17,7 @@ from servery.schemas import (
     MENU_ITEMS,
     RESTAURANT_DOCUMENT,
     RESTAURANTS,
+    USER_DOCUMENT,
     USER_PROFILE,
     USERS,
     conform,
@@ -40,6 +41,13 @@ def distinct_names(names: DataFrame, column: str) -> DataFrame:
 # --- user profiles -----------------------------------------------------------------------
 
 
+def parse_users(texts: DataFrame, text: str = "text") -> DataFrame:
+    """A row for each profile of each text, in column ``document``; a text that holds none, or
+    is no user document, keeps one row with NULL there."""
+    parsed = with_parsed(texts, F.from_json(F.col(text), USER_DOCUMENT), "_parsed")
+    return parsed.select(*texts.columns, F.explode_outer("_parsed.results").alias("document"))
+
+
 def flatten_users(profiles: DataFrame) -> DataFrame:
     """Profiles to the users columns plus ``address_info``; other columns are kept."""
     kept = [name for name in profiles.columns if name not in USER_PROFILE.names]

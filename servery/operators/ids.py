@@ -19,7 +19,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from servery.staging import stored
+from servery.staging import discard, stored
 
 # monotonically_increasing_id() is (partition << 33) + row within the partition.
 _PLACE_BITS = 33
@@ -34,6 +34,11 @@ class SortedRun:
     partitions: list[int]  # non-empty ones, ascending
     offsets: list[int]  # rows before each of them
     total: int
+    path: str  # where the rows are stored
+
+    def close(self) -> None:
+        """Delete the stored rows; nothing made of them can be read afterwards."""
+        discard(self.rows.sparkSession, self.path)
 
     def numbered(self, column: str, start: int | Column = 0) -> DataFrame:
         """All rows with their position, counted from ``start``."""
@@ -43,8 +48,8 @@ class SortedRun:
         )
         part = F.shiftright(_SLOT, _PLACE_BITS)
         place = F.col(_SLOT) - F.shiftleft(part, _PLACE_BITS)
-        # One row per partition of the run: safe to broadcast at any table size.
-        joined = self.rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+        # One row per partition of the run; Spark broadcasts it while it is small.
+        joined = self.rows.withColumn("_part", part).join(offsets, "_part")
         first = start if isinstance(start, Column) else F.lit(start)
         position = (first + F.col("_offset") + place).cast("bigint")
         return joined.withColumn(column, position).drop("_part", "_offset", _SLOT)
@@ -70,11 +75,12 @@ def sorted_run(df: DataFrame, order: Sequence[str | Column] | None) -> SortedRun
     plain scan; and the place a row was stored at settles ties, so that rows equal in all of
     ``order``, even exact copies, are divided among tasks like any others.
     """
-    rows = stored(df.withColumn(_SLOT, F.monotonically_increasing_id()), "rows")
+    rows, path = stored(df.withColumn(_SLOT, F.monotonically_increasing_id()), "rows")
     if order is not None:
         keys = [*order, _SLOT]
         ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        rows = stored(ranged.withColumn(_SLOT, F.monotonically_increasing_id()), "run")
+        unsorted, (rows, path) = path, stored(ranged.withColumn(_SLOT, F.monotonically_increasing_id()), "run")
+        discard(df.sparkSession, unsorted)
     sizes = (
         rows.groupBy(F.shiftright(_SLOT, _PLACE_BITS).alias("part"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -83,7 +89,7 @@ def sorted_run(df: DataFrame, order: Sequence[str | Column] | None) -> SortedRun
     sizes = sorted((row["part"], row["n"]) for row in sizes)
     ends = list(accumulate(n for _, n in sizes))
     total = ends[-1] if ends else 0
-    return SortedRun(rows, [part for part, _ in sizes], [0, *ends[:-1]] if ends else [], total)
+    return SortedRun(rows, [part for part, _ in sizes], [0, *ends[:-1]] if ends else [], total, path)
 
 
 def assign_ids(

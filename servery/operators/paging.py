@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,16 +12,6 @@ from servery.operators.ids import SortedRun, sorted_run
 # The page sizes on offer.
 PAGE_SIZES = (10, 25, 50, 100)
 
-# For a shallow page every task sends its first rows, up to the page's end, to one task. Past
-# this many the listing is stored sorted and the page is read from its place.
-SHALLOW_ROWS = 1_000
-
-
-def sort_order(column: str, tie_break: str, ascending: bool = True) -> list[Column]:
-    """Order by a chosen column with a key behind it, so that pages do not overlap."""
-    chosen = F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)
-    return [chosen] if column == tie_break else [chosen, F.asc(tie_break)]
-
 
 def page_index(df: DataFrame, sizes: Sequence[int] = PAGE_SIZES) -> DataFrame:
     """Number of pages for each page size; the last page may be partial."""
@@ -32,37 +21,76 @@ def page_index(df: DataFrame, sizes: Sequence[int] = PAGE_SIZES) -> DataFrame:
     )
 
 
+def listing(df: DataFrame, column: str, tie_break: str, size: int, ascending: bool = True) -> Listing:
+    """Sorted by a chosen column with a key behind it, so that pages do not overlap."""
+    if column == tie_break:
+        return Listing(df, [column], size, [ascending])
+    return Listing(df, [column, tie_break], size, [ascending, True])
+
+
+def _checked(number: int) -> int:
+    if number < 1:
+        raise ValueError("pages count from 1")
+    return number
+
+
 class Listing:
-    """A sorted table seen one page at a time; pages count from 1.
+    """A sorted table seen one page at a time, as it is now; pages count from 1.
 
-    The first pages are plain top-k queries. The first page beyond :data:`SHALLOW_ROWS` stores
-    the listing sorted, and from then on any page costs one small read.
+    A page is a top-k query whose tasks each pass on their first rows up to the page's end. For
+    many pages, or deep ones, :meth:`stored` sorts the table once.
     """
 
-    def __init__(self, df: DataFrame, order: Sequence[Column], size: int):
+    def __init__(self, df: DataFrame, order: Sequence[str], size: int, ascending: Sequence[bool]):
         if size < 1:
             raise ValueError("page size must be at least 1")
-        self._df, self._order, self._size = df, list(order), size
+        self._df, self._order, self._size, self._ascending = df, list(order), size, list(ascending)
 
-    @cached_property
-    def _run(self) -> SortedRun:
-        return sorted_run(self._df, self._order)
+    def _sorting(self, forward: bool = True) -> list[Column]:
+        """NULLs come last, and first when turned round."""
+        pairs = zip(self._order, self._ascending, strict=True)
+        if forward:
+            return [F.asc_nulls_last(c) if up else F.desc_nulls_last(c) for c, up in pairs]
+        return [F.desc_nulls_first(c) if up else F.asc_nulls_first(c) for c, up in pairs]
 
-    @cached_property
     def total_pages(self) -> int:
-        rows = self._run.total if "_run" in self.__dict__ else self._df.count()
-        return -(-rows // self._size)
+        return -(-self._df.count() // self._size)
 
     def page(self, number: int) -> DataFrame:
         """The rows of one page in order; none past the end."""
-        if number < 1:
-            raise ValueError("pages count from 1")
-        offset = (number - 1) * self._size
-        if "_run" not in self.__dict__ and offset + self._size <= SHALLOW_ROWS:
-            return self._df.orderBy(*self._order).offset(offset).limit(self._size)
-        return self._run.slice(offset, self._size)
+        offset = (_checked(number) - 1) * self._size
+        return self._df.orderBy(*self._sorting()).offset(offset).limit(self._size)
+
+    def last_page(self) -> DataFrame:
+        """The last page: the first rows of the order turned round, as many as it has."""
+        rows = self._df.count()
+        last = rows % self._size or min(rows, self._size)
+        return self._df.orderBy(*self._sorting(forward=False)).limit(last).orderBy(*self._sorting())
+
+    def stored(self) -> StoredListing:
+        """The listing as it is now, sorted and stored: any page of it is a small read."""
+        return StoredListing(sorted_run(self._df, self._sorting()), self._size)
+
+
+class StoredListing:
+    """Pages of a listing as it was when stored. Close it to delete it; or use it in a ``with``
+    statement."""
+
+    def __init__(self, run: SortedRun, size: int):
+        self._run, self._size = run, size
+        self.total_pages = -(-run.total // size)
+
+    def page(self, number: int) -> DataFrame:
+        return self._run.slice((_checked(number) - 1) * self._size, self._size)
 
     def last_page(self) -> DataFrame:
-        """The last page, read from the stored listing."""
-        pages = -(-self._run.total // self._size)
-        return self._run.slice(max(pages - 1, 0) * self._size, self._size)
+        return self.page(max(self.total_pages, 1))
+
+    def close(self) -> None:
+        self._run.close()
+
+    def __enter__(self) -> StoredListing:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()

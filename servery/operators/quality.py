@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from servery.functions.money import cents
+from servery.functions.money import money
 from servery.functions.payload import CORRUPT, decode_marked, with_parsed
 from servery.operators.aggregates import order_totals
 
@@ -50,9 +50,9 @@ def check_messages(
     return decoded.withColumn(REASON, reason).drop(CORRUPT)
 
 
-def beyond(column: str, limit: float) -> Column:
-    """A number that is present but larger than the limit either way, or not a number."""
-    return ~F.col(column).between(-limit, limit)
+def not_money(column: str) -> Column:
+    """A number that is present but no amount: NaN, infinite, or of more digits than any sum."""
+    return F.col(column).isNotNull() & money(F.col(column)).isNull()
 
 
 def check_documents(parsed: DataFrame, required: Sequence[str], document: str = "document") -> DataFrame:
@@ -90,6 +90,15 @@ def check_period(start: date, end: date) -> None:
         raise ValueError("the end of a period must lie after its start")
 
 
+def in_period(column: str, start: date, end: date) -> Column:
+    """From the first day up to, but without, the midnight after the last: periods that follow
+    each other share no moment."""
+    moment = F.col(column)
+    return (moment >= F.lit(start).cast("timestamp_ntz")) & (
+        moment < F.date_add(F.lit(end), 1).cast("timestamp_ntz")
+    )
+
+
 def reconcile_order_totals(
     orders: DataFrame, order_items: DataFrame, menu_items: DataFrame
 ) -> DataFrame:
@@ -97,7 +106,7 @@ def reconcile_order_totals(
     computed = order_totals(order_items, menu_items).withColumnRenamed("total_cost", "computed")
     stated = orders.select("order_id", F.col("total_cost").alias("stated"))
     joined = stated.join(computed, F.col("order_id") == F.col("fk_order"), "left")
-    same = F.coalesce(cents(F.col("stated")) == cents(F.col("computed")), F.lit(False))
+    same = F.coalesce(money(F.col("stated")) == money(F.col("computed")), F.lit(False))
     return joined.select("order_id", "stated", "computed", same.alias("matches"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from servery.operators.joins import labelled_item_counts, orders_list
-from servery.operators.paging import Listing, sort_order
+from servery.operators.paging import Listing, listing
 from servery.operators.topk import top_k
 
 
@@ -30,4 +30,4 @@ def order_listing(
     """The orders list, sorted by any of its columns and cut into pages. Rows also carry
     ``order_id``, which settles ties."""
     rows = orders_list(orders, restaurants, users, "order_id")
-    return Listing(rows, sort_order(sort_by, "order_id", ascending), size)
+    return listing(rows, sort_by, "order_id", size, ascending)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from servery.sources.tables import scan_table
 from servery.schemas import ADDRESS, MENU_ITEMS, ORDERS, RESTAURANTS, USERS, conform
 
 
@@ -34,7 +35,7 @@ class Inputs:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SOURCE[name]).parquet(f"{self.folder}/{name}.parquet")
+        return scan_table(self.spark, f"{self.folder}/{name}.parquet", SOURCE[name])
 
     def _restaurant_count(self) -> Column:
         return self.table("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()

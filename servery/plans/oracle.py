@@ -231,6 +231,60 @@ SELECT o_orderkey AS order_id, o_totalprice AS total_cost,
 FROM orders
 UNION ALL
 SELECT o_orderkey, o_totalprice + 1, 'duplicate_key', 1 FROM orders WHERE o_orderdate >= '2000-01-01'
+""",
+    "orders_deep_page": _TABLES
+    + """
+SELECT * EXCLUDE (order_id) FROM listing ORDER BY total_cost DESC, order_id LIMIT 100 OFFSET 11900
+""",
+    "revenue_after_restart": _TABLES + _REVENUE,
+    "order_stats_job": _TABLES
+    + """
+SELECT 'restaurant' AS kind, restaurant_name AS key, CAST(sum(CAST(total_cost AS DECIMAL(18, 2))) AS DOUBLE) AS value
+FROM o JOIN r ON fk_restaurant = restaurant_id GROUP BY restaurant_name
+UNION ALL
+SELECT 'item', CAST(fk_menu_item AS VARCHAR), CAST(sum(item_quantity) AS DOUBLE) FROM i GROUP BY fk_menu_item
+""",
+    "stream_quarantine": """
+SELECT 'orders' AS topic,
+       CASE o_orderkey % 7 WHEN 0 THEN 'incomplete' WHEN 1 THEN 'malformed' ELSE 'amount_not_finite' END AS reason,
+       count(*) AS n
+FROM orders WHERE o_orderkey % 7 < 3 GROUP BY 2
+""",
+    "publish_period": """
+SELECT CAST(o_orderkey AS VARCHAR) AS key, CAST(o_orderdate AS TIMESTAMP) AS order_datetime
+FROM orders WHERE o_orderdate >= '1996-03-08' AND o_orderdate < '1996-04-11'
+""",
+    "orders_load": """
+WITH placed AS (
+  SELECT o_orderkey, o_custkey AS fk_user,
+         (SELECT max(o_orderkey) + 1 FROM orders) + row_number() OVER (ORDER BY o_orderkey) - 1 AS fk_order
+  FROM orders
+), counted AS (
+  SELECT l_orderkey, l_partkey AS fk_menu_item, count(*) AS item_quantity FROM lineitem GROUP BY ALL
+), total AS (
+  SELECT l_orderkey, CAST(sum(CAST(p_retailprice AS DECIMAL(18, 2)) * item_quantity) AS DOUBLE) AS total_cost
+  FROM counted JOIN part ON fk_menu_item = p_partkey GROUP BY l_orderkey
+)
+SELECT 500 + row_number() OVER (ORDER BY fk_order, fk_menu_item) - 1 AS order_item_id,
+       fk_menu_item, fk_order, item_quantity, fk_user, total_cost
+FROM counted JOIN placed ON l_orderkey = o_orderkey JOIN total USING (l_orderkey)
+""",
+    "create_and_load": """
+SELECT unnest(['address', 'users', 'restaurants', 'menu_items', 'orders', 'order_item']) AS table_name,
+       unnest([0, 0, (SELECT count(*) FROM supplier), 0, 0, 0]) AS n
+""",
+    "name_list_roundtrip": "SELECT DISTINCT p_name AS restaurant_name FROM part",
+    "user_documents_file": """
+SELECT c_name AS registration_number, replace(c_name, '#', ' ') AS user_fullname,
+       c_custkey || ' ' || c_mktsegment || ', Springfield, ' || c_nationkey AS address_info
+FROM customer WHERE c_custkey % 10 NOT IN (3, 4)
+""",
+    "user_quarantine": """
+SELECT CASE c_custkey % 10 WHEN 3 THEN 'malformed' ELSE 'incomplete' END AS reason, count(*) AS n
+FROM customer WHERE c_custkey % 10 IN (3, 4) GROUP BY 1
+""",
+    "restaurant_documents_file": """
+SELECT 'House of ' || p_name AS restaurant_name, 2 AS n_foods FROM part WHERE p_size > 3
 """,
     "day_series": """
 SELECT CAST(day AS DATE) AS day, CAST(day + INTERVAL 86400 SECOND AS TIMESTAMP) AS latest_order

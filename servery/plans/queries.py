@@ -15,8 +15,9 @@ from servery.functions.text import document_json
 from servery.operators import aggregates, documents, joins, quality
 from servery.operators.calendar import day_series
 from servery.operators.ids import assign_ids, next_id
+from servery.operators.orders import load_orders
 from servery.operators.latest import latest_per_key
-from servery.operators.paging import Listing, page_index, sort_order
+from servery.operators.paging import Listing, listing, page_index
 from servery.plans import dashboard
 from servery.plans.inputs import Inputs
 from servery.schemas import (
@@ -24,18 +25,26 @@ from servery.schemas import (
     ORDER_EVENT,
     ORDERS,
     RESTAURANT_STATS,
+    RESTAURANTS,
+    TABLES,
     USER_DOCUMENT,
     typecast,
 )
 from servery.session import streaming_session
 from servery.staging import scratch_path
 from servery.sinks.changelog import start_file_changelog
-from servery.sinks.messages import keyed_messages, publish_to_files
-from servery.sinks.tables import append_new
+from servery.sinks.messages import keyed_messages, publish_to_files, write_names
+from servery.sinks.tables import append_new, create_tables
 from servery.sources.changelog import read_current
+from servery.sources.documents import read_document_lines, read_list_texts, read_names
 from servery.sources.streams import decode_messages, topic_stream
-from servery.sources.tables import as_json_rows, query_tables
-from servery.streaming.running import await_all, running_item_counts, running_restaurant_stats
+from servery.sources.tables import as_json_rows, query_tables, scan_table
+from servery.streaming.running import (
+    OrderStatsJob,
+    await_all,
+    running_item_counts,
+    running_restaurant_stats,
+)
 
 Plan = Callable[[Inputs], DataFrame]
 
@@ -130,6 +139,62 @@ def top10_items_live(inputs: Inputs) -> DataFrame:
     return dashboard.top_items(item_counts_stream(inputs), inputs.menu_items())
 
 
+@query
+def revenue_after_restart(inputs: Inputs) -> DataFrame:
+    """Half of the orders, then a new start from the same checkpoint for the rest."""
+    orders = joins.enrich_orders(inputs.orders(), inputs.restaurants())
+    root = scratch_path(inputs.spark, "restart")
+    session = streaming_session(inputs.spark)
+    for half in (0, 1):
+        publish_to_files(keyed_messages(orders.where(F.col("order_id") % 2 == half), "order_id"), f"{root}/topic")
+        stats = running_restaurant_stats(topic_stream(session, f"{root}/topic", fmt="text"))
+        await_all([start_file_changelog(stats, f"{root}/changelog", f"{root}/checkpoint", availableNow=True)])
+    return read_current(inputs.spark, f"{root}/changelog", RESTAURANT_STATS, "restaurant_name")
+
+
+def _job(inputs: Inputs, orders: DataFrame, items: DataFrame) -> OrderStatsJob:
+    """Both statistics and the quarantine from one job over two topics of files."""
+    job = OrderStatsJob(scratch_path(inputs.spark, "job"))
+    session = streaming_session(inputs.spark)
+    publish_to_files(orders, f"{job.root}/orders")
+    publish_to_files(items, f"{job.root}/items")
+    topics = [topic_stream(session, f"{job.root}/{name}", fmt="text") for name in ("orders", "items")]
+    await_all(job.start(*topics, availableNow=True))
+    return job
+
+
+@query
+def order_stats_job(inputs: Inputs) -> DataFrame:
+    orders = keyed_messages(joins.enrich_orders(inputs.orders(), inputs.restaurants()), "order_id")
+    job = _job(inputs, orders, keyed_messages(inputs.order_items(), "fk_order"))
+    revenue = job.restaurant_stats(inputs.spark).select(
+        F.lit("restaurant").alias("kind"), F.col("restaurant_name").alias("key"), F.col("total_revenue").alias("value")
+    )
+    counts = job.item_counts(inputs.spark).select(
+        F.lit("item").alias("kind"),
+        F.col("fk_menu_item").cast("string").alias("key"),
+        F.col("item_quantity").cast("double").alias("value"),
+    )
+    return revenue.unionByName(counts)
+
+
+@query
+def stream_quarantine(inputs: Inputs) -> DataFrame:
+    """Of every seven orders one lost its name, one its end, and one costs no number."""
+    messages = keyed_messages(joins.enrich_orders(inputs.orders(), inputs.restaurants()), "order_id")
+    kind = F.col("key").cast("bigint") % 7
+    broken = (
+        F.when(kind == 0, F.replace("value", F.lit("restaurant_name"), F.lit("name")))
+        .when(kind == 1, F.expr("left(value, 10)"))
+        .when(kind == 2, F.regexp_replace("value", '"total_cost":[^,]*', '"total_cost":1e400'))
+        .otherwise(F.col("value"))
+    )
+    items = keyed_messages(inputs.order_items(), "fk_order").where("key % 5 = 0")
+    job = _job(inputs, messages.withColumn("value", broken), items)
+    kept = inputs.spark.read.schema("topic string, value string, reason string").parquet(f"{job.root}/quarantine")
+    return kept.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- orders and their dimensions ---------------------------------------------------------
 
 
@@ -171,10 +236,16 @@ def orders_last_page(inputs: Inputs) -> DataFrame:
     return _listing(inputs, 100).last_page().drop("order_id")
 
 
+@query
+def orders_deep_page(inputs: Inputs) -> DataFrame:
+    """Read from the stored listing, which stays for as long as the result is read."""
+    return _listing(inputs, 100).stored().page(120).drop("order_id")
+
+
 @query
 def orders_page_by_user(inputs: Inputs) -> DataFrame:
     rows = joins.orders_list(inputs.orders(), inputs.restaurants(), inputs.users(), "order_id")
-    return Listing(rows, sort_order("user_fullname", "order_id"), 50).page(2)
+    return listing(rows, "user_fullname", "order_id", 50).page(2)
 
 
 @query
@@ -214,13 +285,22 @@ def order_total_reconcile(inputs: Inputs) -> DataFrame:
 
 @query
 def table_scan_filtered(inputs: Inputs) -> DataFrame:
-    return inputs.menu_items().where(F.col("fk_restaurant") == 3)
+    return quality.require_rows(inputs.menu_items().where(F.col("fk_restaurant") == 3), "menu_items")
 
 
 @query
 def table_scan_predicate(inputs: Inputs) -> DataFrame:
-    users = inputs.users().where("fk_address = 3 OR user_fullname LIKE '%7'")
-    return users.select("user_id", "fk_address", "user_fullname")
+    users = scan_table(
+        inputs.spark,
+        f"{inputs.folder}/customer.parquet",
+        where="c_nationkey = 3 OR c_name LIKE '%7'",
+        required=True,
+    )
+    return users.select(
+        F.col("c_custkey").alias("user_id"),
+        F.col("c_nationkey").cast("bigint").alias("fk_address"),
+        F.col("c_name").alias("user_fullname"),
+    )
 
 
 @query
@@ -270,6 +350,39 @@ def publish_orders(inputs: Inputs) -> DataFrame:
     return decoded.select("key", "order_id", "order_datetime", "total_cost")
 
 
+@query
+def publish_period(inputs: Inputs) -> DataFrame:
+    """The messages of a period that is given as text, both days included."""
+    bounds = inputs.spark.range(1).select(parse_day(F.lit("3/8/1996")), parse_day(F.lit("04/10/1996")))
+    start, end = bounds.first()
+    quality.check_period(start, end)
+    orders = inputs.orders().where(quality.in_period("order_datetime", start, end))
+    return decode_messages(keyed_messages(orders, "order_id"), ORDER_EVENT, "key").select("key", "order_datetime")
+
+
+@query
+def orders_load(inputs: Inputs) -> DataFrame:
+    """Each order line counts as one item drawn; ids go on from the stored ones."""
+    draft = F.col("order_id").alias("draft")
+    placed = inputs.orders().select(draft, "fk_restaurant", "fk_user", "order_datetime", "cust_restaurant_rating")
+    drawn = inputs.order_items().select(F.col("fk_order").alias("draft"), "fk_menu_item")
+    start = next_id(inputs.orders(), "order_id")
+    tables = load_orders(drawn, placed, inputs.menu_items(), start, 500)
+    return tables.order_items.join(
+        tables.orders.select(F.col("order_id").alias("fk_order"), "fk_user", "total_cost"), "fk_order"
+    )
+
+
+@query
+def create_and_load(inputs: Inputs) -> DataFrame:
+    """Empty tables are made, one of them is filled, and all are counted."""
+    paths = create_tables(inputs.spark, scratch_path(inputs.spark, "tables"))
+    append_new(inputs.restaurants(), paths["restaurants"], RESTAURANTS, "restaurant_id")
+    create_tables(inputs.spark, paths["restaurants"].rsplit("/", 1)[0])  # leaves what is there
+    stored = {name: scan_table(inputs.spark, path, TABLES[name][0]) for name, path in paths.items()}
+    return aggregates.table_counts(stored)
+
+
 # --- text and documents ------------------------------------------------------------------
 
 
@@ -292,6 +405,18 @@ def numbered_list_parse(inputs: Inputs) -> DataFrame:
     return documents.list_names(batches[0].unionByName(batches[1]), "list_id")
 
 
+@query
+def name_list_roundtrip(inputs: Inputs) -> DataFrame:
+    """Numbered lists in files become a file of distinct names, which is read again."""
+    root = scratch_path(inputs.spark, "names")
+    part = inputs.table("part")
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit(". "), "p_name")
+    part.select(line).write.text(f"{root}/lists")
+    names = documents.list_names(read_list_texts(inputs.spark, f"{root}/lists"))
+    write_names(documents.distinct_names(names, "name"), f"{root}/written", "name")
+    return read_names(inputs.spark, f"{root}/written")
+
+
 def _written_price(key: Column, price: Column) -> Column:
     """Prices as people write them, a different way for each key."""
     text = price.cast("decimal(18,2)").cast("string")
@@ -318,7 +443,8 @@ def extract_json(inputs: Inputs) -> DataFrame:
     return events.select("event_id", F.from_json("value", "k int")["k"].alias("k"))
 
 
-def _user_profiles(inputs: Inputs) -> DataFrame:
+def _user_texts(inputs: Inputs) -> DataFrame:
+    """A user document for each customer."""
     customer = inputs.table("customer")
     text = F.col
     profile = F.struct(
@@ -333,11 +459,15 @@ def _user_profiles(inputs: Inputs) -> DataFrame:
             text("c_nationkey").alias("postcode"),
         ).alias("location"),
     )
-    landed = customer.select(
+    return customer.select(
         "c_custkey",
         "c_nationkey",
         F.to_json(F.struct(F.array(profile).alias("results"))).alias("value"),
     )
+
+
+def _user_profiles(inputs: Inputs) -> DataFrame:
+    landed = _user_texts(inputs)
     results = F.from_json("value", USER_DOCUMENT)["results"]
     return landed.select(
         F.col("c_custkey").alias("user_id"),
@@ -367,6 +497,43 @@ def user_load(inputs: Inputs) -> DataFrame:
     return joined.select("user_id", "fk_address", "registration_number", "address_info")
 
 
+def _landed_users(inputs: Inputs) -> DataFrame:
+    """The user documents of a folder of files, checked; of every ten one is cut short and one
+    has lost its names."""
+    path = scratch_path(inputs.spark, "users")
+    kind = F.col("c_custkey") % 10
+    text = (
+        F.when(kind == 3, F.expr("left(value, 20)"))
+        .when(kind == 4, F.replace("value", F.lit('"name"'), F.lit('"names"')))
+        .otherwise(F.col("value"))
+    )
+    _user_texts(inputs).select(text).write.text(path)
+    parsed = documents.parse_users(read_document_lines(inputs.spark, path))
+    return quality.check_documents(parsed, ["name", "login.username"])
+
+
+@query
+def user_documents_file(inputs: Inputs) -> DataFrame:
+    profiles = quality.usable(_landed_users(inputs)).select("document.*")
+    return documents.flatten_users(profiles).select("registration_number", "user_fullname", "address_info")
+
+
+@query
+def user_quarantine(inputs: Inputs) -> DataFrame:
+    return quality.quarantined(_landed_users(inputs)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def restaurant_documents_file(inputs: Inputs) -> DataFrame:
+    path = scratch_path(inputs.spark, "restaurants")
+    _restaurant_texts(inputs).select("text").write.text(path)
+    parsed = documents.parse_restaurants(read_document_lines(inputs.spark, path))
+    checked = quality.check_documents(parsed, ["restaurant_name", "address", "foods", "drinks", "desserts"])
+    return quality.usable(checked).select(
+        F.col("document.restaurant_name").alias("restaurant_name"), F.size("document.foods").alias("n_foods")
+    )
+
+
 def _restaurant_texts(inputs: Inputs) -> DataFrame:
     """One restaurant answer per part, some of them with no usable document."""
     part = inputs.table("part")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -129,12 +131,15 @@ def restaurant_stats_schema(key: str = "restaurant_name") -> StructType:
     return StructType([ORDER_EVENT[key], *RESTAURANT_STATS.fields[1:]])
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the schema's columns in order and type; absent columns become NULL.
+def conform(df: DataFrame, schema: StructType, missing_ok: Collection[str] | None = None) -> DataFrame:
+    """Select the schema's columns in order and type. ``missing_ok`` names those that may be
+    absent and are then NULL; None: all of them.
 
     A value that does not fit its declared type is an error, as it is for a database table.
     """
     present = set(df.columns)
+    if missing_ok is not None and (missing := set(schema.names) - present - set(missing_ok)):
+        raise ValueError(f"columns are missing: {sorted(missing)}")
     return df.select(
         *[
             (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from servery.schemas import TABLES, conform
-from servery.staging import stored
+from servery.staging import discard, stored
 
 
 def create_tables(spark: SparkSession, root: str) -> dict[str, str]:
@@ -24,6 +24,11 @@ def create_tables(spark: SparkSession, root: str) -> dict[str, str]:
 class Append:
     accepted: DataFrame  # rows added to the table
     rejected: DataFrame  # rows left out, with reason and number of copies n
+    paths: tuple[str, ...] = ()  # stored clashes, which both are read from
+
+    def close(self) -> None:
+        """Delete what was stored to decide; neither table can be read afterwards."""
+        discard(self.accepted.sparkSession, *self.paths)
 
 
 def append_new(rows: DataFrame, path: str, schema: StructType, key: str) -> Append:
@@ -37,23 +42,25 @@ def append_new(rows: DataFrame, path: str, schema: StructType, key: str) -> Appe
     cannot come to another result; rows without a clash, as a rule nearly all of them, then go
     from their scan to the table.
     """
-    rows = conform(rows, schema)
+    rows = conform(rows, schema, missing_ok=())
     keyed = rows.where(F.col(key).isNotNull())
     table = rows.sparkSession.read.schema(schema).parquet(path)
-    clashes = stored(_clashes(keyed, table, key), "clashes")
+    clashes, clashes_path = stored(_clashes(keyed, table, key), "clashes")
 
     repeated = keyed.join(clashes.where(~F.col("known")), key, "left_semi")
-    first = stored(_smallest(repeated, key), "first")
+    first, first_path = stored(_smallest(repeated, key), "first")
     fresh = keyed.join(clashes, key, "left_anti")
     accepted = fresh.unionByName(first)
     accepted.write.mode("append").parquet(path)
-    return Append(accepted, _rejected(rows, keyed, clashes, first, key))
+    return Append(accepted, _rejected(rows, keyed, clashes, first, key), (clashes_path, first_path))
 
 
 def _clashes(keyed: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Keys that the table has (``known``) or that occur more than once among the rows."""
     copies = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    known = table.select(key).distinct().withColumn("known", F.lit(True))
+    # The batch is the side that is hashed or sent round: of the table only hits move.
+    known = table.select(key).join(copies.select(key), key, "left_semi").distinct()
+    known = known.withColumn("known", F.lit(True))
     joined = copies.join(known, key, "left")
     return joined.select(key, "copies", F.coalesce("known", F.lit(False)).alias("known")).where(
         "known OR copies > 1"

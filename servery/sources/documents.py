@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from servery.schemas import NAME_LIST, USER_DOCUMENT
+from servery.schemas import NAME_LIST
 
 
-def read_user_documents(spark: SparkSession, path: str) -> DataFrame:
-    """User profiles, one row per entry of each document's ``results``."""
-    documents = spark.read.schema(USER_DOCUMENT).json(path)
-    return documents.select(F.explode("results").alias("profile")).select("profile.*")
+def read_document_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Many documents to a file, one on each line: ``document_id`` is the file, ``text`` the
+    line. Files are split among tasks."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("document_id"), F.col("value").alias("text")
+    )
 
 
 def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -31,3 +33,8 @@ def read_name_list(spark: SparkSession, path: str) -> DataFrame:
     """Names of files that hold one ``{"restaurant_names": [...]}`` object each."""
     lists = spark.read.schema(NAME_LIST).json(path, multiLine=True)
     return lists.select(F.explode("restaurant_names").alias("restaurant_name"))
+
+
+def read_names(spark: SparkSession, path: str) -> DataFrame:
+    """Names as :func:`~servery.sinks.messages.write_names` writes them, one object on a line."""
+    return spark.read.schema("restaurant_name string").json(path)

@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from servery.functions.payload import encode
+from servery.operators.quality import require_rows
 
 
 def scan_table(
     spark: SparkSession,
     location: str,
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     where: Column | str | None = None,
     fmt: str = "parquet",
+    required: bool = False,
     **options: str,
 ) -> DataFrame:
-    """A table, filtered in the scan where the format can do so.
+    """A table, filtered in the scan where the format can do so; ``required``: no row is an
+    error.
 
     For ``fmt="jdbc"`` the location is the table name and the options carry ``url`` and, for
     a parallel read, ``partitionColumn``, ``lowerBound``, ``upperBound``, ``numPartitions``.
@@ -26,7 +29,8 @@ def scan_table(
         table = reader.option("dbtable", location).load()
     else:
         table = (reader.schema(schema) if schema is not None else reader).load(location)
-    return table if where is None else table.where(where)
+    table = table if where is None else table.where(where)
+    return require_rows(table, location) if required else table
 
 
 def as_json_rows(table: DataFrame) -> DataFrame:

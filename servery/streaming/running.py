@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from servery.operators.aggregates import item_counts, restaurant_stats
-from servery.operators.quality import Split, beyond, check_messages, split
+from servery.operators.quality import Split, check_messages, not_money, split
 from servery.operators.topk import top_k
 from servery.schemas import (
     MENU_ITEM_STATS,
@@ -33,37 +34,25 @@ from servery.sources.changelog import FILE_SEQUENCE, read_current, read_last_bat
 
 RESTAURANT_TOPIC, ITEM_TOPIC = "restaurant_stats", "menu_item_stats"
 
-# A running total cannot be repaired: one NaN, or a sum past its type, would stay in the state
-# or stop the query for good. Messages beyond these limits are kept apart.
-MAX_AMOUNT = 1e12
-MAX_QUANTITY = 10**9
-MAX_RATING = 1e6
-
 
 def order_events(
     messages: DataFrame, key: str = "restaurant_name", schema: StructType = ORDER_EVENT
 ) -> Split:
-    """Typed order events, and the messages that cannot be counted under ``key``."""
+    """Typed order events, and the messages that cannot be counted under ``key``.
+
+    An amount that is no number would spoil a running total for good, so its message is kept
+    apart. A rating that is no number costs the rating only.
+    """
     checked = check_messages(
-        messages,
-        schema,
-        required=[key],
-        checks={
-            "amount_out_of_range": beyond("total_cost", MAX_AMOUNT),
-            "rating_out_of_range": beyond("cust_restaurant_rating", MAX_RATING),
-        },
+        messages, schema, required=[key], checks={"amount_not_finite": not_money("total_cost")}
     )
-    return split(checked)
+    rating = F.col("cust_restaurant_rating")
+    finite = F.when(F.abs(rating) < float("inf"), rating)
+    return split(checked.withColumn("cust_restaurant_rating", finite))
 
 
 def order_item_events(messages: DataFrame, schema: StructType = ORDER_ITEM_EVENT) -> Split:
-    checked = check_messages(
-        messages,
-        schema,
-        required=["fk_menu_item"],
-        checks={"quantity_out_of_range": beyond("item_quantity", MAX_QUANTITY)},
-    )
-    return split(checked)
+    return split(check_messages(messages, schema, required=["fk_menu_item"]))
 
 
 def _counted_orders(messages: DataFrame, key: str) -> Split:
@@ -101,6 +90,22 @@ def start_quarantine(
     return writer.start()
 
 
+def start_quarantines(
+    root: str, order_messages: DataFrame, item_messages: DataFrame, key: str, **trigger
+) -> list[StreamingQuery]:
+    """Keep the unusable messages of both topics below ``root``."""
+    bad = {
+        "orders": _counted_orders(order_messages, key).quarantined,
+        "order_items": _counted_items(item_messages).quarantined,
+    }
+    return [
+        start_quarantine(
+            messages, f"{root}/quarantine/topic={topic}", f"{root}/checkpoints/quarantine_{topic}", **trigger
+        )
+        for topic, messages in bad.items()
+    ]
+
+
 @dataclass(frozen=True)
 class OrderStatsJob:
     """The two running statistics below a root folder, each with its own changelog, snapshots
@@ -121,9 +126,11 @@ class OrderStatsJob:
         self,
         order_messages: DataFrame,
         item_messages: DataFrame,
-        quarantine: bool = False,
+        quarantine: bool = True,
         **trigger,
     ) -> list[StreamingQuery]:
+        """``quarantine`` keeps what cannot be counted, at the cost of a second read of each
+        topic."""
         restaurants = running_restaurant_stats(order_messages, self.key)
         items = running_item_counts(item_messages)
         queries = [
@@ -131,14 +138,7 @@ class OrderStatsJob:
             self._start(items, ITEM_TOPIC, "fk_menu_item", trigger),
         ]
         if quarantine:
-            bad = {
-                "orders": _counted_orders(order_messages, self.key).quarantined,
-                "order_items": _counted_items(item_messages).quarantined,
-            }
-            for topic, messages in bad.items():
-                path = f"{self.root}/quarantine/topic={topic}"
-                checkpoint = f"{self.root}/checkpoints/quarantine_{topic}"
-                queries.append(start_quarantine(messages, path, checkpoint, **trigger))
+            queries += start_quarantines(self.root, order_messages, item_messages, self.key, **trigger)
         return queries
 
     def _start(self, stats: DataFrame, topic: str, key: str, trigger: dict) -> StreamingQuery:

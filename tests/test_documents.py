@@ -14,15 +14,17 @@ from servery.operators.documents import (
     load_users,
     menu_rows,
     parse_restaurants,
+    parse_users,
 )
 from servery.operators.quality import check_documents, quarantined, unreadable_prices, usable
 from servery.schemas import ADDRESS, MENU_ITEMS, NAME_LIST, RESTAURANTS, USERS, conform
 from servery.sinks.messages import keyed_messages, publish_to_files, write_names
 from servery.sources.documents import (
+    read_document_lines,
     read_list_texts,
     read_name_list,
+    read_names,
     read_text_documents,
-    read_user_documents,
 )
 from servery.sources.streams import decode_messages
 from servery.sources.tables import as_json_rows, query_tables, scan_table
@@ -53,10 +55,22 @@ def profile(first, number):
     }
 
 
+def test_no_user_document_is_lost(spark, tmp_path):
+    whole = json.dumps({"results": [profile("Ann", 0), profile("Bea", 1)]})
+    (tmp_path / "many").write_text("\n".join([whole, whole[:40], json.dumps({"results": [{}]}), "[]", "{}"]))
+    (tmp_path / "one").write_text(json.dumps({"results": [profile("Cid", 2)]}, indent=1))
+    checked = check_documents(parse_users(read_text_documents(spark, str(tmp_path / "one"))), ["name"])
+    assert as_set(checked.select("document.name.first", "reason")) == {("Cid", None)}
+    checked = check_documents(parse_users(read_document_lines(spark, str(tmp_path / "many"))), ["name", "login.username"])
+    got = sorted(map(tuple, checked.select("document.name.first", "reason").collect()), key=str)
+    assert got == sorted([("Ann", None), ("Bea", None), *[(None, "malformed")] * 3, (None, "incomplete")], key=str)
+
+
 def test_users_and_addresses_share_one_numbering(spark, tmp_path):
     for number, first in enumerate(["Ann", "Bea", "Cid"]):
         (tmp_path / f"{number}.json").write_text(json.dumps({"results": [profile(first, number)], "info": {}}))
-    profiles = read_user_documents(spark, str(tmp_path))
+    checked = check_documents(parse_users(read_document_lines(spark, str(tmp_path))), ["name"])
+    profiles = usable(checked).select("document.*")
     tables = load_users(profiles, user_start=5, address_start=20, order=["registration_number"])
     assert (tables.users.schema.names, tables.address.schema.names) == (USERS.names, ADDRESS.names)
     got = tables.users.select("user_id", "fk_address", "user_fullname", "date_of_birth", "nationality")

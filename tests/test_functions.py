@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from servery.functions.dates import days_between, parse_day, plus_seconds
-from servery.functions.money import amount, cents, item_label
+from servery.functions.money import amount, item_label, money, total
 from servery.functions.payload import encode
 from servery.functions.prices import normalized_price
 from servery.functions.text import document_json, numbered_name, outermost_json, parse_document
@@ -104,15 +104,15 @@ def test_numbered_names(spark):
     assert evaluate(spark, list(LINES), numbered_name(F.col("x"))) == list(LINES.values())
 
 
-def test_cents_are_exact_and_bounded(spark):
-    values = [12.34, 0.1, 999999999.99, float("nan"), float("inf"), 1e300, None, -1.5, 0.125, 1.005]
-    got = evaluate(spark, values, cents(F.col("x")), "double")
-    assert got == [1234, 10, 99999999999, None, None, None, None, -150, 12, 100]
+def test_money_is_exact_and_rounds_half_up_as_written(spark):
+    values = [12.34, 0.1, 2e17, float("nan"), float("inf"), 1e300, None, -1.5, 0.125, 1.005, 1.015]
+    got = evaluate(spark, values, money(F.col("x")).cast("string"), "double")
+    assert got == ["12.34", "0.10", f"{2 * 10**17}.00", None, None, None, None, "-1.50", "0.13", "1.01", "1.02"]
 
 
 def test_sum_of_cents_has_no_rounding(spark):
     rows = spark.createDataFrame([(0.1,)] * 10 + [(12.34,), (10.0,)], "x double")
-    assert rows.agg(amount(F.sum(cents(F.col("x"))))).first()[0] == 23.34
+    assert rows.agg(amount(total(money(F.col("x"))))).first()[0] == 23.34
 
 
 def test_label_prints_two_decimals(spark):

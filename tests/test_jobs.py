@@ -10,7 +10,7 @@ from test_documents import profile, restaurant
 
 from servery.jobs import dashboard, load_documents, order_stats, publish
 from servery.schemas import MENU_ITEMS, ORDER_ITEM, ORDERS, RESTAURANTS, USERS
-from servery.sinks.tables import append_new
+from servery.sinks.tables import append_new, create_tables
 
 
 def as_set(df):
@@ -47,7 +47,7 @@ def test_from_documents_to_the_dashboard(spark, tmp_path, capsys):
     day = dt.datetime(2024, 3, 8, 12)
     orders = [
         (0, 0, 0, day, 14.5, 4.0),
-        (1, 0, 1, dt.datetime(2024, 3, 10), 12.0, 3.0),
+        (1, 0, 1, dt.datetime(2024, 3, 9, 23), 12.0, 3.0),
         (2, 0, 1, dt.datetime(2024, 3, 12), 99.0, 5.0),
     ]
     append_new(spark.createDataFrame(orders, ORDERS), f"{tables}/orders", ORDERS, "order_id")
@@ -67,6 +67,20 @@ def test_from_documents_to_the_dashboard(spark, tmp_path, capsys):
     assert "page 1 of 1" in shown
 
 
+def test_periods_that_follow_each_other_publish_every_order_once(spark, tmp_path):
+    tables = str(tmp_path / "tables")
+    paths = create_tables(spark, tables)
+    moments = [dt.datetime(2024, 3, 7), dt.datetime(2024, 3, 8, 23, 59), dt.datetime(2024, 3, 9), dt.datetime(2024, 3, 11)]
+    rows = [(i, 0, 0, at, 1.0, 1.0) for i, at in enumerate(moments)]
+    spark.createDataFrame(rows, ORDERS).write.mode("append").parquet(paths["orders"])
+    spark.createDataFrame([(0, 0, "A", None, None)], RESTAURANTS).write.mode("append").parquet(paths["restaurants"])
+    topics = ["--format", "text", "--orders", str(tmp_path / "orders"), "--items", str(tmp_path / "items")]
+    for start, end in (("3/7/2024", "3/8/2024"), ("3/9/2024", "3/10/2024")):
+        publish.main(["--tables", tables, "--from", start, "--to", end, *topics])
+    sent = [json.loads(r.value)["order_id"] for r in spark.read.text(str(tmp_path / "orders")).collect()]
+    assert sorted(sent) == [0, 1, 2]
+
+
 def test_a_period_of_one_day_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="after its start"):
         publish.main(["--tables", str(tmp_path), "--from", "3/8/2024", "--to", "3/8/2024"])

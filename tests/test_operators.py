@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import datetime as dt
 import random
 
@@ -18,7 +20,8 @@ from servery.operators.aggregates import (
 from servery.operators.ids import assign_ids, next_id, sorted_run
 from servery.operators.joins import enrich_orders, orders_list
 from servery.operators.latest import latest_per_key
-from servery.operators.paging import Listing, page_index, sort_order
+from servery.operators.paging import listing as sorted_listing
+from servery.operators.paging import page_index
 from servery.operators.quality import (
     check_documents,
     check_messages,
@@ -172,32 +175,40 @@ def test_next_id_has_no_trouble_with_gaps_or_nothing(spark, skewed):
 
 
 @pytest.mark.parametrize("size", [10, 97, 5000])
-@pytest.mark.parametrize("deep", [False, True])
-def test_pages_joined_together_are_the_sorted_table(skewed, monkeypatch, size, deep):
+@pytest.mark.parametrize("stored", [False, True])
+def test_pages_joined_together_are_the_sorted_table(skewed, size, stored):
     rows = skewed.where("n < 300")
-    if deep:
-        monkeypatch.setattr("servery.operators.paging.SHALLOW_ROWS", 0)
-    listing = Listing(rows, sort_order("g", "n", ascending=False), size)
-    pages = [listing.page(number + 1).collect() for number in range(min(listing.total_pages, 8))]
+    listing = sorted_listing(rows, "g", "n", size, ascending=False)
+    total = listing.total_pages()
+    listing = listing.stored() if stored else listing
+    pages = [listing.page(number + 1).collect() for number in range(min(total, 8))]
     want = sorted(((row["g"], row["n"]) for row in rows.collect()), key=lambda r: (-r[0], r[1]))
     got = [(row["g"], row["n"]) for page in pages for row in page]
     assert got == want[: len(got)] and len(got) == min(len(want), 8 * size)
-    assert listing.page(listing.total_pages + 1).collect() == []
+    assert listing.page(total + 1).collect() == []
     last = listing.last_page().collect()
-    assert [(row["g"], row["n"]) for row in last] == want[(listing.total_pages - 1) * size :]
+    assert [(row["g"], row["n"]) for row in last] == want[(total - 1) * size :]
+    if stored:
+        listing.close()
+        assert not os.path.exists(listing._run.path)
+
+
+def test_the_last_page_writes_nothing(skewed):
+    plan = sorted_listing(skewed, "g", "n", 10).last_page()._jdf.queryExecution().toString()
+    assert "TakeOrderedAndProject" in plan and "servery-run" not in plan
 
 
 def test_a_listing_of_nothing(skewed):
-    listing = Listing(skewed.where("n < 0"), sort_order("n", "n"), 10)
-    assert listing.total_pages == 0
+    listing = sorted_listing(skewed.where("n < 0"), "n", "n", 10)
+    assert listing.total_pages() == 0 and listing.stored().last_page().collect() == []
     assert listing.page(1).collect() == [] and listing.last_page().collect() == []
 
 
 def test_page_numbers_and_sizes_are_checked(skewed):
     with pytest.raises(ValueError):
-        Listing(skewed, sort_order("n", "n"), 0)
+        sorted_listing(skewed, "n", "n", 0)
     with pytest.raises(ValueError):
-        Listing(skewed, sort_order("n", "n"), 10).page(0)
+        sorted_listing(skewed, "n", "n", 10).page(0)
 
 
 def test_page_index_rounds_up(spark):

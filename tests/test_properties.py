@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.errors import NumberFormatException
 from pyspark.sql import functions as F
 
-from servery.functions.money import amount, cents
+from servery.functions.money import amount, money, total
 from servery.functions.prices import normalized_price
 from servery.functions.text import outermost_json
 from servery.operators.ids import assign_ids
@@ -55,7 +55,7 @@ def test_outermost_json_spans_first_to_last_brace(spark, texts):
 @given(st.lists(st.integers(-(10**11), 10**11), min_size=1))
 def test_sums_of_cents_are_exact(spark, values):
     rows = spark.createDataFrame([(value / 100,) for value in values], "x double")
-    assert rows.agg(amount(F.sum(cents(F.col("x"))))).first()[0] == sum(values) / 100
+    assert rows.agg(amount(total(money(F.col("x"))))).first()[0] == sum(values) / 100
 
 
 @few
