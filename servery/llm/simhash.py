@@ -170,20 +170,19 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
                 # Of two blocks one visits the other, by turns.
                 visits = (target != own[q]) & (((target + own[q]) % 2 == 0) == (own[q] < target))
                 q, target = q[visits], target[visits]
-                yield pd.DataFrame(
-                    {
-                        "block": np.concatenate([ids[own], ids[target]]),
-                        "fp": np.concatenate([fp, fp[q]]),
-                        "owned": np.arange(len(fp) + len(q)) < len(fp),
-                    }
-                )
+                # A row for each block that is met holds all that goes there.
+                for to, what, owned in ((own, fp, True), (target, fp[q], False)):
+                    order = np.argsort(to, kind="stable")
+                    met, starts = np.unique(to[order], return_index=True)
+                    parts = np.split(what[order], starts[1:]) if len(met) else []
+                    yield pd.DataFrame({"block": ids[met], "fps": [x.tobytes() for x in parts], "owned": owned})
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
-        fp, owned = group["fp"].to_numpy(np.int64).view(np.uint64), group["owned"].to_numpy(bool)
-        a, b = forest(fp[owned], fp[~owned], radius)
+        parts = lambda rows: np.frombuffer(b"".join(rows), np.uint64)
+        a, b = forest(parts(group["fps"][group["owned"]]), parts(group["fps"][~group["owned"]]), radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    sent = blocks.mapInPandas(send, "block long, fp long, owned boolean")
+    sent = blocks.mapInPandas(send, "block long, fps binary, owned boolean")
     return sent.groupBy("block").applyInPandas(search, "a long, b long")
 
 
