@@ -11,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from servery.llm import contamination, lines, packing, simhash, toxicity
 from servery.llm.common import stored, table
 
+#: Differing bits of near-duplicates. Of two texts that share four fifths of their five-word
+#: shingles, some seven of 64 bits are expected to differ; unrelated ones differ in half.
+NEAR_BITS = 6
+#: The share of its bytes that a document with repeated runs has to have besides them.
+LEAST_NEW = 0.2
 #: Documents whose worst passage is toxic with at least this probability go.
 TOXIC = 0.5
 
@@ -22,13 +27,14 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def novel_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without runs of lines that an earlier one has; those left empty go."""
-    return lines.deduplicated(docs)
+    """The documents without runs of lines that an earlier one has. Those that say next to
+    nothing new go: the scraps that are left of a near copy are no text."""
+    return lines.deduplicated(docs, LEAST_NEW)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return simhash.deduplicated(docs)
+    return simhash.deduplicated(docs, radius=NEAR_BITS, turns=4)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ the forests are joined by alternating star contraction.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -94,16 +95,21 @@ class Nodes:
             ones, some = np.bitwise_and.reduceat(ones, starts), np.bitwise_or.reduceat(some, starts)
             self.levels.insert(0, (ones, ~(ones ^ some)))
 
-    def near(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    def near(self, queries: np.ndarray, radius: int, lead: int = 64) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of queries and of the lowest nodes that each may have neighbours in; where
-        those are single fingerprints, does have."""
+        those are single fingerprints, does have. In the ``lead`` first bits only as many may
+        differ as fall to them when the differences are dealt out evenly."""
+        first, share = np.uint64((1 << 64) - (1 << (64 - lead))), radius // (64 // lead)
         width = len(self.levels[0][0])
         q, node = np.repeat(np.arange(len(queries)), width), np.tile(np.arange(width), len(queries))
         for depth, (pattern, mask) in enumerate(self.levels):
             if depth:
                 q, node = np.repeat(q, FAN_OUT), (node[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
                 q, node = q[node < len(pattern)], node[node < len(pattern)]
-            keep = np.bitwise_count((queries[q] ^ pattern[node]) & mask[node]) <= radius
+            differs = (queries[q] ^ pattern[node]) & mask[node]
+            keep = np.bitwise_count(differs) <= radius
+            if lead < 64:
+                keep &= np.bitwise_count(differs & first) <= share
             q, node = q[keep], node[keep]
         return q, node
 
@@ -120,22 +126,44 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None
             label = label[label]
 
 
-def forest(owned: np.ndarray, visitors: np.ndarray, radius: int, step: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+def forest(owned: np.ndarray, visitors: np.ndarray, radius: int, lead: int = 64, step: int = 2048) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected by pairs within ``radius``, one of each pair being
     owned; a fingerprint and the first of its group."""
     owned = owned[np.argsort(_gray_rank(owned), kind="stable")]
     nodes, everyone = Nodes(owned, owned), np.concatenate([owned, visitors])
     label = np.arange(len(everyone))
     for at in range(0, len(everyone), step):
-        q, near = nodes.near(everyone[at : at + step], radius)
+        q, near = nodes.near(everyone[at : at + step], radius, lead)
         label = _roots(len(everyone), q + at, near, label)
     moved = label != np.arange(len(everyone))
     return everyone[moved], everyone[label[moved]]
 
 
-def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, turns: int = 1) -> DataFrame:
     """Links ``a``, ``b`` whose connected components are those of all pairs of fingerprints
-    within ``radius``. ``fps`` has the distinct ``fp``, stored."""
+    within ``radius``. ``fps`` has the distinct ``fp``, stored.
+
+    For a wide radius the index is built ``turns`` times, each with another stretch of the bits
+    in front: of ``turns`` stretches one has no more than its share of the differences, so a pair
+    is found in some turn although each prunes by that share.
+    """
+    found = [_links(_turned(fps, 64 // turns * k), radius, 64 // turns) for k in range(turns)]
+    back = [
+        part.select(*[_turn(F.col(c), (64 - 64 // turns * k) % 64).alias(c) for c in ("a", "b")])
+        for k, part in enumerate(found)
+    ]
+    return reduce(DataFrame.unionByName, back)
+
+
+def _turn(fp: Column, bits: int) -> Column:
+    return F.shiftleft(fp, bits).bitwiseOR(F.shiftrightunsigned(fp, 64 - bits)) if bits else fp
+
+
+def _turned(fps: DataFrame, bits: int) -> DataFrame:
+    return fps.select(_turn(F.col("fp"), bits).alias("fp"))
+
+
+def _links(fps: DataFrame, radius: int, lead: int) -> DataFrame:
     n = fps.count()
     size = max(BLOCK, -(-n // MOST_BLOCKS))
     ranges = max(1, min(n // (4 * size), MOST_BLOCKS))
@@ -166,7 +194,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
             for at in range(0, len(batch), 2048):
                 fp = batch["fp"].to_numpy(np.int64)[at : at + 2048]
                 own = np.searchsorted(ids, batch["block"].to_numpy(np.int64)[at : at + 2048])
-                q, target = nodes.near(fp.view(np.uint64), radius)
+                q, target = nodes.near(fp.view(np.uint64), radius, lead)
                 # Of two blocks one visits the other, by turns.
                 visits = (target != own[q]) & (((target + own[q]) % 2 == 0) == (own[q] < target))
                 q, target = q[visits], target[visits]
@@ -179,7 +207,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         parts = lambda rows: np.frombuffer(b"".join(rows), np.uint64)
-        a, b = forest(parts(group["fps"][group["owned"]]), parts(group["fps"][~group["owned"]]), radius)
+        a, b = forest(parts(group["fps"][group["owned"]]), parts(group["fps"][~group["owned"]]), radius, lead)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     sent = blocks.mapInPandas(send, "block long, fps binary, owned boolean")
@@ -212,24 +240,24 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, turns: int = 1) -> DataFrame:
     """doc_id, ``fp`` and ``component_id`` of every row: the smallest doc_id among the rows that
     links lead to. Texts without a word, NULL among them, have fingerprint 0 and are linked like
     any others. Ids that are NULL name no component; a component with no other id has NULL.
     Repeated rows stay repeated."""
     rows = stored(fingerprints(docs, shingle), "fingerprints")
     fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(fps, radius))
+    roots = components(links(fps, radius, turns))
     rooted = fps.join(roots, fps.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
     return rows.join(by_fp, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+def deduplicated(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, turns: int = 1) -> DataFrame:
     """One row of each group of near-duplicates, the one of the smallest doc_id; of repeated
     ids any one row. Rows without an id belong to no group and stay."""
-    found = stored(near_duplicates(docs.where("doc_id IS NOT NULL"), radius, shingle), "groups")
+    found = stored(near_duplicates(docs.where("doc_id IS NOT NULL"), radius, shingle, turns), "groups")
     first = found.where("doc_id = component_id").select("doc_id")
     counted = first.groupBy("doc_id").count()
     once, often = counted.where("count = 1").select("doc_id"), counted.where("count > 1").select("doc_id")

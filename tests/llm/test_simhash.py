@@ -51,8 +51,8 @@ def test_query_matches_brute_force(spark):
     assert {r.doc_id: r.component_id for r in rows} == brute_components(fps)
 
 
-@pytest.mark.parametrize("block", [4, 50, 4096])
-def test_links_join_the_same_groups_at_any_block_size(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, radius, turns", [(4, 2, 1), (50, 2, 2), (4096, 2, 1), (16, 6, 4), (4096, 7, 4)])
+def test_links_join_the_same_groups_at_any_block_size(spark, monkeypatch, block, radius, turns):
     monkeypatch.setattr(simhash, "BLOCK", block)
     rng = random.Random(block)
     fps = set()
@@ -60,15 +60,17 @@ def test_links_join_the_same_groups_at_any_block_size(spark, monkeypatch, block)
         f = rng.getrandbits(64)
         for _ in range(25):
             fps.add(f)
-            f ^= (1 << rng.randrange(64)) ^ (1 << rng.randrange(rng.choice([2, 64])))
+            for _ in range(radius - 1):
+                f ^= 1 << rng.randrange(64)
+            f ^= 1 << rng.randrange(rng.choice([2, 64]))
     fps |= {rng.getrandbits(64) for _ in range(100)} | {0, 1, 2**64 - 1}
     signed = np.array(sorted(fps), np.uint64).view(np.int64).tolist()
     frame = spark.createDataFrame([(f,) for f in signed], "fp long")
-    roots = {r.node: r.root for r in simhash.components(simhash.links(frame)).collect()}
+    roots = {r.node: r.root for r in simhash.components(simhash.links(frame, radius, turns)).collect()}
     groups, expected = defaultdict(set), defaultdict(set)
     for f in signed:
         groups[roots.get(f, f)].add(f)
-    for f, root in brute_components({f: f % 2**64 for f in signed}).items():
+    for f, root in brute_components({f: f % 2**64 for f in signed}, radius).items():
         expected[root].add(f)
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
