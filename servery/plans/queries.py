@@ -35,13 +35,14 @@ from servery.staging import scratch_path
 from servery.sinks.changelog import start_file_changelog
 from servery.sinks.messages import keyed_messages, publish_to_files, write_names
 from servery.sinks.tables import append_new, create_tables
-from servery.sources.changelog import read_current
+from servery.sources.changelog import read_current, read_last_batch
 from servery.sources.documents import read_document_lines, read_list_texts, read_names
 from servery.sources.streams import decode_messages, topic_stream
 from servery.sources.tables import as_json_rows, query_tables, scan_table
 from servery.streaming.running import (
     OrderStatsJob,
     await_all,
+    live_top_k,
     running_item_counts,
     running_restaurant_stats,
 )
@@ -90,48 +91,52 @@ def latest_stats(inputs: Inputs) -> DataFrame:
 # --- running statistics ------------------------------------------------------------------
 
 
-def _replayed(inputs: Inputs, rows: DataFrame, key: str, running, schema, stats_key: str) -> DataFrame:
-    """Publish rows as a topic of files, run the statistics over it in several micro-batches,
-    and compact the changelog."""
+#: Messages in a file of a replayed topic, and the parts that running state is kept in.
+_FILE_MESSAGES, _STATE_PARTITIONS = 50_000, 8
+
+
+def _replayed(inputs: Inputs, rows: DataFrame, key: str, running, top: tuple[str, str] | None = None) -> str:
+    """Publish rows as a topic of files and run the statistics over it in several micro-batches;
+    returns the folder of the run. The batches follow the data, whatever the number of cores.
+    ``top`` names key and value of a top-k to publish after each batch."""
     spark = inputs.spark
     root = scratch_path(spark, "stream")
-    cores = spark.sparkContext.defaultParallelism
+    files = max(2, -(-rows.count() // _FILE_MESSAGES))
     # Dealt out before they are encoded: rows are smaller than their messages.
-    publish_to_files(keyed_messages(rows.repartition(cores), key), f"{root}/topic")
-    session = streaming_session(spark, state_partitions=cores)
-    messages = topic_stream(
-        session, f"{root}/topic", fmt="text", maxFilesPerTrigger=str(max(1, cores // 2))
-    )
+    publish_to_files(keyed_messages(rows.repartition(files), key), f"{root}/topic")
+    session = streaming_session(spark, state_partitions=_STATE_PARTITIONS)
+    messages = topic_stream(session, f"{root}/topic", fmt="text", maxFilesPerTrigger=str(files // 2))
+    after = [live_top_k(f"{root}/top", *top, f"{root}/changelog")] if top else []
     job = start_file_changelog(
-        running(messages), f"{root}/changelog", f"{root}/checkpoint", availableNow=True
+        running(messages), f"{root}/changelog", f"{root}/checkpoint", after_batch=after, availableNow=True
     )
     await_all([job])
-    return read_current(spark, f"{root}/changelog", schema, stats_key)
+    return root
+
+
+def _replayed_orders(inputs: Inputs, top: tuple[str, str] | None = None) -> str:
+    orders = joins.enrich_orders(inputs.orders(), inputs.restaurants())
+    return _replayed(inputs, orders, "order_id", running_restaurant_stats, top)
 
 
 @query
 def restaurant_revenue_stream(inputs: Inputs) -> DataFrame:
-    orders = joins.enrich_orders(inputs.orders(), inputs.restaurants())
-    return _replayed(
-        inputs, orders, "order_id", running_restaurant_stats, RESTAURANT_STATS, "restaurant_name"
-    )
+    root = _replayed_orders(inputs)
+    return read_current(inputs.spark, f"{root}/changelog", RESTAURANT_STATS, "restaurant_name")
 
 
 @query
 def item_counts_stream(inputs: Inputs) -> DataFrame:
-    return _replayed(
-        inputs,
-        inputs.order_items(),
-        "fk_order",
-        running_item_counts,
-        MENU_ITEM_STATS,
-        "fk_menu_item",
-    )
+    root = _replayed(inputs, inputs.order_items(), "fk_order", running_item_counts)
+    return read_current(inputs.spark, f"{root}/changelog", MENU_ITEM_STATS, "fk_menu_item")
 
 
 @query
 def top10_restaurants_live(inputs: Inputs) -> DataFrame:
-    return dashboard.top_restaurants(restaurant_revenue_stream(inputs))
+    """What the stream published as its top ten after the last batch."""
+    root = _replayed_orders(inputs, ("restaurant_name", "total_revenue"))
+    top, _ = read_last_batch(inputs.spark, f"{root}/top", RESTAURANT_STATS)
+    return dashboard.top_restaurants(top.select(*RESTAURANT_STATS.names))
 
 
 @query
