@@ -17,7 +17,7 @@ NEAR_BITS = 6
 #: The share of its bytes that a document with repeated runs has to have besides them.
 LEAST_NEW = 0.2
 #: Documents whose worst passage is toxic with at least this probability go.
-TOXIC = 0.5
+TOXIC = 0.3
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
