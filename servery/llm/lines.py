@@ -24,7 +24,8 @@ from servery.llm.hosts import let
 GRAM_BYTES = 100
 GRAM_LINES = 12
 WINDOW = 2
-#: Lines a match is extended each way: the next fingerprint of the same run is not further.
+#: Lines a match is extended forward: as far as the end of a run can be from its last fingerprint.
+#: Its beginning is less than ``WINDOW`` lines before the first.
 REACH = GRAM_LINES + WINDOW
 _LINES = r"(?<=\n)(?=[^\n])|(?<=[.!?] )(?=\S)"
 
@@ -103,17 +104,17 @@ def repeats(index: DataFrame) -> DataFrame:
 def _extended(h: Column, other: Column, m: Column) -> Column:
     """The lines around a match that are alike on both sides: from, and up to but without."""
 
-    def reach(step: int) -> Column:
+    def reach(step: int, most: int) -> Column:
         here, there = (lambda k: m["pos"] + step * k), (lambda k: m["first_pos"] + step * k)
         inside = lambda k: (here(k) >= 0) & (there(k) >= 0)
         alike = lambda k: inside(k) & F.coalesce(F.get(h, here(k)) == F.get(other, there(k)), F.lit(False))
         return F.aggregate(
-            F.sequence(F.lit(1), F.lit(REACH)),
+            F.sequence(F.lit(1), F.lit(most)),
             F.lit(0),
             lambda n, k: F.when((n == k - 1) & alike(k), k).otherwise(n),
         )
 
-    return F.struct((m["pos"] - reach(-1)).alias("a"), (m["pos"] + reach(1) + 1).alias("b"))
+    return F.struct((m["pos"] - reach(-1, WINDOW)).alias("a"), (m["pos"] + reach(1, REACH) + 1).alias("b"))
 
 
 def deletions(index: DataFrame) -> DataFrame:
@@ -158,27 +159,29 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the text that is left, and ``n_lines``, ``n_deleted`` (long). Where nothing
     is deleted the text is as it was; rows without an id or a text have 0 of either. Rows that
     agree in id and text count as one document and get the same text."""
-    cut = deletions(indexed(docs)).withColumnsRenamed({"doc_id": "_id", "_text": "_hash"})
+    index = indexed(docs)
+    known = index.select("doc_id", "_text", F.size("h").cast("long").alias("_n")).distinct()
+    # Only texts with a run to delete are cut into lines again.
+    cut = known.join(deletions(index), ["doc_id", "_text"], "left").withColumnsRenamed({"doc_id": "_id", "_text": "_hash"})
     keyed = docs.withColumn("_text", F.xxhash64("text"))
     joined = keyed.join(cut, (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_hash")), "left")
-    found = lines(F.col("text"))
     deleted = F.aggregate("_runs", F.lit(0), lambda n, r: n + r["b"] - r["a"])
-    known = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
-    text = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(_kept(found, F.col("_runs")))
+    text = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(_kept(lines(F.col("text")), F.col("_runs")))
     zero = F.lit(0).cast("long")
     return joined.select(
         *[text.alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_deleted")],
-        F.when(known, F.size(found).cast("long")).otherwise(zero).alias("n_lines"),
+        F.coalesce("_n", zero).alias("n_lines"),
         F.coalesce(deleted.cast("long"), zero).alias("n_deleted"),
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``, without repeated runs and without the rows of which nothing but
-    white space is left. Texts that were empty before stay."""
-    left = without_repeats(docs)
-    emptied = (F.col("n_deleted") > 0) & (F.btrim("text", F.lit(WORD_SPACE)) == "")
-    return left.where(~emptied).select(*docs.columns)
+def deduplicated(docs: DataFrame, least: float = 0.0) -> DataFrame:
+    """The columns of ``docs``, without repeated runs, and without the rows of which nothing but
+    white space is left, or no more than the share ``least`` of their bytes. Rows of which
+    nothing is deleted stay, empty ones too."""
+    left = without_repeats(docs.withColumn("_bytes", F.octet_length("text")))
+    little = (F.btrim("text", F.lit(WORD_SPACE)) == "") | (F.octet_length("text") <= least * F.col("_bytes"))
+    return left.where((F.col("n_deleted") == 0) | ~little).select(*docs.columns)
 
 
 def line_digest(docs: DataFrame) -> DataFrame:

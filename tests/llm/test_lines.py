@@ -62,7 +62,7 @@ def brute(texts: dict):
                 continue
             own = [h for h, _ in of[d][1]]
             for step in (1, -1):
-                for k in range(0 if step > 0 else 1, lines.REACH + 1):
+                for k in range(0 if step > 0 else 1, (lines.REACH if step > 0 else lines.WINDOW) + 1):
                     a, b = pos + step * k, p0 + step * k
                     if not (0 <= a < len(own) and 0 <= b < len(first) and own[a] == first[b]):
                         break
