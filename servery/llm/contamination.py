@@ -45,12 +45,12 @@ def words(text: Column) -> Column:
 
 
 def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """item_id, ``win`` and its ``terms``, for every window of every item."""
+    """item_id and ``terms``, for every window of every item."""
     found = items.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
     last = F.greatest(F.size("w") - size, F.lit(0))
     cut = found.select("item_id", "w", F.explode(F.sequence(F.lit(0), last)).alias("at"))
     terms = F.slice("w", F.col("at") + 1, size)
-    return cut.select("item_id", F.sha2(F.array_join(terms, " ").cast("binary"), 256).alias("win"), terms.alias("terms")).distinct()
+    return cut.select("item_id", terms.alias("terms")).distinct()
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -66,8 +66,9 @@ def postings(docs: DataFrame, terms: DataFrame, rows: int, text: str = "text") -
 
 
 def rarest_terms(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """Of each window the two rarest of its terms: ``win``, ``term``, ``offset``, ``needed``. A
-    window with a term that no document has can't occur and is left out."""
+    """Of each window the two rarest of its terms: ``win``, ``term``, ``offset``, and their
+    number ``k`` (1, 2) out of ``needed``. A window with a term that no document has can't occur
+    and is left out."""
     each = windows.select("win", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term"))
     known = each.join(counts, "term", "left")
     ranked = known.withColumn("k", F.row_number().over(Window.partitionBy("win").orderBy("n", "term", "offset")))
@@ -75,25 +76,23 @@ def rarest_terms(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return (
         ranked.withColumn("_rare", F.min(F.coalesce("n", F.lit(0))).over(whole))
         .where("_rare > 0 AND k <= 2")
-        .select("win", "term", "offset", F.least("size", F.lit(2)).alias("needed"))
+        .select("win", "term", "offset", "k", F.least("size", F.lit(2)).alias("needed"))
     )
 
 
 def starts(index: DataFrame, rare: DataFrame, rows: int) -> DataFrame:
     """Key, ``win``, ``start``: where the offset-adjusted lists of the rare terms meet."""
     placed = index.join(_small(rare, rows), "term").withColumn("start", F.col("pos") - F.col("offset")).where("start >= 0")
-    found = placed.select(*KEY, "win", "start", "offset", "needed").distinct()
-    met = found.groupBy(*KEY, "win", "start", "needed").agg(F.count("*").alias("n"))
-    return met.where("n = needed").select(*KEY, "win", "start")
+    # Rows that are alike, and so have their postings twice, count once: the numbers are bits.
+    met = placed.groupBy(*KEY, "win", "start", "needed").agg(F.bit_or("k").alias("met"))
+    return met.where("met = 2 * needed - 1").select(*KEY, "win", "start")
 
 
 def near_starts(index: DataFrame, rare: DataFrame, rows: int, slop: int = 3) -> DataFrame:
     """Proximity matches: key, ``win``, ``start`` of its rarest term's list, where the other
     list has a start that differs by 1 to ``slop``."""
     placed = index.join(_small(rare, rows), "term").withColumn("start", F.col("pos") - F.col("offset"))
-    order = F.row_number().over(Window.partitionBy("win").orderBy("term", "offset"))
-    first = placed.join(_small(rare.withColumn("k", order).where("k = 1").select("win", "offset"), rows), ["win", "offset"])
-    other = placed.join(_small(rare.withColumn("k", order).where("k = 2").select("win", "offset"), rows), ["win", "offset"])
+    first, other = placed.where("k = 1"), placed.where("k = 2")
     # Starts within the slop lie in the same stretch of that length or in one beside it.
     stretch = F.floor(F.col("start") / (slop + 1))
     left = first.select(*KEY, "win", "start", F.explode(F.array(*[stretch + d for d in (-1, 0, 1)])).alias("_at"))
@@ -117,7 +116,8 @@ def matches(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> tuple[Data
     """The lengths of all documents (doc_id, key, ``n_words``), the exact matches (key, ``win``,
     ``start``, ``size``), and which items have a window (``item_id``, ``win``)."""
     windows = stored(item_windows(items, size), "windows")
-    distinct = windows.select("win", "terms").dropDuplicates(["win"])
+    distinct = windows.select("terms").distinct().withColumn("win", F.monotonically_increasing_id())
+    distinct = stored(distinct, "distinct-windows")
     terms = stored(distinct.select(F.explode("terms").alias("term")).distinct(), "terms")
     n_terms, n_windows = terms.count(), distinct.count()
     counts = postings(docs, terms, n_terms).groupBy("term").agg(F.count("*").alias("n"))
@@ -127,7 +127,7 @@ def matches(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> tuple[Data
     lengths = index.where(F.col("term") == END).select("doc_id", *KEY, F.col("pos").cast("long").alias("n_words"))
     candidates = stored(starts(index.where(F.col("term") != END), rare, 2 * n_windows), "starts")
     found = stored(exact(docs, candidates, distinct, size * n_windows), "matches")
-    return lengths, found, windows.select("item_id", "win")
+    return lengths, found, windows.join(distinct, "terms").select("item_id", "win")
 
 
 def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def test_matches_brute_force(spark, monkeypatch, broadcast):
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "p p alpha q beta r"), (2, "alpha beta"), (3, "alpha q q q q q beta")], "doc_id long, text string")
     terms = spark.createDataFrame([("alpha",), ("beta",)], "term string")
-    rare = spark.createDataFrame([("w", "alpha", 0, 2), ("w", "beta", 1, 2)], "win string, term string, offset int, needed int")
+    rare = spark.createDataFrame([("w", "alpha", 0, 1, 2), ("w", "beta", 1, 2, 2)], "win string, term string, offset int, k int, needed int")
     index = contamination.postings(docs, terms, 2)
     assert [(int(r._id), r.start) for r in contamination.near_starts(index, rare, 2, slop=2).collect()] == [(1, 2)]
     assert [(int(r._id), r.start) for r in contamination.starts(index, rare, 2).collect()] == [(2, 0)]
