@@ -27,9 +27,13 @@ END_ID = 1
 #: Documents in a shard; a shard is one task's index.
 SHARD_DOCUMENTS = 512
 #: Words whose ids a task remembers at a time.
-REMEMBERED = 500_000
+REMEMBERED = 700_000
 K1, B = 1.2, 0.75
 _SPACE = re.compile("[\\t\\n\\r ]+")
+# Latin-1 texts are taken apart at letters, but for those with these characters in them.
+_OTHER = re.compile("['Ā-\U0010ffff\xaa\xb5\xba]|<\\|")
+_WORD = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
+_LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|[^\\t\\n\\r a-z\xdf-\xf6\xf8-\xff]+")
 
 
 def default_tokenizer() -> str:
@@ -38,29 +42,78 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Ids(dict):
-    """The ids of pieces without ASCII space, as little-endian 32-bit numbers. The tokenizer
-    splits at space before all else, so a text's ids are those of its pieces, one after another;
-    special tokens hold no space either."""
-
-    def __init__(self, definition: str) -> None:
-        super().__init__()
-        self.tokenizer = Tokenizer.from_str(definition)
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        found = self[piece] = np.array(ids, "<u4").tobytes()
-        return found
-
-    def of(self, text: str | None) -> bytes:
-        """The ids of a whole text and the one that ends it."""
-        pieces = _SPACE.split(text) if text else []
-        return b"".join(map(self.__getitem__, filter(None, pieces))) + _END
-
-
-_END = np.array([END_ID], "<u4").tobytes()
+class Ids:
+    """The ids of texts, as bytes of little-endian numbers of one width: those of a text's
+    pieces, one after another, which are remembered. What is not a plain word is encoded many at a
+    time, as words of one call."""
+
+    def __init__(self, definition: str, width: str) -> None:
+        self.tokenizer, self.width = Tokenizer.from_str(definition), width
+        self.known: dict[str, bytes] = {}
+        size = np.dtype(width).itemsize
+        self.codes = [i.to_bytes(size, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.end = self.codes[END_ID]
+        # What the tokenizer's own steps make of each letter before its model sees it.
+        steps = self.tokenizer.pre_tokenizer
+        self.letters = {ord(c): steps.pre_tokenize_str(c)[0][0] for c in map(chr, range(256)) if _WORD.fullmatch(c)}
+
+    def _learn(self, new: list[str]) -> None:
+        """A word of small Latin-1 letters is one unit to the model as it stands. Anything else
+        takes all the tokenizer's steps."""
+        model, codes, letters = self.tokenizer.model, self.codes, self.letters
+        rest = []
+        for word in new:
+            if _WORD.fullmatch(word):
+                self.known[word] = b"".join([codes[t.id] for t in model.tokenize(word.translate(letters))])
+            else:
+                rest.append(word)
+        self._encode(rest)
+
+    def _encode(self, new: list[str], step: int = 20_000) -> None:
+        size = np.dtype(self.width).itemsize
+        for at in range(0, len(new), step):
+            some = new[at : at + step]
+            encoded = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(encoded.ids, self.width).tobytes()
+            ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(some) + 1)) * size
+            ends = ends.tolist()
+            self.known.update((w, ids[s:e]) for w, s, e in zip(some, ends, ends[1:]))
+
+    def of(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of whole texts, each with the one that ends it."""
+        pieces = [_pieces(text) for text in texts]
+        known = self.known
+        met = set().union(*pieces)
+        new = met.difference(known)
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = met
+        self._learn(list(new))
+        return [b"".join(map(known.__getitem__, each)) + self.end for each in pieces]
+
+
+def _pieces(text: str | None) -> list[str]:
+    """Pieces that the tokenizer encodes one by one. In a Latin-1 text it lowers letters and
+    parts them from all else; but for apostrophes, which may begin an ending, and special
+    tokens. Any other text is parted at ASCII space only."""
+    if not text:
+        return []
+    if _OTHER.search(text):
+        return list(filter(None, _SPACE.split(text)))
+    return _LETTERS.findall(text.lower())
+
+
+def _slices(texts: list[str | None], characters: int = 1_000_000) -> Iterator[list[str | None]]:
+    """The texts in runs of about so many characters."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text)
+        size += len(text or "")
+        if size >= characters:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
 
 
 def tokenized(docs: DataFrame, tokenizer: str, shards: int) -> DataFrame:
@@ -69,14 +122,12 @@ def tokenized(docs: DataFrame, tokenizer: str, shards: int) -> DataFrame:
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
         shared = spark.sparkContext.broadcast(file.read())
-    narrow = _width(Tokenizer.from_str(shared.value).get_vocab_size()) == "<u2"
+    width = _width(Tokenizer.from_str(shared.value).get_vocab_size())
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = Ids(shared.value)
+        ids = Ids(shared.value, width)
         for batch in batches:
-            found = [ids.of(t) for t in batch.iloc[:, 2]]
-            if narrow:
-                found = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in found]
+            found = [x for run in _slices(batch.iloc[:, 2].tolist()) for x in ids.of(run)]
             yield pd.DataFrame({"doc_id": batch.iloc[:, 0], "shard": batch.iloc[:, 1], "ids": found})
 
     kind = docs.schema["doc_id"].dataType.simpleString()

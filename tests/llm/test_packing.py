@@ -15,7 +15,7 @@ from servery.llm.queries import QUERIES
 
 PATH = packing.default_tokenizer()
 WHOLE = Tokenizer.from_file(PATH)
-IDS = packing.Ids(open(PATH, encoding="utf-8").read())
+IDS = packing.Ids(open(PATH, encoding="utf-8").read(), "<u4")
 
 
 def expected(text):
@@ -23,9 +23,9 @@ def expected(text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=30) | st.lists(st.sampled_from(["'s", "<|endoftext|>", " ", "́", "e", " ", "\x85", "\x1c", "\n", "A1", "İ", "Σ"]), max_size=9).map("".join))
+@given(st.text(max_size=30) | st.lists(st.sampled_from(["'s", "<|endoftext|>", " ", "́", "e", " ", "\x85", "\x1c", "\n", "A1", "İ", "Σ", ".", ",", "THE", "é", "\u00a0", "\u2003", "\x1f", "<|ENDOFTEXT|>", "ﬁ", "K"]), max_size=9).map("".join))
 def test_ids_of_pieces_are_those_of_the_text(text):
-    assert IDS.of(text) == expected(text).tobytes()
+    assert IDS.of([text, None, text]) == [expected(text).tobytes(), expected("").tobytes(), expected(text).tobytes()]
 
 
 def check(rows, texts):
