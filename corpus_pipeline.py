@@ -14,8 +14,10 @@ from servery.llm.common import stored, table
 #: Differing bits of near-duplicates. Of two texts that share four fifths of their five-word
 #: shingles, some seven of 64 bits are expected to differ; unrelated ones differ in half.
 NEAR_BITS = 6
-#: The share of its bytes that a document with repeated runs has to have besides them.
+#: A document with repeated runs is a scrap if no more than this share of its bytes, and fewer
+#: than so many words, are left. Text of that many words stays, however little of the whole it is.
 LEAST_NEW = 0.2
+LEAST_WORDS = 50
 #: Documents whose worst passage is toxic with at least this probability go.
 TOXIC = 0.3
 
@@ -28,8 +30,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def novel_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without runs of lines that an earlier one has. Those that say next to
-    nothing new go: the scraps that are left of a near copy are no text."""
-    return lines.deduplicated(docs, LEAST_NEW)
+    nothing new go: a few words that are left of a near copy are no text."""
+    return lines.deduplicated(docs, LEAST_NEW, LEAST_WORDS)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -175,12 +175,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, least: float = 0.0) -> DataFrame:
+def deduplicated(docs: DataFrame, least: float = 0.0, least_words: int = 50) -> DataFrame:
     """The columns of ``docs``, without repeated runs, and without the rows of which nothing but
-    white space is left, or no more than the share ``least`` of their bytes. Rows of which
-    nothing is deleted stay, empty ones too."""
+    white space is left, or both no more than the share ``least`` of their bytes and fewer than
+    ``least_words`` words. Rows of which nothing is deleted stay, empty ones too."""
     left = without_repeats(docs.withColumn("_bytes", F.octet_length("text")))
-    little = (F.btrim("text", F.lit(WORD_SPACE)) == "") | (F.octet_length("text") <= least * F.col("_bytes"))
+    bare = F.btrim("text", F.lit(WORD_SPACE))
+    few = F.size(F.split(bare, f"[{WORD_SPACE}]+")) < least_words
+    little = (bare == "") | ((F.octet_length("text") <= least * F.col("_bytes")) & few)
     return left.where((F.col("n_deleted") == 0) | ~little).select(*docs.columns)
 
 

@@ -125,3 +125,14 @@ def test_nulls_empty_long_and_repeated_rows(spark):
 def test_lines_put_together_are_the_text(spark, text):
     (row,) = spark.createDataFrame([(text,)], "text string").select(lines.lines(lines.F.col("text")).alias("l")).collect()
     assert "".join(row.l) == text and row.l == CUT.split(text)
+
+
+def test_own_text_stays_beside_a_large_share_of_repeats(spark):
+    rng = random.Random(8)
+    shared = "".join(sentence(rng, 9) for _ in range(60))
+    own = "".join(sentence(rng, 9) for _ in range(8))
+    scrap = sentence(rng, 9)
+    docs = spark.createDataFrame([(1, shared), (2, shared + own), (3, shared + scrap)], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in lines.deduplicated(docs, 0.2, 50).collect()}
+    assert left == {1: shared, 2: own}
+    assert lines.deduplicated(docs, 0.2, 1).count() == 3
