@@ -7,12 +7,14 @@ import random
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from servery.operators.aggregates import item_counts, restaurant_stats
 from servery.operators.joins import labelled_item_counts
 from servery.operators.latest import compact_changelog
 from servery.operators.topk import top_k
 from servery.plans.dashboard import top_items, top_restaurants
+from servery.plans.queries import QUERIES
 from servery.schemas import MENU_ITEM_STATS, MENU_ITEMS, ORDER_EVENT, RESTAURANT_STATS
 from servery.session import streaming_session
 from servery.sinks.changelog import start_file_changelog, write_changelog_batch
@@ -310,3 +312,14 @@ def test_snapshots_stand_for_the_history_before_them(session, topic, tmp_path):
     # Only the batch after the last snapshot is still read from the changelog.
     plan = job.restaurant_stats(session)._jdf.queryExecution().executedPlan().toString()
     assert "(batch_id" in plan and "> 3" in plan and "= 3" in plan
+
+
+def test_the_quarantine_query_checks_the_items_of_every_order(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for name in ("orders", "supplier"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{source}/{name}.parquet")
+    items = spark.read.parquet(f"{source}/lineitem.parquet")
+    broken = items.where("l_linenumber = 1").withColumn("l_partkey", F.lit(None).cast("long"))
+    broken.write.parquet(str(tmp_path / "lineitem.parquet"))
+    rows = QUERIES["stream_quarantine"](spark, str(tmp_path)).where("topic = 'order_items'").collect()
+    assert [(r.reason, r.n) for r in rows] == [("incomplete", broken.count())]
