@@ -3,10 +3,11 @@
 A text is taken as lines; a line of several sentences counts as one line for each, so that a
 passage is found in the middle of a paragraph as well. Every line is hashed. A gram is the hash
 of consecutive lines of ``GRAM_BYTES`` in all, and of each window of ``WINDOW`` grams the smallest
-is a fingerprint: what two texts share, and is a window longer than a gram, has a fingerprint in
-both. The first document that has a fingerprint keeps it. In later places the match is extended
-both ways, line by line, as far as the next fingerprint can be, and the lines of all matches are
-deleted.
+is a fingerprint: what two texts share, and is as long as a window, has a fingerprint in both.
+The window is a single gram, since one long line is a gram and has to be found alone, whatever
+stands around it. The first document that has a fingerprint keeps it. In later places the match is
+extended both ways, line by line, as far as the next fingerprint can be, and the lines of all
+matches are deleted.
 
 Only fingerprints are shuffled, and each later place meets one first place, so a passage that is
 everywhere costs a row for each of its places. DataFrame expressions only.
@@ -23,9 +24,10 @@ from servery.llm.hosts import let
 #: A gram has as many lines as make up so many bytes, or ``GRAM_LINES`` lines.
 GRAM_BYTES = 100
 GRAM_LINES = 12
-WINDOW = 2
+WINDOW = 1
 #: Lines a match is extended forward: as far as the end of a run can be from its last fingerprint.
-#: Its beginning is less than ``WINDOW`` lines before the first.
+#: Its beginning is less than ``WINDOW`` lines before the first: each line that begins a repeated gram
+#: has a fingerprint of its own, which leads to a document that has that line as well.
 REACH = GRAM_LINES + WINDOW
 _LINES = r"(?<=\n)(?=[^\n])|(?<=[.!?] )(?=\S)"
 
@@ -71,6 +73,8 @@ def _fingerprints(grams: Column) -> Column:
         return F.array_distinct(F.transform(windows, lambda i: -F.array_min(F.slice(pairs, i, WINDOW))["i"]))
 
     def placed(g: Column) -> Column:
+        if WINDOW == 1:
+            return F.transform(g, lambda x, i: F.struct(x.alias("g"), i.alias("pos")))
         pairs = F.transform(g, lambda x, i: F.struct(x.alias("g"), (-i).alias("i")))
         return F.transform(let(pairs, chosen), lambda at: F.struct(F.get(g, at).alias("g"), at.alias("pos")))
 
@@ -119,13 +123,24 @@ def _extended(h: Column, other: Column, m: Column) -> Column:
 
 def deletions(index: DataFrame) -> DataFrame:
     """doc_id, ``_text``, ``_runs``: the runs of lines to delete, sorted, apart from each other."""
-    matched = repeats(index).groupBy("doc_id", "_text", "first").agg(F.collect_set(F.struct("pos", "first_pos")).alias("m"))
+    matched = repeats(index).groupBy("doc_id", "_text", "first").agg(
+        F.array_sort(F.collect_set(F.struct((F.col("pos") - F.col("first_pos")).alias("d"), "pos"))).alias("m")
+    )
     own = index.select("doc_id", "_text", "h").dropDuplicates(["doc_id", "_text"])
     other = own.select(F.col("doc_id").alias("first"), F.col("_text").alias("_other"), F.col("h").alias("_h"))
     both = matched.join(own, ["doc_id", "_text"]).join(other, "first")
     # In one document a line must not be its own first place; rows that share an id stay apart.
     both = both.where("doc_id != first OR _text = _other")
-    spans = both.select("doc_id", "_text", F.transform("m", lambda m: _extended(F.col("h"), F.col("_h"), m)).alias("s"))
+
+    def span(m: Column, i: Column) -> Column:
+        # Where the next line matches the next one there, its match goes on from here.
+        after = F.get("m", i + 1)
+        inner = F.coalesce((after["d"] == m["d"]) & (after["pos"] == m["pos"] + 1), F.lit(False))
+        at = F.struct(m["pos"].alias("pos"), (m["pos"] - m["d"]).alias("first_pos"))
+        line = F.struct(m["pos"].alias("a"), (m["pos"] + 1).alias("b"))
+        return F.when(inner, line).otherwise(_extended(F.col("h"), F.col("_h"), at))
+
+    spans = both.select("doc_id", "_text", F.transform("m", span).alias("s"))
     spans = spans.select("doc_id", "_text", F.filter("s", lambda s: s["b"] > s["a"]).alias("s"))
     every = spans.groupBy("doc_id", "_text").agg(F.array_sort(F.flatten(F.collect_list("s"))).alias("s"))
     joined = F.aggregate(

@@ -136,3 +136,30 @@ def test_own_text_stays_beside_a_large_share_of_repeats(spark):
     left = {r.doc_id: r.text for r in lines.deduplicated(docs, 0.2, 50).collect()}
     assert left == {1: shared, 2: own}
     assert lines.deduplicated(docs, 0.2, 1).count() == 3
+
+
+def test_every_common_gram_goes_whatever_stands_around_it(spark):
+    """An expectation of its own: all runs of lines of a gram's length that stand earlier as well."""
+    rng = random.Random(9)
+    paragraph = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(55)) + "\n"
+    texts = {d: f"{sentence(rng, 20)}\n{paragraph}{sentence(rng, 20)}\n" for d in range(30)}
+    run = [sentence(rng, 6) + "\n" for _ in range(40)]
+    for k in range(12):  # documents that overlap by degrees, the longer ones later
+        texts[100 + 3 * k] = sentence(rng, 8) + "\n" + "".join(run[k + 1 : k + 6]) + sentence(rng, 8)
+        texts[101 + 3 * k] = sentence(rng, 8) + "\n" + "".join(run[k : k + 25])
+        texts[102 + 3 * k] = sentence(rng, 8) + "\n" + "".join(run[k : k + 25])
+    seen, due = set(), {}
+    for d, text in sorted(texts.items()):
+        units = [u.strip(SPACE) for u in CUT.split(text)]
+        due[d] = set()
+        for i in range(len(units)):
+            n = next((n for n in range(1, min(12, len(units) - i) + 1) if n == 12 or sum(len(u) for u in units[i : i + n]) >= 100), None)
+            gram = tuple(units[i : i + n]) if n else None
+            if gram in seen:
+                due[d] |= set(range(i, i + n))
+            elif gram:
+                seen.add(gram)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    gone = {r.doc_id: {i for a, b in r._runs for i in range(a, b)} for r in lines.deletions(lines.indexed(docs)).collect()}
+    assert all(len(due[d]) == 1 for d in range(1, 30)) and all(due[102 + 3 * k] for k in range(12))
+    assert all(due[d] <= gone.get(d, set()) for d in texts)
