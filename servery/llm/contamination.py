@@ -21,6 +21,10 @@ from servery.llm.common import stored
 
 #: Words in a window. Items with fewer are one window.
 WINDOW = 10
+#: Words by which a term of a proximity match may stand off its place.
+SLOP = 1
+#: Windows of as many terms may lack one of them in a proximity match.
+LOOSE = 5
 #: Rows up to which a table of the benchmark is broadcast; about 64 bytes each.
 BROADCAST_ROWS = 200_000
 #: The term that ends every document; no word contains it.
@@ -158,6 +162,62 @@ def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Dat
     return _keyed(docs).join(found.select(*KEY).distinct(), list(KEY), "left_anti").drop(*KEY)
 
 
+def near_matches(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """Proximity matches: key, ``item_id``, for items of which a window stands in a document with
+    each term ``slop`` words or fewer off its place, and no window stands there exactly. One of
+    ``LOOSE`` or more terms may be missing, so a word may be put in, left out or replaced.
+
+    Of the three rarest terms a match then has two at least, and where their lists meet within
+    the slop, the lists of all terms of the window are compared. Terms that no document has count
+    as the rarest.
+    """
+    windows = stored(item_windows(items, size), "windows")
+    distinct = stored(windows.select("terms").distinct().withColumn("win", F.monotonically_increasing_id()), "distinct-windows")
+    terms = stored(distinct.select(F.explode("terms").alias("term")).distinct(), "terms")
+    n_terms, n_windows = terms.count(), distinct.count()
+    counts = postings(docs, terms, n_terms).groupBy("term").agg(F.count("*").alias("n"))
+    lacking = F.when(F.col("size") >= LOOSE, 1).otherwise(0)
+    each = distinct.select("win", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term"))
+    order = Window.partitionBy("win").orderBy(F.coalesce("n", F.lit(0)), "term", "offset")
+    ranked = each.join(counts, "term", "left").withColumn("k", F.row_number().over(order)).where("k <= 3")
+    rare = ranked.select("win", "term", "offset", "k", (F.least("size", F.lit(3)) - lacking).alias("needed"))
+    rare = stored(rare, "near-rare")
+    index = postings(docs, rare.select("term").distinct(), 3 * n_windows)
+    shifts = F.explode(F.array(*[F.lit(d) for d in range(-slop, slop + 1)]))
+    placed = index.join(_small(rare, 3 * n_windows), "term").withColumn("shift", shifts)
+    placed = placed.withColumn("start", F.col("pos") - F.col("offset") + F.col("shift"))
+    met = placed.groupBy(*KEY, "win", "start", "needed").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("met"))
+    candidates = stored(met.where("bit_count(met) >= needed").select(*KEY, "win", "start"), "near-starts")
+
+    some = _keyed(docs).join(candidates.select(*KEY).distinct(), list(KEY), "left_semi")
+    every = some.select(*KEY, F.posexplode(words(F.col("text"))).alias("pos", "term")).distinct()
+    due = candidates.join(_small(each, size * n_windows), "win").withColumn("shift", shifts)
+    due = due.withColumn("pos", F.col("start") + F.col("offset") + F.col("shift"))
+    held = due.join(every, [*KEY, "pos", "term"]).groupBy(*KEY, "win", "start", "size", "offset")
+    held = held.agg(F.max(F.when(F.col("shift") == 0, 1).otherwise(0)).alias("straight"))
+    found = held.groupBy(*KEY, "win", "start", "size").agg(F.count("*").alias("n"), F.sum("straight").alias("straight"))
+    found = found.where(F.col("n") >= F.col("size") - lacking).withColumn("exact", F.col("straight") == F.col("size"))
+    of_window = found.groupBy(*KEY, "win").agg(F.max("exact").alias("exact"))
+    of_item = of_window.join(windows.join(distinct, "terms").select("item_id", "win"), "win")
+    return of_item.groupBy(*KEY, "item_id").agg(F.max("exact").alias("exact")).where("NOT exact").drop("exact")
+
+
+def proximity_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Of each document the items it has nearly but not exactly. Items without an id are
+    matched but neither counted nor listed."""
+    docs = docs.select("doc_id", "text")
+    near = stored(near_matches(docs, items.select("item_id", "text")), "near")
+    listed = near.groupBy(*KEY).agg(
+        F.count("item_id").alias("n_near"), F.array_sort(F.collect_list(F.col("item_id").cast("string"))).alias("items")
+    )
+    rows = _keyed(docs).select("doc_id", *KEY).join(listed, list(KEY), "left")
+    return rows.select(
+        "doc_id",
+        F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("near_items"),
+    )
+
+
 CONTAMINATION_SQL = r"""
 WITH doc AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from servery.llm import chat
 from servery.llm.common import table
-from servery.llm.contamination import CONTAMINATION_SQL, contamination_digest
+from servery.llm.contamination import CONTAMINATION_SQL, contamination_digest, proximity_digest
 from servery.llm.hosts import HOST_RULE_SQL, host_rule_digest
 from servery.llm.lines import line_digest
 from servery.llm.packing import packing_digest
@@ -53,6 +53,10 @@ def op9_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_proximity_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return proximity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op7_winnowed_lines": op7_winnowed_lines,
     "op8_subword_toxicity": op8_subword_toxicity,
     "op9_positional_decontamination": op9_positional_decontamination,
+    "op9_proximity_matches": op9_proximity_matches,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
 }
 

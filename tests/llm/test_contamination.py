@@ -74,3 +74,45 @@ def test_empty_tables(spark):
     assert contamination.contamination_digest(docs.limit(0), items).collect() == []
     (row,) = contamination.contamination_digest(docs, items.limit(0)).collect()
     assert (row.n_words, row.n_hit, row.contaminated) == (2, 0, False)
+
+
+def brute_near(docs, items, slop=1):
+    out = {}
+    for doc_id, text in docs:
+        w, near = words(text), set()
+        for item_id, item in items:
+            v, size = words(item), min(10, len(words(item)))
+            wins = [v[i : i + size] for i in range(len(v) - size + 1)] if v else []
+            if any(w[p : p + size] == win for win in wins for p in range(len(w) - size + 1)):
+                continue
+            for win in wins:
+                for s in range(-size - slop, len(w) + slop):
+                    n = sum(t in w[max(0, s + o - slop) : max(0, s + o + slop + 1)] for o, t in enumerate(win))
+                    if n >= size - (size >= 5):
+                        near.add(item_id)
+        out[doc_id] = sorted(map(str, near))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_proximity_matches_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(contamination, "BROADCAST_ROWS", broadcast)
+    rng = random.Random(6)
+    vocabulary = ["the", "of", "a", *[f"w{i}" for i in range(60)]]
+    text = lambda n: rng.choices(vocabulary, k=n)
+    items = [(i, text(rng.randint(2, 24))) for i in range(16)] + [(20, ["lone"]), (21, ["absent", *text(9)])]
+    docs = [(i, text(40)) for i in range(20)] + [(50, []), (51, ["lone"]), (52, items[-1][1][1:])]
+    for k, (_, item) in enumerate(items):
+        at = len(item) // 2
+        for j, quoted in enumerate(([*item[:at], "put", *item[at:]], [*item[:at], *item[at + 1 :]], [*item[:at], "x", *item[at + 1 :]], item)):
+            docs.append((100 + 10 * k + j, [*text(6), *quoted, *text(6)]))
+    docs, items = ([(i, " ".join(w)) for i, w in rows] for rows in (docs, items))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = contamination.proximity_digest(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = brute_near(docs, items)
+    assert {r.doc_id: r.near_items for r in rows} == expected and len(rows) == len(docs)
+    assert all(r.n_near == len(r.near_items) for r in rows)
+    for k, (i, item) in enumerate(items):
+        if len(item.split()) >= 10:  # a word put in, left out or replaced
+            assert str(i) not in expected[100 + 10 * k + 3]
+            assert all(str(i) in expected[100 + 10 * k + j] for j in range(3) if len(item.split()) < 20)
