@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from servery.llm import chat
 from servery.llm.common import table
 from servery.llm.contamination import CONTAMINATION_SQL, contamination_digest, proximity_digest
+from servery.llm.fim import FIM_SQL, fim_digest
 from servery.llm.hosts import HOST_RULE_SQL, host_rule_digest
 from servery.llm.lines import line_digest
 from servery.llm.packing import packing_digest
@@ -61,6 +62,10 @@ def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_rank_index_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_hmm_transcripts": op1_hmm_transcripts,
     "op2_interleaved_shards": op2_interleaved_shards,
@@ -73,9 +78,11 @@ QUERIES = {
     "op9_positional_decontamination": op9_positional_decontamination,
     "op9_proximity_matches": op9_proximity_matches,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
+    "op13_rank_index_fim": op13_rank_index_fim,
 }
 
 ORACLE: dict[str, str] = {
     "op3_host_rules": HOST_RULE_SQL,
     "op9_positional_decontamination": CONTAMINATION_SQL,
+    "op13_rank_index_fim": FIM_SQL,
 }
