@@ -16,6 +16,7 @@ from servery.llm.secrets import secret_digest
 from servery.llm.sharding import shard_digest
 from servery.llm.simhash import simhash_digest
 from servery.llm.toxicity import toxicity_scores
+from servery.llm.urls import URL_SQL, judged
 
 
 def op1_hmm_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +63,10 @@ def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages"))
+
+
 def op13_rank_index_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digest(table(spark, sf_dir, "documents"))
 
@@ -78,11 +83,13 @@ QUERIES = {
     "op9_positional_decontamination": op9_positional_decontamination,
     "op9_proximity_matches": op9_proximity_matches,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
+    "op12_path_templates": op12_path_templates,
     "op13_rank_index_fim": op13_rank_index_fim,
 }
 
 ORACLE: dict[str, str] = {
     "op3_host_rules": HOST_RULE_SQL,
     "op9_positional_decontamination": CONTAMINATION_SQL,
+    "op12_path_templates": URL_SQL,
     "op13_rank_index_fim": FIM_SQL,
 }

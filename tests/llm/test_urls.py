@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import duckdb
+import pandas as pd
+import pytest
+from conftest import SMALL
+from oracle_check import compare, connect
+
+from servery.llm import urls
+from servery.llm.queries import ORACLE, QUERIES
+
+NAME = "op12_path_templates"
+
+
+def brute_rule(host, path):
+    fits = [r for r in urls.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.host + r.path), default=None)
+
+
+def parse(url):
+    if not url or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    path = rest[end:]
+    host = "".join(c.lower() if c.isascii() else c for c in rest[:end])
+    return host, path[: min([path.find(c) for c in "?#" if c in path], default=len(path))]
+
+
+def test_query_matches_sql(spark):
+    assert compare(QUERIES[NAME](spark, SMALL), connect(SMALL), ORACLE[NAME]) > 0
+
+
+ODD = [None, "", "no scheme", "http://", "https://A.ORG", "https://a.org/x", "http://org/", "http://xorg/a", "HTTP://Ünï.ORG/É/?q#f",
+       "https://a.example.org/es", "https://example.org/es/1", "https://b.example.org/en/17", "https://c.com/fr/1", "https://c.com/de",
+       "https://c.com/de/", "ftp://x//y//z", "https://h.net?x=/de/", "https://h.net#/a", "a://b://c/d", "https://c.com/fr/a://b/",
+       "https://deep.net/" + "a/" * 30, "https://long.net/" + "b" * 100_000, "https://star.net/*/1"]
+
+
+def fixture():
+    rows = list(ODD) + ["https://deep.net/" + "a/" * 30] * 10
+    for i in range(300):
+        # Branches that all go on with ids are alike; one that ends differs from the others.
+        rows.append(f"https://alike.net/{('shop', 'blog', 'news')[i % 3]}/{i * 7919 % 100_003}")
+        rows.append(f"https://big.net/{('shop', 'blog')[i % 2]}/{i * 7919 % 100_003}")
+        rows.append(f"https://big.net/help{'' if i % 3 else '/'}")
+        rows.append(f"https://mixed.com/{('fr', 'de', 'en')[i % 3]}/{i}")
+        rows.append(f"https://bad.com/{('de', 'de', 'xx')[i % 3]}/{i}.html")
+        rows.append(f"https://hot.org/{i}/{i % 7}/c")
+    return [(i, u) for i, u in enumerate(rows)] + [(None, "https://mixed.com/en/5"), (99_999, "https://a.org/x"), (99_999, "https://a.org/x")]
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    # Extra columns take the names of results and of what is computed on the way.
+    rows = [(*r, "x", 5, "y") for r in fixture()]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, template int, _next string")
+    return urls.judged(pages).collect()
+
+
+def test_fixture_matches_sql(spark, judged):
+    pages = pd.DataFrame(fixture(), columns=["page_id", "url"]).astype({"page_id": "Int64"})  # noqa: F841
+    connection = duckdb.connect()
+    connection.register("pages", pages)
+    want = sorted(map(str, connection.sql(urls.URL_SQL).select("page_id, host, path, rule, verdict, template").fetchall()))
+    assert sorted(str(tuple(r[c] for c in ("page_id", "host", "path", "rule", "verdict", "template"))) for r in judged) == want
+
+
+def test_rules_decide_where_one_fits(judged):
+    of = {r.page_id: r for r in judged}
+    assert len(judged) == len(fixture())
+    for page_id, url in fixture():
+        row, rule = of[page_id], brute_rule(*parse(url))
+        if page_id is not None:
+            assert (row.host, row.path) == parse(url)
+        assert row.rule == (rule and rule.host + rule.path)
+        assert row.verdict == rule.verdict if rule else row.verdict in ("allow", "block")
+
+
+def test_alike_branches_are_merged_and_impure_templates_rejected(judged):
+    templates = {(r.host, r.template) for r in judged}
+    assert {t for h, t in templates if h == "alike.net"} == {"/*/*"}
+    assert {t for h, t in templates if h == "big.net"} == {"/shop/*", "/blog/*", "/help", "/help/"}
+    assert {t for h, t in templates if h == "mixed.com"} == {"/fr/*", "/de/*", "/*/*"}
+    assert {t for h, t in templates if h == "hot.org"} == {"/*/*/c"}
+    assert {t for h, t in templates if h == "star.net"} == {"/*/*"}
+    method = {(r.host, r.verdict) for r in judged if r.rule is None}
+    assert ("bad.com", "block") in method and ("bad.com", "allow") not in method
+    assert ("mixed.com", "allow") in method and ("mixed.com", "block") not in method
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None)]])
+def test_empty_tables(spark, rows):
+    out = urls.judged(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert [tuple(r) for r in out] == [(None, "", "", None, "allow", "")] * len(rows)
+
+
+def test_one_host_is_split_and_nothing_runs_in_python(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = spark.range(40_000)
+        pages = n.selectExpr("id AS page_id", "concat('https://', IF(id % 2 = 0, 'hot', concat('h', id % 500)), '.net/a/', id) AS url")
+        # Stored in several files, as any large table is.
+        out = urls.judged(pages.repartition(20))
+        assert len(out.collect()) == 40_000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan
+        assert "SortMergeJoin(skew=true)" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
