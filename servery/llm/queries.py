@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from servery.llm import chat
+from servery.llm.alignment import alignment_digest
 from servery.llm.common import table
 from servery.llm.contamination import CONTAMINATION_SQL, contamination_digest, proximity_digest
 from servery.llm.fim import FIM_SQL, fim_digest
@@ -63,6 +64,10 @@ def op10_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_pointer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_digest(table(spark, sf_dir, "documents"))
+
+
 def op12_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "pages"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op9_positional_decontamination": op9_positional_decontamination,
     "op9_proximity_matches": op9_proximity_matches,
     "op10_deobfuscated_pii": op10_deobfuscated_pii,
+    "op11_pointer_alignment": op11_pointer_alignment,
     "op12_path_templates": op12_path_templates,
     "op13_rank_index_fim": op13_rank_index_fim,
 }

@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+import sentencepiece
+from conftest import SMALL
+from tokenizers import Tokenizer
+
+from servery.llm import alignment
+from servery.llm.queries import QUERIES
+
+
+def byte_of_character():
+    """The byte-level alphabet, as its tokenizer's decoder has it."""
+    from tokenizers import decoders
+
+    decoder = decoders.ByteLevel()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    one = {t for t in tokenizer.get_vocab() if len(t) == 1}
+    plain = {t: decoder.decode([t]).encode() for t in one}
+    return {t: b for t, b in plain.items() if len(b) == 1}
+
+
+def tokens(texts):
+    """The byte strings and ids of both sides of each text, or None."""
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    spell = alignment._byte_of_character()
+    assert all(spell[c] == x[0] for c, x in byte_of_character().items())
+    for text in texts:
+        if not text:
+            yield None
+            continue
+        left = [(i, bytes(spell[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
+        right = []
+        for i in b.encode(text):
+            piece = b.id_to_piece(i)
+            right.append((i, bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()))
+        want = (" " + text).encode()
+        fits = all(b"".join(x for _, x in side) == want for side in (left, right))
+        yield (left, right) if fits else None
+
+
+def spans(side):
+    out, at = [], 0
+    for i, x in side:
+        out.append((i, at, at + len(x)))
+        at += len(x)
+    return out
+
+
+def brute(texts):
+    """Every pair of tokens is looked at, and components are found by walking from link to link."""
+    rows, counts = [], Counter()
+    for pair in tokens(texts):
+        if pair is None:
+            rows.append(None)
+            continue
+        left, right = map(spans, pair)
+        links = [(i, j) for i, (_, s, e) in enumerate(left) for j, (_, t, f) in enumerate(right) if s < f and t < e]
+        groups = []
+        for i, j in links:
+            if groups and (i in groups[-1][0] or j in groups[-1][1]):
+                groups[-1][0].add(i)
+                groups[-1][1].add(j)
+            else:
+                groups.append(({i}, {j}))
+        ids = [(left[i][0], right[j][0]) for i, j in links]
+        counts.update(ids)
+        text = ";".join(",".join(str(left[i][0]) for i in sorted(g)) + "|" + ",".join(str(right[j][0]) for j in sorted(h)) for g, h in groups)
+        rows.append((len(left), len(right), len(groups), ids, hashlib.sha256(text.encode()).hexdigest()))
+    best = {}
+    for (_, b), n in counts.items():
+        best[b] = max(best.get(b, 0), n)
+    out = []
+    for r in rows:
+        if r is None:
+            out.append((0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_a, n_b, n_groups, ids, digest = r
+        out.append((n_a, n_b, n_groups, len(ids), sum(counts[x] == best[x[1]] for x in ids), sum(counts[x] for x in ids), digest))
+    return out
+
+
+TEXTS = ["one two three", "", None, " ", "  a  b ", "naïve café", "😀😀 🤖", "漢字かな交じり文", "a\r\nb\tc\x00d", "▁a", "<|endoftext|> and </s> <0x0A>",
+         "same text", "same text", "antidisestablishmentarianism", "don't we'll I'd", "0123456789" * 20, "x" * 3000, "ﬁn​﻿ é", "\n\n\n"]
+
+
+def digest(docs, **options):
+    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    out = alignment.alignment_digest(docs, **options)
+    assert out.columns == ["doc_id", *names]
+    return sorted((str(r.doc_id), *(r[c] for c in names)) for r in out.collect())
+
+
+@pytest.mark.parametrize("head", [0, 8, alignment.HEAD])
+def test_rows_match_brute_force(spark, head):
+    given = pq.read_table(f"{SMALL}/documents.parquet", columns=["text"]).column(0).to_pylist()
+    texts = TEXTS + sorted(given, key=len)[:300]
+    # Extra columns take the names of results and of what is computed on the way; an id is missing, another twice.
+    rows = [(None if i == 7 else min(i, 200), t, "x", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, a int").repartition(4)
+    want = sorted((str(r[0]), *w) for r, w in zip(rows, brute(texts)))
+    assert digest(docs, head=head) == want
+
+
+def test_pointers_reach_the_end_of_their_component():
+    # Tokens of two and three bytes over 6000 bytes but the first: one long chain, then pairs.
+    for one, two in [([3] * 2000, [1] + [3] * 1999 + [2]), ([1, 2, 3], [1, 2, 3]), ([6], [1, 2, 3]), ([1, 2, 3], [6])]:
+        ends_a, ends_b = np.cumsum(one), np.cumsum(two)
+        over_a, over_b = np.searchsorted(ends_b, ends_a), np.searchsorted(ends_a, ends_b)
+        over_b = np.where(ends_a[over_b] > ends_b, over_b, -1)
+        common = sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
+        got = ends_b[alignment.terminals(over_a, over_b)]
+        want = [min(c for c in common if c >= e) for e in [*ends_a.tolist(), *ends_b.tolist()]]
+        assert got.tolist() == want
+
+
+def test_query_counts_every_document(spark):
+    out = QUERIES["op11_pointer_alignment"](spark, SMALL)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    assert out.count() == docs.count()
+    rows = out.collect()
+    assert all(r.n_links == r.n_a + r.n_b - r.n_groups for r in rows)
+    assert sum(r.n_groups > 0 for r in rows) > 0.9 * len(rows)
+
+
+def test_long_texts(spark):
+    docs = spark.createDataFrame([(1, "wordä " * 200_000), (2, "short")], "doc_id long, text string")
+    rows = {r[0]: r for r in digest(docs)}
+    assert rows["1"][1] > 400_000 and rows["1"][4] == rows["1"][1] + rows["1"][2] - rows["1"][3]
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None)]])
+def test_empty_tables(spark, rows):
+    out = digest(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out == [("None", 0, 0, 0, 0, 0, 0, "")] * len(rows)
