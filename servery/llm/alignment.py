@@ -14,6 +14,8 @@ counts by a shuffle, counted by row and pair before.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -28,10 +30,15 @@ from servery.llm.common import stored
 HEAD = 1 << 19
 #: Pairs a task holds before it puts equal ones together.
 HELD = 4 << 20
-#: Characters, and tokens, that are worked on at a time.
-SLICE = 1 << 20
+#: Characters, and bytes of ids, that are worked on at a time.
+SLICE = 1 << 19
 #: How a piece spells a space.
 SPACE = "▁"
+#: How a byte-level tokenizer parts texts of which no step changes a character.
+PLAIN_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Any character that is neither printable Latin nor a tab or line end.
+_UNUSUAL = re.compile("[^\t\n\r -~\xa1-\u024f]")
 
 
 def default_tokenizers() -> tuple[str, str]:
@@ -49,7 +56,12 @@ def _byte_of_character() -> dict[str, int]:
 
 
 class ByteLevel:
-    """The byte-level tokenizer (a JSON definition). Special tokens in a text are plain text."""
+    """The byte-level tokenizer (a JSON definition). Special tokens in a text are plain text.
+
+    Where the definition is the plain byte-level pattern, and its merges are in the order of their
+    ids, another encoder takes the same steps faster; texts with characters that editions of Unicode
+    might class otherwise are left to the definition itself.
+    """
 
     def __init__(self, definition: bytes) -> None:
         from tokenizers import Tokenizer
@@ -58,11 +70,25 @@ class ByteLevel:
         self.tokenizer.encode_special_tokens = True
         table = _byte_of_character()
         size = self.tokenizer.get_vocab_size()
-        self.pieces = [bytes(table[c] for c in t) if set(t) <= table.keys() else t.encode() for t in map(self.tokenizer.id_to_token, range(size))]
+        names = list(map(self.tokenizer.id_to_token, range(size)))
+        self.pieces = [bytes(table[c] for c in t) if set(t) <= table.keys() else t.encode() for t in names]
+        self.plain = None
+        steps = json.loads(definition)
+        pairs = [tuple(m if isinstance(m, list) else m.split(" ")) for m in steps["model"].get("merges", [])]
+        in_order = [a + b for a, b in pairs] == names[256 : 256 + len(pairs)] and set(names[:256]) == table.keys()
+        if in_order and steps["normalizer"] is None and steps["pre_tokenizer"] == PLAIN_BYTE_LEVEL:
+            import tiktoken
+
+            ranks = {p: i for i, p in enumerate(self.pieces[: 256 + len(pairs)])}
+            self.plain = tiktoken.Encoding("plain", pat_str=PLAIN_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [x.ids for x in found]
+        if self.plain is None:
+            return [self._ids(t) for t in texts]
+        return [self._ids(t) if _UNUSUAL.search(t) else self.plain.encode_ordinary(" " + t) for t in texts]
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(" " + text, add_special_tokens=False).ids
 
 
 class Pieces:
@@ -72,20 +98,35 @@ class Pieces:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        n = self.model.get_piece_size()
-        self.pieces = [
-            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode("utf-8")
-            for i, p in enumerate(map(self.model.id_to_piece, range(n)))
-        ]
+        names = map(self.model.id_to_piece, range(self.model.get_piece_size()))
+        self.pieces = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode("utf-8") for i, p in enumerate(names)]
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
+class Encoder:
+    """The ids of texts on both sides, as little-endian bytes."""
+
+    def __init__(self, a: bytes, b: bytes) -> None:
+        self.sides = _loaded(ByteLevel, a), _loaded(Pieces, b)
+
+    def of(self, texts: list[str | None]) -> list[tuple[bytes, ...]]:
+        """Of each text, none of NULL and empty ones and of those that either side does not spell."""
+        some = [t or "" for t in texts]
+        fits, out = np.array([bool(t) for t in some], bool), []
+        whole = [(" " + t).encode("utf-8", "surrogatepass") for t in some]
+        for side in self.sides:
+            ids, piece, width = side.ids(some), side.pieces.__getitem__, _width(side.pieces)
+            fits &= [b"".join(map(piece, x)) == w for x, w in zip(ids, whole)]
+            out.append([np.array(x, width).tobytes() for x in ids])
+        return [found if ok else (b"", b"") for found, ok in zip(zip(*out), fits.tolist())]
+
+
 @cache
-def _loaded(kind: type, definition: bytes):
-    """One tokenizer for each definition in a process."""
-    return kind(definition)
+def _loaded(kind: type, *definitions: bytes):
+    """One for each definition in a process."""
+    return kind(*definitions)
 
 
 def _width(pieces: list[bytes]) -> str:
@@ -99,22 +140,12 @@ def tokenized(docs: DataFrame, a: bytes, b: bytes) -> DataFrame:
     shared = spark.sparkContext.broadcast((a, b))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left, right = _loaded(ByteLevel, shared.value[0]), _loaded(Pieces, shared.value[1])
-        sides = [(side, side.pieces.__getitem__, _width(side.pieces)) for side in (left, right)]
+        encoder = _loaded(Encoder, *shared.value)
         for batch in batches:
             texts = batch["text"].tolist()
             for first, last in _runs(np.array([len(t or "") for t in texts])):
-                some = [t or "" for t in texts[first:last]]
-                whole = [b" " + t.encode("utf-8", "surrogatepass") for t in some]
-                found = []
-                fits = np.array([bool(t) for t in some], bool)
-                for side, piece, width in sides:
-                    ids = side.ids(some)
-                    fits &= [b"".join(map(piece, x)) == w for x, w in zip(ids, whole)]
-                    found.append([np.array(x, width).tobytes() for x in ids])
-                rows = batch.iloc[first:last]
-                kept = [[x if ok else b"" for x, ok in zip(side, fits.tolist())] for side in found]
-                yield pd.DataFrame({"row": rows["row"], "doc_id": rows["doc_id"], "a": kept[0], "b": kept[1]})
+                rows, found = batch.iloc[first:last], encoder.of(texts[first:last])
+                yield pd.DataFrame({"row": rows["row"], "doc_id": rows["doc_id"], "a": [x for x, _ in found], "b": [x for _, x in found]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
@@ -153,9 +184,20 @@ class Slice:
         self.rows_a, self.rows_b = (np.repeat(np.arange(len(n)), n) for n in (self.n_a, self.n_b))
         self.n_groups = np.bincount(self.rows_b[~inner], minlength=len(a))
         # Two tokens overlap in one stretch, which ends where the first of them does.
-        self.code = np.concatenate([self.a * len(right) + self.b[over_a], (self.a[over_b] * len(right) + self.b)[inner]]) if len(self.b) else self.a
+        if len(self.b):
+            self.code = np.concatenate([self.a * len(right) + self.b[over_a], (self.a[over_b] * len(right) + self.b)[inner]])
+        else:
+            self.code = self.a
         self.row = np.concatenate([self.rows_a, self.rows_b[inner]])
-        self.n_links = np.bincount(self.row, minlength=len(a))
+        self.n_links = self.n_a + self.n_b - self.n_groups
+
+    def by_row(self, values: np.ndarray) -> np.ndarray:
+        """The sums of a value for each link, exact: links come by row twice, for either side."""
+        out = np.zeros(len(self.n_a), np.int64)
+        for sizes, some in ((self.n_a, values[: len(self.a)]), (self.n_b - self.n_groups, values[len(self.a) :])):
+            sums, ends = np.append(0, some.cumsum()), np.append(0, sizes.cumsum())
+            out += sums[ends[1:]] - sums[ends[:-1]]
+        return out
 
 
 def terminals(over_a: np.ndarray, over_b: np.ndarray) -> np.ndarray:
@@ -194,9 +236,9 @@ def pair_counts(tokens: DataFrame, left: list[bytes], right: list[bytes]) -> Dat
         codes, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         for batch in batches:
             for _, s in slices(batch, *shared.value):
-                found, n = np.unique(s.code, return_counts=True)
+                places, found = pd.factorize(s.code)
                 codes.append(found)
-                counts.append(n)
+                counts.append(np.bincount(places, minlength=len(found)))
                 held += len(found)
                 if held > HELD:
                     (found, n) = _put_together(codes, counts)
@@ -266,12 +308,15 @@ def aligned(docs: DataFrame, a: str | None = None, b: str | None = None, head: i
         names = _names(len(left), (",", "|")), _names(len(right), (",", ";"))
         for batch in batches:
             for rows, s in slices(batch, left, right):
-                at = np.minimum(np.searchsorted(codes, s.code), max(len(codes) - 1, 0))
-                known = codes[at] == s.code if len(codes) else np.zeros(len(s.code), bool)
+                places, found = pd.factorize(s.code)
+                at = np.minimum(np.searchsorted(codes, found), max(len(codes) - 1, 0))
+                known = codes[at] == found if len(codes) else np.zeros(len(found), bool)
+                # What each link adds; those of rare pairs nothing yet.
+                sums = s.by_row(np.where(known, counts[at], 0)[places] if len(codes) else np.zeros_like(s.code))
+                bests = s.by_row((known & best[at]).astype(np.int64)[places] if len(codes) else np.zeros_like(s.code))
                 n = len(rows)
-                sums = np.zeros(n, np.int64)
-                np.add.at(sums, s.row[known], counts[at[known]])
-                rare, times = np.unique(np.stack([s.row[~known], s.code[~known]]), axis=1, return_counts=True)
+                left_over = ~known[places]
+                rare, times = np.unique(np.stack([s.row[left_over], s.code[left_over]]), axis=1, return_counts=True)
                 cut = np.searchsorted(rare[0], np.arange(n + 1)).tolist()
                 yield pd.DataFrame(
                     {
@@ -282,7 +327,7 @@ def aligned(docs: DataFrame, a: str | None = None, b: str | None = None, head: i
                         "n_groups": s.n_groups,
                         "n_links": s.n_links,
                         "groups": _rendered(s, *names),
-                        "n_best": np.bincount(s.row[known][best[at[known]]], minlength=n),
+                        "n_best": bests,
                         "count_sum": sums,
                         "rest": [[{"code": c, "times": t} for c, t in zip(rare[1][i:j].tolist(), times[i:j].tolist())] for i, j in zip(cut, cut[1:])],
                     }

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -110,6 +111,17 @@ def test_rows_match_brute_force(spark, head):
     assert digest(docs, head=head) == want
 
 
+def test_the_faster_encoder_gives_the_same_ids():
+    with open(alignment.default_tokenizers()[0], "rb") as file:
+        side = alignment.ByteLevel(file.read())
+    assert side.plain is not None
+    rng = random.Random(5)
+    alphabet = [" ", " ", "\n", "a", "be", "the", "é", "ß", "’s", "'s", "12", ".", "▁", "\t", "\r", "\xa0", "\u3000", "漢", "😀", "<s>", "\x1f", "\u200b", "\x00"]
+    texts = ["".join(rng.choices(alphabet, weights=[9] * 16 + [1] * 7, k=rng.randrange(1, 60))) for _ in range(5000)]
+    texts += pq.read_table(f"{SMALL}/documents.parquet", columns=["text"]).column(0).to_pylist()
+    assert side.ids(texts) == [side._ids(t) for t in texts]
+
+
 def test_pointers_reach_the_end_of_their_component():
     # Tokens of two and three bytes over 6000 bytes but the first: one long chain, then pairs.
     for one, two in [([3] * 2000, [1] + [3] * 1999 + [2]), ([1, 2, 3], [1, 2, 3]), ([6], [1, 2, 3]), ([1, 2, 3], [6])]:
