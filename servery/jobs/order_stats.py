@@ -4,16 +4,19 @@
         --format kafka --servers broker:9092 [--publish kafka]
 
 The topics are Kafka topics or, with ``--format text``, folders of message files. Changelogs go
-to parquet folders below the root or, with ``--publish kafka``, to topics of the same names.
+to parquet folders below the root, with the top ten of each beside them, or, with ``--publish
+kafka``, to topics of the same names.
 """
 
 from __future__ import annotations
 
 import argparse
 
+from servery.schemas import MENU_ITEMS
 from servery.session import build_session, streaming_session
 from servery.sinks.changelog import start_kafka_changelog
 from servery.sources.streams import topic_stream
+from servery.sources.tables import scan_table
 from servery.streaming.running import (
     OrderStatsJob,
     await_all,
@@ -35,6 +38,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--state-partitions", type=int)
     parser.add_argument("--files-per-batch", type=int, help="of the changelogs")
     parser.add_argument("--snapshot-every", type=int, default=100, help="batches")
+    parser.add_argument("--tables", help="folder of the stored tables; with it the top menu items are published")
     parser.add_argument("--max-per-trigger", help="messages (Kafka) or files (text) of a batch")
     parser.add_argument(
         "--quarantine", action=argparse.BooleanOptionalAction, default=True, help="keep unusable messages"
@@ -57,7 +61,8 @@ def main(argv: list[str] | None = None) -> None:
     trigger = {"availableNow": True} if args.once else {}
     if args.publish == "files":
         job = OrderStatsJob(args.root, args.key, args.files_per_batch, args.snapshot_every)
-        queries = job.start(orders, items, args.quarantine, **trigger)
+        menu = (lambda: scan_table(session, f"{args.tables}/menu_items", MENU_ITEMS)) if args.tables else None
+        queries = job.start(orders, items, args.quarantine, menu, **trigger)
     else:
         streams = {
             "restaurant_stats": (running_restaurant_stats(orders, args.key), args.key),

@@ -58,12 +58,17 @@ class Inputs:
         )
         return conform(customer, USERS)
 
-    def menu_items(self) -> DataFrame:
+    def menu_owner(self) -> Column:
+        """The restaurant of a row of the menu items' source."""
+        return F.col("p_partkey") % self._restaurant_count()
+
+    def menu_items(self, part: DataFrame | None = None) -> DataFrame:
+        """All menu items, or those of some rows of their source."""
         key = F.col("p_partkey")
         category = F.when(key % 3 == 0, "food").when(key % 3 == 1, "beverage").otherwise("dessert")
-        part = self.table("part").select(
+        part = (self.table("part") if part is None else part).select(
             key.alias("item_id"),
-            (key % self._restaurant_count()).alias("fk_restaurant"),
+            self.menu_owner().alias("fk_restaurant"),
             F.col("p_name").alias("item_name"),
             category.alias("item_category"),
             F.col("p_retailprice").alias("price"),

@@ -99,10 +99,15 @@ ORACLE: dict[str, str] = {
     "restaurant_revenue_stream": _REVENUE,
     "item_counts": _COUNTS,
     "item_counts_stream": _COUNTS,
+    "snapshot_current": _COUNTS,
     "top10_restaurants": _TOP_RESTAURANTS,
     "top10_restaurants_live": _TOP_RESTAURANTS,
     "top10_items": _TOP_ITEMS,
     "top10_items_live": _TOP_ITEMS,
+    "top10_job": f"""
+SELECT 'restaurant' AS kind, restaurant_name AS name, total_revenue AS value FROM ({_TOP_RESTAURANTS})
+UNION ALL SELECT 'item', item_name, CAST(item_quantity AS DOUBLE) FROM ({_TOP_ITEMS})
+""",
     "latest_stats": """
 SELECT user_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
@@ -249,6 +254,9 @@ SELECT 'orders' AS topic,
        CASE o_orderkey % 7 WHEN 0 THEN 'incomplete' WHEN 1 THEN 'malformed' ELSE 'amount_not_finite' END AS reason,
        count(*) AS n
 FROM orders WHERE o_orderkey % 7 < 3 GROUP BY 2
+UNION ALL
+SELECT 'order_items', CASE l_orderkey % 11 WHEN 0 THEN 'incomplete' ELSE 'malformed' END, count(*)
+FROM lineitem WHERE l_orderkey % 11 < 2 GROUP BY 2
 """,
     "publish_period": """
 SELECT CAST(o_orderkey AS VARCHAR) AS key, CAST(o_orderdate AS TIMESTAMP) AS order_datetime

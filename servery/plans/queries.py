@@ -21,6 +21,7 @@ from servery.operators.paging import Listing, listing, page_index
 from servery.plans import dashboard
 from servery.plans.inputs import Inputs
 from servery.schemas import (
+    LABELLED_ITEM_STATS,
     MENU_ITEM_STATS,
     ORDER_EVENT,
     ORDERS,
@@ -35,17 +36,20 @@ from servery.staging import scratch_path
 from servery.sinks.changelog import start_file_changelog
 from servery.sinks.messages import keyed_messages, publish_to_files, write_names
 from servery.sinks.tables import append_new, create_tables
-from servery.sources.changelog import read_current, read_last_batch
+from servery.sources.changelog import read_current, read_view
 from servery.sources.documents import read_document_lines, read_list_texts, read_names
 from servery.sources.streams import decode_messages, topic_stream
 from servery.sources.tables import as_json_rows, query_tables, scan_table
 from servery.streaming.running import (
+    ITEM_TOPIC,
     OrderStatsJob,
     await_all,
+    labelled_by,
     live_top_k,
     running_item_counts,
     running_restaurant_stats,
 )
+from servery.versions import current_version
 
 Plan = Callable[[Inputs], DataFrame]
 
@@ -91,32 +95,55 @@ def latest_stats(inputs: Inputs) -> DataFrame:
 # --- running statistics ------------------------------------------------------------------
 
 
-#: Messages in a file of a replayed topic, and the parts that running state is kept in.
-_FILE_MESSAGES, _STATE_PARTITIONS = 50_000, 8
+#: Messages in a file of a replayed topic, files in a micro-batch, and keys in a part of the state.
+_FILE_MESSAGES, _BATCH_FILES, _STATE_KEYS = 100_000, 2, 500_000
 
 
-def _replayed(inputs: Inputs, rows: DataFrame, key: str, running, top: tuple[str, str] | None = None) -> str:
-    """Publish rows as a topic of files and run the statistics over it in several micro-batches;
-    returns the folder of the run. The batches follow the data, whatever the number of cores.
-    ``top`` names key and value of a top-k to publish after each batch."""
-    spark = inputs.spark
-    root = scratch_path(spark, "stream")
-    files = max(2, -(-rows.count() // _FILE_MESSAGES))
+def _topic(inputs: Inputs, rows: DataFrame, key: str, folder: str) -> None:
+    """Publish rows as a topic of files, which make two micro-batches at least."""
+    files = max(2 * _BATCH_FILES, -(-rows.count() // _FILE_MESSAGES))
     # Dealt out before they are encoded: rows are smaller than their messages.
-    publish_to_files(keyed_messages(rows.repartition(files), key), f"{root}/topic")
-    session = streaming_session(spark, state_partitions=_STATE_PARTITIONS)
-    messages = topic_stream(session, f"{root}/topic", fmt="text", maxFilesPerTrigger=str(files // 2))
-    after = [live_top_k(f"{root}/top", *top, f"{root}/changelog")] if top else []
+    publish_to_files(keyed_messages(rows.repartition(files), key), folder)
+
+
+def _replayed_job(inputs: Inputs, snapshot_every: int = 100) -> OrderStatsJob:
+    """The job over both topics. Micro-batches are of a fixed size, so it is their number that
+    grows with the data; the parts of the state grow with the keys."""
+    job = OrderStatsJob(scratch_path(inputs.spark, "stream"), snapshot_every=snapshot_every)
+    _topic(inputs, joins.enrich_orders(inputs.orders(), inputs.restaurants()), "order_id", f"{job.root}/orders")
+    _topic(inputs, inputs.order_items(), "fk_order", f"{job.root}/items")
+    keys = max(inputs.restaurants().count(), inputs.menu_items().count())
+    session = streaming_session(inputs.spark, state_partitions=max(8, -(-keys // _STATE_KEYS)))
+    topics = [
+        topic_stream(session, f"{job.root}/{name}", fmt="text", maxFilesPerTrigger=str(_BATCH_FILES))
+        for name in ("orders", "items")
+    ]
+    await_all(job.start(*topics, quarantine=False, menu=inputs.menu_items, availableNow=True))
+    return job
+
+
+def _replayed(inputs: Inputs, rows: DataFrame, key: str, running, stats_key: str, after=()) -> str:
+    """One running statistic over a topic; returns the folder of the run."""
+    root = scratch_path(inputs.spark, "stream")
+    _topic(inputs, rows, key, f"{root}/topic")
+    keys = max(inputs.restaurants().count(), inputs.menu_items().count())
+    session = streaming_session(inputs.spark, state_partitions=max(8, -(-keys // _STATE_KEYS)))
+    messages = topic_stream(session, f"{root}/topic", fmt="text", maxFilesPerTrigger=str(_BATCH_FILES))
     job = start_file_changelog(
-        running(messages), f"{root}/changelog", f"{root}/checkpoint", after_batch=after, availableNow=True
-    )
+        running(messages), f"{root}/changelog", f"{root}/checkpoint", key=stats_key,
+        after_batch=[make(f"{root}/top", f"{root}/changelog") for make in after], availableNow=True,
+    )
     await_all([job])
     return root
 
 
-def _replayed_orders(inputs: Inputs, top: tuple[str, str] | None = None) -> str:
+def _replayed_orders(inputs: Inputs, after=()) -> str:
     orders = joins.enrich_orders(inputs.orders(), inputs.restaurants())
-    return _replayed(inputs, orders, "order_id", running_restaurant_stats, top)
+    return _replayed(inputs, orders, "order_id", running_restaurant_stats, "restaurant_name", after)
+
+
+def _replayed_items(inputs: Inputs, after=()) -> str:
+    return _replayed(inputs, inputs.order_items(), "fk_order", running_item_counts, "fk_menu_item", after)
 
 
 @query
@@ -127,21 +154,46 @@ def restaurant_revenue_stream(inputs: Inputs) -> DataFrame:
 
 @query
 def item_counts_stream(inputs: Inputs) -> DataFrame:
-    root = _replayed(inputs, inputs.order_items(), "fk_order", running_item_counts)
+    root = _replayed_items(inputs)
     return read_current(inputs.spark, f"{root}/changelog", MENU_ITEM_STATS, "fk_menu_item")
 
 
 @query
 def top10_restaurants_live(inputs: Inputs) -> DataFrame:
     """What the stream published as its top ten after the last batch."""
-    root = _replayed_orders(inputs, ("restaurant_name", "total_revenue"))
-    top, _ = read_last_batch(inputs.spark, f"{root}/top", RESTAURANT_STATS)
-    return dashboard.top_restaurants(top.select(*RESTAURANT_STATS.names))
+    root = _replayed_orders(inputs, [lambda top, log: live_top_k(top, "restaurant_name", "total_revenue", log)])
+    return dashboard.top_restaurants(read_view(inputs.spark, f"{root}/top", RESTAURANT_STATS))
 
 
 @query
 def top10_items_live(inputs: Inputs) -> DataFrame:
-    return dashboard.top_items(item_counts_stream(inputs), inputs.menu_items())
+    """Labelled and cut in the micro-batches; only the published folder is read."""
+    shown = labelled_by(inputs.menu_items)
+    root = _replayed_items(inputs, [lambda top, log: live_top_k(top, "fk_menu_item", "item_quantity", log, shown=shown)])
+    return read_view(inputs.spark, f"{root}/top", LABELLED_ITEM_STATS).drop("fk_menu_item")
+
+
+@query
+def top10_job(inputs: Inputs) -> DataFrame:
+    """Both top tens as one job publishes them."""
+    job = _replayed_job(inputs)
+    restaurants = job.top_restaurants(inputs.spark).select(
+        F.lit("restaurant").alias("kind"), F.col("restaurant_name").alias("name"), F.col("total_revenue").alias("value")
+    )
+    items = job.top_items(inputs.spark).select(
+        F.lit("item").alias("kind"), F.col("item_name").alias("name"), F.col("item_quantity").cast("double").alias("value")
+    )
+    return restaurants.unionByName(items)
+
+
+@query
+def snapshot_current(inputs: Inputs) -> DataFrame:
+    """Quantities out of snapshots alone: one after each batch, made from the one before."""
+    job = _replayed_job(inputs, snapshot_every=1)
+    _, state = current_version(inputs.spark, job.changelog(ITEM_TOPIC))
+    if state["live"]:
+        raise ValueError("a batch is not in the snapshot")
+    return job.item_counts(inputs.spark)
 
 
 @query
@@ -185,7 +237,8 @@ def order_stats_job(inputs: Inputs) -> DataFrame:
 
 @query
 def stream_quarantine(inputs: Inputs) -> DataFrame:
-    """Of every seven orders one lost its name, one its end, and one costs no number."""
+    """Of every seven orders one lost its name, one its end, and one costs no number; of every
+    eleven the items of one lost their menu item, and those of another their end."""
     messages = keyed_messages(joins.enrich_orders(inputs.orders(), inputs.restaurants()), "order_id")
     kind = F.col("key").cast("bigint") % 7
     broken = (
@@ -195,7 +248,13 @@ def stream_quarantine(inputs: Inputs) -> DataFrame:
         .otherwise(F.col("value"))
     )
     items = keyed_messages(inputs.order_items(), "fk_order")
-    job = _job(inputs, messages.withColumn("value", broken), items)
+    kind = F.col("key").cast("bigint") % 11
+    cut = (
+        F.when(kind == 0, F.replace("value", F.lit("fk_menu_item"), F.lit("item")))
+        .when(kind == 1, F.expr("left(value, 10)"))
+        .otherwise(F.col("value"))
+    )
+    job = _job(inputs, messages.withColumn("value", broken), items.withColumn("value", cut))
     kept = inputs.spark.read.schema("topic string, value string, reason string").parquet(f"{job.root}/quarantine")
     return kept.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -290,7 +349,8 @@ def order_total_reconcile(inputs: Inputs) -> DataFrame:
 
 @query
 def table_scan_filtered(inputs: Inputs) -> DataFrame:
-    return quality.require_rows(inputs.menu_items().where(F.col("fk_restaurant") == 3), "menu_items")
+    of_one = inputs.menu_owner() == 3
+    return inputs.menu_items(scan_table(inputs.spark, f"{inputs.folder}/part.parquet", where=of_one, required=True))
 
 
 @query

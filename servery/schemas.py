@@ -84,6 +84,8 @@ ORDER_ITEM_EVENT = ORDER_ITEM
 # Outbound changelogs.
 RESTAURANT_STATS = _struct(restaurant_name=_text, total_revenue=_number, avg_rate=_number)
 MENU_ITEM_STATS = _struct(fk_menu_item=_id, item_quantity=_id)
+# Published beside them: the top items with their label and price.
+LABELLED_ITEM_STATS = _struct(fk_menu_item=_id, item_name=_text, item_quantity=_id, price=_number)
 
 # Documents. Numbers arrive quoted as often as not, so they are read as text and cast later.
 USER_PROFILE = _struct(

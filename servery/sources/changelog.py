@@ -2,49 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from servery.operators.latest import compact_changelog
 from servery.sources.streams import decode_messages
+from servery.versions import current_version
 
 # The column that orders the rows of one key: micro-batch number, or offset in the topic.
 FILE_SEQUENCE = "batch_id"
 KAFKA_SEQUENCE = "offset"
 
 
+def read_parts(spark: SparkSession, path: str, schema: StructType, parts: Iterable[str]) -> DataFrame:
+    """The rows of some parts of a folder; only these are listed."""
+    paths = [f"{path}/{part}" for part in parts]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def read_file_changelog(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All rows published so far, with their ``batch_id``; none if nothing was published."""
+    """The last snapshot, if one was made, and all rows published since, with their ``batch_id``;
+    none if nothing was published.
+
+    The parts are those the folder's pointer names, as many as a snapshot has buckets and as there
+    are batches between two snapshots, however many batches there were.
+    """
     full = StructType([*schema.fields, StructField(FILE_SEQUENCE, LongType(), True)])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], full)
+    _, state = current_version(spark, path)
+    return read_parts(spark, path, full, [*state.get("parts", {}).values(), *state.get("live", {}).values()])
 
 
-def read_last_batch(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, int]:
-    """The rows of the last batch of a folder and its number, -1 if there is none."""
-    batches = read_file_changelog(spark, path, schema)
-    last = batches.agg(F.coalesce(F.max(FILE_SEQUENCE), F.lit(-1))).first()[0]
-    return batches.where(F.col(FILE_SEQUENCE) == last), last
+def read_current(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
+    """Current statistics: each key's last published row."""
+    return compact_changelog(read_file_changelog(spark, path, schema), key, FILE_SEQUENCE)
 
 
-def read_current(
-    spark: SparkSession, path: str, schema: StructType, key: str, snapshots: str | None = None
-) -> DataFrame:
-    """Current statistics: each key's last published row.
-
-    With a folder of snapshots only the last one and the batches after it are read.
-    """
-    changelog = read_file_changelog(spark, path, schema)
-    if snapshots is not None:
-        earlier, last = read_last_batch(spark, snapshots, schema)
-        changelog = earlier.unionByName(changelog.where(F.col(FILE_SEQUENCE) > last))
-    return compact_changelog(changelog, key, FILE_SEQUENCE)
+def read_view(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What :func:`~servery.sinks.changelog.publish_view` published last; none before that."""
+    _, state = current_version(spark, path)
+    return read_parts(spark, path, schema, [state["part"]] if state else [])
 
 
 def read_kafka_changelog(
@@ -58,3 +56,10 @@ def read_kafka_changelog(
     options = {"startingOffsets": "earliest", "endingOffsets": "latest", **options}
     messages = spark.read.format("kafka").option("subscribe", topic).options(**options).load()
     return decode_messages(messages, schema, KAFKA_SEQUENCE)
+
+
+def read_kafka_current(
+    spark: SparkSession, topic: str, schema: StructType, key: str, **options: str
+) -> DataFrame:
+    """Current statistics out of a topic that ``order_stats --publish kafka`` writes."""
+    return compact_changelog(read_kafka_changelog(spark, topic, schema, **options), key, KAFKA_SEQUENCE)

@@ -6,6 +6,7 @@ with the number of restaurants and menu items, not with the number of orders.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
@@ -15,22 +16,19 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from servery.operators.aggregates import item_counts, restaurant_stats
+from servery.operators.joins import labelled_item_counts
 from servery.operators.quality import Split, check_messages, not_money, split
 from servery.operators.topk import top_k
 from servery.schemas import (
+    LABELLED_ITEM_STATS,
     MENU_ITEM_STATS,
     ORDER_EVENT,
     ORDER_ITEM_EVENT,
     fields,
     restaurant_stats_schema,
 )
-from servery.sinks.changelog import (
-    AfterBatch,
-    keep_snapshots,
-    start_file_changelog,
-    write_changelog_batch,
-)
-from servery.sources.changelog import FILE_SEQUENCE, read_current, read_last_batch
+from servery.sinks.changelog import SNAPSHOT_EVERY, AfterBatch, publish_view, start_file_changelog
+from servery.sources.changelog import read_current, read_view
 
 RESTAURANT_TOPIC, ITEM_TOPIC = "restaurant_stats", "menu_item_stats"
 
@@ -108,60 +106,79 @@ def start_quarantines(
 
 @dataclass(frozen=True)
 class OrderStatsJob:
-    """The two running statistics below a root folder, each with its own changelog, snapshots
-    and checkpoint."""
+    """The two running statistics below a root folder, each with its own changelog and checkpoint,
+    and the top of each as of the last batch."""
 
     root: str
     key: str = "restaurant_name"
     files: int | None = None  # files per changelog batch
-    snapshot_every: int = 100  # batches
+    snapshot_every: int = SNAPSHOT_EVERY  # batches
+    top: int = 10
 
     def changelog(self, topic: str) -> str:
         return f"{self.root}/{topic}"
 
-    def snapshots(self, topic: str) -> str:
-        return f"{self.root}/snapshots/{topic}"
+    def view(self, topic: str) -> str:
+        return f"{self.root}/top/{topic}"
 
     def start(
         self,
         order_messages: DataFrame,
         item_messages: DataFrame,
         quarantine: bool = True,
+        menu: Callable[[], DataFrame] | None = None,
         **trigger,
     ) -> list[StreamingQuery]:
         """``quarantine`` keeps what cannot be counted, at the cost of a second read of each
-        topic."""
+        topic. ``menu`` reads the menu items as they are; without it no top items are published."""
         restaurants = running_restaurant_stats(order_messages, self.key)
         items = running_item_counts(item_messages)
+        top_restaurants = self._top(RESTAURANT_TOPIC, self.key, "total_revenue")
+        top_items = [] if menu is None else [self._top(ITEM_TOPIC, "fk_menu_item", "item_quantity", labelled_by(menu))]
         queries = [
-            self._start(restaurants, RESTAURANT_TOPIC, self.key, trigger),
-            self._start(items, ITEM_TOPIC, "fk_menu_item", trigger),
+            self._start(restaurants, RESTAURANT_TOPIC, self.key, [top_restaurants], trigger),
+            self._start(items, ITEM_TOPIC, "fk_menu_item", top_items, trigger),
         ]
         if quarantine:
             queries += start_quarantines(self.root, order_messages, item_messages, self.key, **trigger)
         return queries
 
-    def _start(self, stats: DataFrame, topic: str, key: str, trigger: dict) -> StreamingQuery:
-        changelog, snapshots = self.changelog(topic), self.snapshots(topic)
+    def _top(self, topic: str, key: str, value: str, shown: Callable[[DataFrame], DataFrame] | None = None) -> AfterBatch:
+        return live_top_k(self.view(topic), key, value, self.changelog(topic), k=self.top, shown=shown)
+
+    def _start(self, stats: DataFrame, topic: str, key: str, after: list[AfterBatch], trigger: dict) -> StreamingQuery:
         return start_file_changelog(
             stats,
-            changelog,
+            self.changelog(topic),
             f"{self.root}/checkpoints/{topic}",
-            after_batch=[keep_snapshots(changelog, snapshots, key, self.snapshot_every, self.files)],
+            after_batch=after,
             files=self.files,
+            key=key,
+            snapshot_every=self.snapshot_every,
             **trigger,
         )
 
     def restaurant_stats(self, spark: SparkSession) -> DataFrame:
         """Current statistics per restaurant."""
-        return self._current(spark, RESTAURANT_TOPIC, restaurant_stats_schema(self.key), self.key)
+        return read_current(spark, self.changelog(RESTAURANT_TOPIC), restaurant_stats_schema(self.key), self.key)
 
     def item_counts(self, spark: SparkSession) -> DataFrame:
         """Current quantities per menu item."""
-        return self._current(spark, ITEM_TOPIC, MENU_ITEM_STATS, "fk_menu_item")
+        return read_current(spark, self.changelog(ITEM_TOPIC), MENU_ITEM_STATS, "fk_menu_item")
+
+    def top_restaurants(self, spark: SparkSession) -> DataFrame:
+        """The top restaurants as published after the last batch."""
+        return read_view(spark, self.view(RESTAURANT_TOPIC), restaurant_stats_schema(self.key))
 
-    def _current(self, spark: SparkSession, topic: str, schema: StructType, key: str) -> DataFrame:
-        return read_current(spark, self.changelog(topic), schema, key, self.snapshots(topic))
+    def top_items(self, spark: SparkSession) -> DataFrame:
+        """The top menu items, labelled, as published after the last batch."""
+        return read_view(spark, self.view(ITEM_TOPIC), LABELLED_ITEM_STATS)
+
+
+def labelled_by(menu: Callable[[], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """Item statistics joined to the menu as it is when they are shown. An item that the menu
+    does not have is not shown."""
+    return lambda stats: labelled_item_counts(stats, menu(), "fk_menu_item").select(LABELLED_ITEM_STATS.names)
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
@@ -180,33 +197,46 @@ def await_all(queries: list[StreamingQuery]) -> None:
 
 
 def live_top_k(
-    path: str, key: str, value: str, changelog: str, snapshots: str | None = None, k: int = 10
+    path: str,
+    key: str,
+    value: str,
+    changelog: str,
+    k: int = 10,
+    shown: Callable[[DataFrame], DataFrame] | None = None,
 ) -> AfterBatch:
-    """Publishes the top-k after each batch to a folder, of which
-    :func:`~servery.sources.changelog.read_last_batch` gives the current one; pass it as
-    ``after_batch``.
+    """Publishes the top-k after each batch to a folder, read by
+    :func:`~servery.sources.changelog.read_view`; pass it as ``after_batch``.
+
+    ``shown`` makes rows of statistics into what is published, which keeps ``key`` and ``value``: a
+    join with a static table, say. It comes before the cut, so a row that it drops takes no place.
 
     A batch can only move its own keys. As long as k rows still rank no lower than the previous
     last row, nothing outside the previous top-k and the batch can be among them; if fewer do,
-    because totals fell, or if there is no full previous top-k, all current statistics are read.
+    because totals fell or a row is shown no more, or if there is no full previous top-k, all current
+    statistics are read. (A row that comes to be shown without a change of its statistics is seen
+    when its statistics change or all are read.)
     """
+    present = shown or (lambda stats: stats)
 
     def rank(row: Row) -> tuple:
         return (row[value] is None, -(row[value] or 0), row[key])
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        previous = read_last_batch(spark, path, batch.schema)[0].drop(FILE_SEQUENCE).collect()
+        schema = present(batch.limit(0)).schema
+        previous = read_view(spark, path, schema).collect()
         best: list[Row] = []
         if len(previous) == k:
-            known = spark.createDataFrame(previous, batch.schema)
-            unchanged = known.join(batch.select(key), key, "left_anti").select(*batch.columns)
-            best = top_k(unchanged.unionByName(batch), value, key, k).collect()
-            last = max(map(rank, previous))
-            best = [row for row in best if rank(row) <= last]
+            stats = spark.createDataFrame(previous, schema).select(*[c for c in batch.columns if c in schema.names])
+            if stats.columns == batch.columns:
+                unchanged = stats.join(batch.select(key), key, "left_anti").select(*batch.columns)
+                best = top_k(present(unchanged.unionByName(batch)), value, key, k).collect()
+                last = max(map(rank, previous))
+                best = [row for row in best if rank(row) <= last]
         if len(best) < k:
-            stats = read_current(spark, changelog, batch.schema, key, snapshots)
-            best = top_k(stats, value, key, k).collect()
-        write_changelog_batch(path, files=1)(spark.createDataFrame(best, batch.schema), batch_id)
+            stats = read_current(spark, changelog, batch.schema, key)
+            best = top_k(present(stats), value, key, k).collect()
+        if best != previous:
+            publish_view(spark.createDataFrame(best, schema), path)
 
     return refresh
