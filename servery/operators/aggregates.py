@@ -44,10 +44,9 @@ def restaurant_stats_from_tables(
 
 
 def item_counts(order_items: DataFrame) -> DataFrame:
-    """Quantity ordered per menu item. Summed wider than its type, so that no quantity can stop
-    a running query; a sum past a long is NULL."""
-    wide = F.sum(F.col("item_quantity").cast("decimal(20,0)"))
-    return order_items.groupBy("fk_menu_item").agg(wide.try_cast("bigint").alias("item_quantity"))
+    """Quantity ordered per menu item. No quantity can stop a running query: a sum past a long is
+    NULL."""
+    return order_items.groupBy("fk_menu_item").agg(F.try_sum(F.col("item_quantity").cast("bigint")).alias("item_quantity"))
 
 
 def order_totals(order_items: DataFrame, menu_items: DataFrame) -> DataFrame:

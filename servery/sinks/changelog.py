@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -107,14 +107,11 @@ def start_file_changelog(
     return _started(writer.foreachBatch(publish), name, trigger)
 
 
-def publish_view(rows: DataFrame, path: str) -> None:
-    """Replace what a folder shows by these few rows, in one file. Readers see the rows before or
-    these, and never a mixture; see :func:`~servery.sources.changelog.read_view`."""
-    spark = rows.sparkSession
-    _, before = current_version(spark, path)
-    part = f"rows={uuid.uuid4().hex}"
-    rows.coalesce(1).write.parquet(f"{path}/{part}")
-    publish_version(spark, path, {"part": part}, [before["part"]] if before else [])
+def publish_view(spark: SparkSession, rows: list[Row], path: str) -> None:
+    """Replace what a folder shows by these few rows, which are small enough to be part of the
+    pointer. Readers see the rows before or these, and never a mixture; see
+    :func:`~servery.sources.changelog.read_view`."""
+    publish_version(spark, path, {"rows": [list(row) for row in rows]}, [])
 
 
 def start_kafka_changelog(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from servery.operators.latest import compact_changelog
 from servery.sources.streams import decode_messages
@@ -39,10 +40,25 @@ def read_current(spark: SparkSession, path: str, schema: StructType, key: str) -
     return compact_changelog(read_file_changelog(spark, path, schema), key, FILE_SEQUENCE)
 
 
-def read_view(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """What :func:`~servery.sinks.changelog.publish_view` published last; none before that."""
+def view_rows(spark: SparkSession, path: str, schema: StructType) -> list[Row]:
+    """The few rows that :func:`~servery.sinks.changelog.publish_view` published last; none before that."""
     _, state = current_version(spark, path)
-    return read_parts(spark, path, schema, [state["part"]] if state else [])
+    return [Row(*schema.names)(*values) for values in state.get("rows", [])]
+
+
+def read_view(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The same as a table, in their order."""
+    return few_rows(spark, view_rows(spark, path, schema), schema)
+
+
+def few_rows(spark: SparkSession, rows: Iterable[Iterable], schema: StructType) -> DataFrame:
+    """A table of a few rows written out in the plan, so that no Python worker hands them over."""
+    structs = [
+        F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, schema.fields)])
+        for row in rows
+    ]
+    kind = ArrayType(StructType(schema.fields))
+    return spark.range(1).select(F.inline((F.array(*structs) if structs else F.array()).cast(kind)))
 
 
 def read_kafka_changelog(

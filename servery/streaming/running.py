@@ -28,7 +28,7 @@ from servery.schemas import (
     restaurant_stats_schema,
 )
 from servery.sinks.changelog import SNAPSHOT_EVERY, AfterBatch, publish_view, start_file_changelog
-from servery.sources.changelog import read_current, read_view
+from servery.sources.changelog import few_rows, read_current, read_view, view_rows
 
 RESTAURANT_TOPIC, ITEM_TOPIC = "restaurant_stats", "menu_item_stats"
 
@@ -224,19 +224,18 @@ def live_top_k(
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         schema = present(batch.limit(0)).schema
-        previous = read_view(spark, path, schema).collect()
+        previous = view_rows(spark, path, schema)
         best: list[Row] = []
-        if len(previous) == k:
-            stats = spark.createDataFrame(previous, schema).select(*[c for c in batch.columns if c in schema.names])
-            if stats.columns == batch.columns:
-                unchanged = stats.join(batch.select(key), key, "left_anti").select(*batch.columns)
-                best = top_k(present(unchanged.unionByName(batch)), value, key, k).collect()
-                last = max(map(rank, previous))
-                best = [row for row in best if rank(row) <= last]
+        if len(previous) == k and set(batch.columns) <= set(schema.names):
+            known = few_rows(spark, [[row[c] for c in batch.columns] for row in previous], batch.schema)
+            unchanged = known.join(batch.select(key), key, "left_anti").select(*batch.columns)
+            best = top_k(present(unchanged.unionByName(batch)), value, key, k).collect()
+            last = max(map(rank, previous))
+            best = [row for row in best if rank(row) <= last]
         if len(best) < k:
             stats = read_current(spark, changelog, batch.schema, key)
             best = top_k(present(stats), value, key, k).collect()
         if best != previous:
-            publish_view(spark.createDataFrame(best, schema), path)
+            publish_view(spark, best, path)
 
     return refresh
