@@ -242,6 +242,7 @@ SELECT o_orderkey, o_totalprice + 1, 'duplicate_key', 1 FROM orders WHERE o_orde
 SELECT * EXCLUDE (order_id) FROM listing ORDER BY total_cost DESC, order_id LIMIT 100 OFFSET 11900
 """,
     "revenue_after_restart": _REVENUE,
+    "revenue_after_rescale": _REVENUE,
     "order_stats_job": _TABLES
     + """
 SELECT 'restaurant' AS kind, restaurant_name AS key, CAST(sum(CAST(total_cost AS DECIMAL(18, 2))) AS DOUBLE) AS value

@@ -40,6 +40,7 @@ from servery.sources.changelog import read_current, read_view
 from servery.sources.documents import read_document_lines, read_list_texts, read_names
 from servery.sources.streams import decode_messages, topic_stream
 from servery.sources.tables import as_json_rows, query_tables, scan_table
+from servery.streaming import rescale
 from servery.streaming.running import (
     ITEM_TOPIC,
     OrderStatsJob,
@@ -209,6 +210,23 @@ def revenue_after_restart(inputs: Inputs) -> DataFrame:
     return read_current(inputs.spark, f"{root}/changelog", RESTAURANT_STATS, "restaurant_name")
 
 
+@query
+def revenue_after_rescale(inputs: Inputs) -> DataFrame:
+    """Half of the orders with 8 parts of the state, and the rest with 32."""
+    orders = joins.enrich_orders(inputs.orders(), inputs.restaurants())
+    root = scratch_path(inputs.spark, "rescale")
+    publish_to_files(keyed_messages(orders.where("order_id % 2 = 0"), "order_id"), f"{root}/topic")
+    session = streaming_session(inputs.spark, state_partitions=8)
+    stats = running_restaurant_stats(topic_stream(session, f"{root}/topic", fmt="text"))
+    await_all([start_file_changelog(stats, f"{root}/changelog", f"{root}/first", key="restaurant_name", availableNow=True)])
+    carried = rescale.carry_revenue(inputs.spark, f"{root}/first", f"{root}/changelog", f"{root}/carried")
+    publish_to_files(keyed_messages(orders.where("order_id % 2 = 1"), "order_id"), f"{root}/topic")
+    session = streaming_session(inputs.spark, state_partitions=32)
+    stats = rescale.resumed_restaurant_stats(rescale.remaining_files(session, f"{root}/topic", carried), carried)
+    await_all([rescale.start_resumed(stats, carried, f"{root}/changelog", f"{root}/second", "restaurant_name", availableNow=True)])
+    return read_current(inputs.spark, f"{root}/changelog", RESTAURANT_STATS, "restaurant_name")
+
+
 def _job(inputs: Inputs, orders: DataFrame, items: DataFrame) -> OrderStatsJob:
     """Both statistics and the quarantine from one job over two topics of files."""
     job = OrderStatsJob(scratch_path(inputs.spark, "job"))

@@ -80,18 +80,21 @@ def start_file_changelog(
     files: int | None = None,
     key: str | None = None,
     snapshot_every: int = SNAPSHOT_EVERY,
+    first_batch: int = 0,
     **trigger,
 ) -> StreamingQuery:
     """Publish changed rows to a parquet folder.
 
     Each batch is written by as many tasks as there are state partitions; ``files`` deals the
     rows out to that many instead. ``after_batch`` runs once the batch is written. With a ``key``
-    the folder stays bounded, see :func:`write_changelog_batch`. ``trigger`` is passed on to the
-    writer, for example ``availableNow=True``.
+    the folder stays bounded, see :func:`write_changelog_batch`. ``first_batch`` is the number in
+    the changelog of the query's first batch. ``trigger`` is passed on to the writer, for example
+    ``availableNow=True``.
     """
     write = write_changelog_batch(path, files, key, snapshot_every)
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
+    def publish(batch: DataFrame, query_batch: int) -> None:
+        batch_id = first_batch + query_batch
         if not after_batch:
             write(batch, batch_id)
             return

@@ -53,21 +53,21 @@ def order_item_events(messages: DataFrame, schema: StructType = ORDER_ITEM_EVENT
     return split(check_messages(messages, schema, required=["fk_menu_item"]))
 
 
-def _counted_orders(messages: DataFrame, key: str) -> Split:
+def counted_orders(messages: DataFrame, key: str) -> Split:
     """Only the fields the statistics need are parsed out of a message."""
     return order_events(messages, key, fields(ORDER_EVENT, key, "total_cost", "cust_restaurant_rating"))
 
 
-def _counted_items(messages: DataFrame) -> Split:
+def counted_items(messages: DataFrame) -> Split:
     return order_item_events(messages, fields(ORDER_ITEM_EVENT, "fk_menu_item", "item_quantity"))
 
 
 def running_restaurant_stats(messages: DataFrame, key: str = "restaurant_name") -> DataFrame:
-    return restaurant_stats(_counted_orders(messages, key).usable, key)
+    return restaurant_stats(counted_orders(messages, key).usable, key)
 
 
 def running_item_counts(messages: DataFrame) -> DataFrame:
-    return item_counts(_counted_items(messages).usable)
+    return item_counts(counted_items(messages).usable)
 
 
 def start_quarantine(
@@ -93,8 +93,8 @@ def start_quarantines(
 ) -> list[StreamingQuery]:
     """Keep the unusable messages of both topics below ``root``."""
     bad = {
-        "orders": _counted_orders(order_messages, key).quarantined,
-        "order_items": _counted_items(item_messages).quarantined,
+        "orders": counted_orders(order_messages, key).quarantined,
+        "order_items": counted_items(item_messages).quarantined,
     }
     return [
         start_quarantine(

@@ -26,29 +26,36 @@ def _located(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """What a folder holds; nothing if it is not there."""
+    fs, path = _located(spark, folder)
+    return [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read by the driver."""
+    fs, target = _located(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _numbers(spark: SparkSession, folder: str) -> list[int]:
-    fs, path = _located(spark, f"{folder}/{_FOLDER}")
-    if not fs.exists(path):
-        return []
-    found = (_NAME.fullmatch(status.getPath().getName()) for status in fs.listStatus(path))
+    found = map(_NAME.fullmatch, file_names(spark, f"{folder}/{_FOLDER}"))
     return sorted(int(m[1]) for m in found if m)
 
 
 def current_version(spark: SparkSession, folder: str) -> tuple[int, dict]:
     """The number and contents of the pointer; -1 and nothing before the first."""
     while numbers := _numbers(spark, folder):
-        fs, path = _located(spark, f"{folder}/{_FOLDER}/{numbers[-1]:020d}.json")
         try:
-            stream = fs.open(path)
+            return numbers[-1], json.loads(read_text(spark, f"{folder}/{_FOLDER}/{numbers[-1]:020d}.json"))
         except Py4JJavaError as gone:
-            # Two versions or more came while the list was read, and took this one away.
+            # Several versions came while the list was read, and took this one away.
             if "FileNotFoundException" not in str(gone.java_exception) or _numbers(spark, folder)[-1:] == numbers[-1:]:
                 raise
-            continue
-        try:
-            return numbers[-1], json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
     return -1, {}
 
 
