@@ -11,6 +11,7 @@ after its last batch.
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,7 @@ from servery.operators.paging import PAGE_SIZES
 from servery.plans.dashboard import order_listing, top_items, top_restaurants
 from servery.schemas import MENU_ITEM_STATS, MENU_ITEMS, ORDERS, RESTAURANTS, USERS, restaurant_stats_schema
 from servery.session import build_session
-from servery.sources.changelog import read_kafka_current
+from servery.sources.changelog import few_rows, read_kafka_current
 from servery.sources.tables import scan_table
 from servery.streaming.running import ITEM_TOPIC, RESTAURANT_TOPIC, OrderStatsJob
 
@@ -44,6 +45,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--descending", action="store_true")
     parser.add_argument("--size", type=int, choices=PAGE_SIZES, default=10)
     parser.add_argument("--page", type=int, default=1)
+    parser.add_argument("--after", type=json.loads, help="the cursor that was printed below a page: show the next one")
+    parser.add_argument("--before", type=json.loads, help="show the page in front of a cursor")
     parser.add_argument("--shuffle-bytes", type=int, help="of the largest shuffle")
     args = parser.parse_args(argv)
     if (args.changelog == "kafka") == (args.servers is None) or (args.changelog == "files") == (args.root is None):
@@ -82,8 +85,18 @@ def main(argv: list[str] | None = None) -> None:
     )
     for top in tops(spark, args, menu):
         top.show(truncate=False)
-    listing.page(args.page).show(args.size, truncate=False)
-    print(f"page {args.page} of {listing.total_pages()}")
+    if args.after is not None:
+        page = listing.next_page(args.after)
+    elif args.before is not None:
+        page = listing.previous_page(args.before)
+    else:
+        page = listing.page(args.page)
+    rows = page.collect()  # as many as are shown
+    few_rows(spark, rows, page.schema).show(args.size, truncate=False)
+    if args.after is None and args.before is None:
+        print(f"page {args.page} of {listing.total_pages()}")
+    if rows:
+        print(f"--before '{json.dumps(listing.cursor(rows[0]))}' --after '{json.dumps(listing.cursor(rows[-1]))}'")
 
 
 if __name__ == "__main__":

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from servery.operators.ids import SortedRun, sorted_run
@@ -67,6 +68,40 @@ class Listing:
         last = rows % self._size or min(rows, self._size)
         return self._df.orderBy(*self._sorting(forward=False)).limit(last).orderBy(*self._sorting())
 
+    def cursor(self, row: Row) -> list:
+        """Where a row stands in the order, as plain values that can be written as JSON."""
+        values = [row[c] for c in self._order]
+        return [str(v) if isinstance(v, dt.date) else v for v in values]
+
+    def next_page(self, after: Sequence | None = None) -> DataFrame:
+        """The rows behind a cursor; the first ones without it. However deep, a page is a small top-k
+        of what the cursor leaves, and rows that came or went before it move nothing."""
+        rows = self._df if after is None else self._df.where(self._beyond(after, forward=True))
+        return rows.orderBy(*self._sorting()).limit(self._size)
+
+    def previous_page(self, before: Sequence) -> DataFrame:
+        """The rows in front of a cursor."""
+        rows = self._df.where(self._beyond(before, forward=False))
+        return rows.orderBy(*self._sorting(forward=False)).limit(self._size).orderBy(*self._sorting())
+
+    def _beyond(self, cursor: Sequence, forward: bool) -> Column:
+        """Rows that come later than the cursor, or earlier. NULLs come last. Comparisons of bare
+        columns, which are pushed into the scan."""
+        if len(cursor) != len(self._order):
+            raise ValueError(f"a cursor has values for {self._order}")
+        found, same = F.lit(False), F.lit(True)
+        for name, up, value in zip(self._order, self._ascending, cursor):
+            column, at = F.col(name), F.lit(value).cast(self._df.schema[name].dataType)
+            if value is None:
+                beyond = F.lit(False) if forward else column.isNotNull()
+                here = column.isNull()
+            else:
+                beyond = column > at if up == forward else column < at
+                beyond = beyond | column.isNull() if forward else beyond
+                here = column == at
+            found, same = found | (same & beyond), same & here
+        return found
+
     def stored(self) -> StoredListing:
         """The listing as it is now, sorted and stored: any page of it is a small read."""
         return StoredListing(sorted_run(self._df, self._sorting()), self._size)

@@ -124,6 +124,19 @@ GROUP BY user_fullname, restaurant_name
     + """
 SELECT * EXCLUDE (order_id) FROM listing
 ORDER BY total_cost DESC, order_id LIMIT 25 OFFSET 50
+""",
+    "orders_next_page": _TABLES
+    + """
+SELECT * EXCLUDE (order_id) FROM listing
+ORDER BY total_cost DESC, order_id LIMIT 25 OFFSET 75
+""",
+    "orders_previous_page": _TABLES
+    + """
+SELECT * EXCLUDE (order_id, place, n) FROM (
+  SELECT *, row_number() OVER (ORDER BY total_cost DESC, order_id) - 1 AS place,
+         count(*) OVER () AS n
+  FROM listing
+) WHERE place // 100 = (n - 1) // 100 - 1
 """,
     "orders_last_page": _TABLES
     + """

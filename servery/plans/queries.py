@@ -318,6 +318,23 @@ def orders_last_page(inputs: Inputs) -> DataFrame:
     return _listing(inputs, 100).last_page().drop("order_id")
 
 
+@query
+def orders_next_page(inputs: Inputs) -> DataFrame:
+    """The fourth page, reached from one to the next."""
+    pages = _listing(inputs, 25)
+    cursor = None
+    for _ in range(3):
+        cursor = pages.cursor(pages.next_page(cursor).collect()[-1])
+    return pages.next_page(cursor).drop("order_id")
+
+
+@query
+def orders_previous_page(inputs: Inputs) -> DataFrame:
+    """The page in front of the last one."""
+    pages = _listing(inputs, 100)
+    return pages.previous_page(pages.cursor(pages.last_page().first())).drop("order_id")
+
+
 @query
 def orders_deep_page(inputs: Inputs) -> DataFrame:
     """Read from the stored listing, which stays for as long as the result is read."""

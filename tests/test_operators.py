@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import datetime as dt
@@ -193,6 +194,31 @@ def test_pages_joined_together_are_the_sorted_table(skewed, size, stored):
         assert not os.path.exists(listing._run.path)
 
 
+@pytest.mark.parametrize("ascending", [True, False])
+@pytest.mark.parametrize("kind", ["double", "string", "timestamp_ntz", "date"])
+def test_pages_from_cursor_to_cursor_are_the_sorted_table(spark, ascending, kind):
+    values = {
+        "double": [1.5, None, float("nan"), -0.5, 1.5, None, float("inf"), 7.25, 1.5, float("nan")],
+        "string": ["b", None, "a", "", "b", None, "ä", "b", "zz", "a'b"],
+        "timestamp_ntz": [dt.datetime(2024, 1, d, 3, 4, 5, d) if d % 4 else None for d in range(1, 11)],
+        "date": [dt.date(2024, 1, 1 + d // 3) if d % 4 else None for d in range(10)],
+    }[kind]
+    rows = spark.createDataFrame([(v, n) for n, v in enumerate(values)], f"v {kind}, n long")
+    pages = sorted_listing(rows, "v", "n", 3, ascending)
+    first = F.asc_nulls_last("v") if ascending else F.desc_nulls_last("v")
+    want = [row["n"] for row in rows.orderBy(first, "n").collect()]
+    walked, cursor, cursors = [], None, []
+    while page := pages.next_page(cursor).collect():
+        walked.append([row["n"] for row in page])
+        cursors.append(pages.cursor(page[0]))
+        cursor = json.loads(json.dumps(pages.cursor(page[-1])))
+    assert [n for page in walked for n in page] == want
+    back = [[row["n"] for row in pages.previous_page(c).collect()] for c in cursors]
+    assert back == [[]] + walked[:-1]
+    with pytest.raises(ValueError, match="cursor"):
+        pages.next_page([1])
+
+
 def test_the_last_page_writes_nothing(skewed):
     plan = sorted_listing(skewed, "g", "n", 10).last_page()._jdf.queryExecution().toString()
     assert "TakeOrderedAndProject" in plan and "servery-run" not in plan

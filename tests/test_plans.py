@@ -14,6 +14,7 @@ from servery.operators.documents import menu_rows, parse_restaurants
 from servery.operators.ids import assign_ids, sorted_run
 from servery.operators.latest import compact_changelog
 from servery.operators.quality import check_documents, check_messages, usable
+from servery.plans.dashboard import order_listing
 from servery.plans.inputs import Inputs
 from servery.plans.queries import QUERIES
 from servery.schemas import MENU_ITEMS, ORDER_EVENT, ORDERS, USERS
@@ -108,6 +109,15 @@ def test_a_page_of_a_run_reads_by_its_place(spark):
     assert "GreaterThanOrEqual(_slot," in text and "LessThanOrEqual(_slot," in text
 
 
+def test_a_page_from_a_cursor_is_a_filter_in_the_scan(spark):
+    tables = Inputs(spark, SMALL)
+    pages = order_listing(tables.orders(), tables.restaurants(), tables.users(), "total_cost", False, 25)
+    text = plan(pages.next_page([1000.5, 7]))
+    assert "TakeOrderedAndProject" in text and "Offset" not in text
+    pushed = text[text.index("orders.parquet") :].split("PushedFilters: [")[1].split("\n")[0]
+    assert "LessThan(o_totalprice,1000.5)" in pushed
+
+
 def test_texts_are_parsed_once(spark):
     texts = spark.createDataFrame([("{}",)], "text string")
     parsed = usable(check_documents(parse_restaurants(texts), ["restaurant_name", "foods"]))
