@@ -94,6 +94,16 @@ ORDER BY item_quantity DESC, fk_menu_item LIMIT 10
 """
 )
 
+_REJECTS = """
+SELECT 'orders' AS topic,
+       CASE o_orderkey % 7 WHEN 0 THEN 'incomplete' WHEN 1 THEN 'malformed' ELSE 'amount_not_finite' END AS reason,
+       count(*) AS n
+FROM orders WHERE o_orderkey % 7 < 3 GROUP BY 2
+UNION ALL
+SELECT 'order_items', CASE l_orderkey % 11 WHEN 0 THEN 'incomplete' ELSE 'malformed' END, count(*)
+FROM lineitem WHERE l_orderkey % 11 < 2 GROUP BY 2
+"""
+
 ORACLE: dict[str, str] = {
     "restaurant_revenue": _REVENUE,
     "restaurant_revenue_stream": _REVENUE,
@@ -263,15 +273,8 @@ FROM o JOIN r ON fk_restaurant = restaurant_id GROUP BY restaurant_name
 UNION ALL
 SELECT 'item', CAST(fk_menu_item AS VARCHAR), CAST(sum(item_quantity) AS DOUBLE) FROM i GROUP BY fk_menu_item
 """,
-    "stream_quarantine": """
-SELECT 'orders' AS topic,
-       CASE o_orderkey % 7 WHEN 0 THEN 'incomplete' WHEN 1 THEN 'malformed' ELSE 'amount_not_finite' END AS reason,
-       count(*) AS n
-FROM orders WHERE o_orderkey % 7 < 3 GROUP BY 2
-UNION ALL
-SELECT 'order_items', CASE l_orderkey % 11 WHEN 0 THEN 'incomplete' ELSE 'malformed' END, count(*)
-FROM lineitem WHERE l_orderkey % 11 < 2 GROUP BY 2
-""",
+    "stream_quarantine": _REJECTS,
+    "stream_rejects": _REJECTS,
     "publish_period": """
 SELECT CAST(o_orderkey AS VARCHAR) AS key, CAST(o_orderdate AS TIMESTAMP) AS order_datetime
 FROM orders WHERE o_orderdate >= '1996-03-08' AND o_orderdate < '1996-04-11'

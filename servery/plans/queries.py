@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from servery.functions.dates import parse_day, plus_seconds
@@ -227,21 +227,24 @@ def revenue_after_rescale(inputs: Inputs) -> DataFrame:
     return read_current(inputs.spark, f"{root}/changelog", RESTAURANT_STATS, "restaurant_name")
 
 
-def _job(inputs: Inputs, orders: DataFrame, items: DataFrame) -> OrderStatsJob:
+def _job(
+    inputs: Inputs, orders: DataFrame, items: DataFrame, quarantine: bool = True
+) -> tuple[OrderStatsJob, list[StreamingQuery]]:
     """Both statistics and the quarantine from one job over two topics of files."""
     job = OrderStatsJob(scratch_path(inputs.spark, "job"))
     session = streaming_session(inputs.spark)
     publish_to_files(orders, f"{job.root}/orders")
     publish_to_files(items, f"{job.root}/items")
     topics = [topic_stream(session, f"{job.root}/{name}", fmt="text") for name in ("orders", "items")]
-    await_all(job.start(*topics, availableNow=True))
-    return job
+    queries = job.start(*topics, quarantine, availableNow=True)
+    await_all(queries)
+    return job, queries
 
 
 @query
 def order_stats_job(inputs: Inputs) -> DataFrame:
     orders = keyed_messages(joins.enrich_orders(inputs.orders(), inputs.restaurants()), "order_id")
-    job = _job(inputs, orders, keyed_messages(inputs.order_items(), "fk_order"))
+    job, _ = _job(inputs, orders, keyed_messages(inputs.order_items(), "fk_order"))
     revenue = job.restaurant_stats(inputs.spark).select(
         F.lit("restaurant").alias("kind"), F.col("restaurant_name").alias("key"), F.col("total_revenue").alias("value")
     )
@@ -253,11 +256,10 @@ def order_stats_job(inputs: Inputs) -> DataFrame:
     return revenue.unionByName(counts)
 
 
-@query
-def stream_quarantine(inputs: Inputs) -> DataFrame:
+def _broken_messages(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
     """Of every seven orders one lost its name, one its end, and one costs no number; of every
     eleven the items of one lost their menu item, and those of another their end."""
-    messages = keyed_messages(joins.enrich_orders(inputs.orders(), inputs.restaurants()), "order_id")
+    orders = keyed_messages(joins.enrich_orders(inputs.orders(), inputs.restaurants()), "order_id")
     kind = F.col("key").cast("bigint") % 7
     broken = (
         F.when(kind == 0, F.replace("value", F.lit("restaurant_name"), F.lit("name")))
@@ -272,11 +274,24 @@ def stream_quarantine(inputs: Inputs) -> DataFrame:
         .when(kind == 1, F.expr("left(value, 10)"))
         .otherwise(F.col("value"))
     )
-    job = _job(inputs, messages.withColumn("value", broken), items.withColumn("value", cut))
+    return orders.withColumn("value", broken), items.withColumn("value", cut)
+
+
+@query
+def stream_quarantine(inputs: Inputs) -> DataFrame:
+    """What was kept of the unusable messages, which are read a second time for it."""
+    job, _ = _job(inputs, *_broken_messages(inputs))
     kept = inputs.spark.read.schema("topic string, value string, reason string").parquet(f"{job.root}/quarantine")
     return kept.groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def stream_rejects(inputs: Inputs) -> DataFrame:
+    """The numbers alone, out of the queries that count the others."""
+    job, queries = _job(inputs, *_broken_messages(inputs), quarantine=False)
+    return job.rejects(inputs.spark, after=queries)
+
+
 # --- orders and their dimensions ---------------------------------------------------------
 
 

@@ -29,12 +29,17 @@ from servery.schemas import (
 )
 from servery.sinks.changelog import SNAPSHOT_EVERY, AfterBatch, publish_view, start_file_changelog
 from servery.sources.changelog import few_rows, read_current, read_view, view_rows
+from servery.streaming.rejects import RejectCounts, await_counts, counting_rejects, read_rejects, reject_metrics
 
 RESTAURANT_TOPIC, ITEM_TOPIC = "restaurant_stats", "menu_item_stats"
+ORDER_REJECTS, ITEM_REJECTS = "orders", "order_items"
 
 
 def order_events(
-    messages: DataFrame, key: str = "restaurant_name", schema: StructType = ORDER_EVENT
+    messages: DataFrame,
+    key: str = "restaurant_name",
+    schema: StructType = ORDER_EVENT,
+    observed: str | None = None,
 ) -> Split:
     """Typed order events, and the messages that cannot be counted under ``key``.
 
@@ -46,28 +51,31 @@ def order_events(
     )
     rating = F.col("cust_restaurant_rating")
     finite = F.when(F.abs(rating) < float("inf"), rating)
-    return split(checked.withColumn("cust_restaurant_rating", finite))
+    return split(counting_rejects(checked.withColumn("cust_restaurant_rating", finite), observed))
 
 
-def order_item_events(messages: DataFrame, schema: StructType = ORDER_ITEM_EVENT) -> Split:
-    return split(check_messages(messages, schema, required=["fk_menu_item"]))
+def order_item_events(
+    messages: DataFrame, schema: StructType = ORDER_ITEM_EVENT, observed: str | None = None
+) -> Split:
+    return split(counting_rejects(check_messages(messages, schema, required=["fk_menu_item"]), observed))
 
 
-def counted_orders(messages: DataFrame, key: str) -> Split:
+def counted_orders(messages: DataFrame, key: str, observed: str | None = None) -> Split:
     """Only the fields the statistics need are parsed out of a message."""
-    return order_events(messages, key, fields(ORDER_EVENT, key, "total_cost", "cust_restaurant_rating"))
+    return order_events(messages, key, fields(ORDER_EVENT, key, "total_cost", "cust_restaurant_rating"), observed)
 
 
-def counted_items(messages: DataFrame) -> Split:
-    return order_item_events(messages, fields(ORDER_ITEM_EVENT, "fk_menu_item", "item_quantity"))
+def counted_items(messages: DataFrame, observed: str | None = None) -> Split:
+    return order_item_events(messages, fields(ORDER_ITEM_EVENT, "fk_menu_item", "item_quantity"), observed)
 
 
-def running_restaurant_stats(messages: DataFrame, key: str = "restaurant_name") -> DataFrame:
-    return restaurant_stats(counted_orders(messages, key).usable, key)
+def running_restaurant_stats(messages: DataFrame, key: str = "restaurant_name", observed: str | None = None) -> DataFrame:
+    """``observed`` names the metrics in which each batch's unusable messages are counted."""
+    return restaurant_stats(counted_orders(messages, key, observed).usable, key)
 
 
-def running_item_counts(messages: DataFrame) -> DataFrame:
-    return item_counts(counted_items(messages).usable)
+def running_item_counts(messages: DataFrame, observed: str | None = None) -> DataFrame:
+    return item_counts(counted_items(messages, observed).usable)
 
 
 def start_quarantine(
@@ -93,8 +101,8 @@ def start_quarantines(
 ) -> list[StreamingQuery]:
     """Keep the unusable messages of both topics below ``root``."""
     bad = {
-        "orders": counted_orders(order_messages, key).quarantined,
-        "order_items": counted_items(item_messages).quarantined,
+        ORDER_REJECTS: counted_orders(order_messages, key).quarantined,
+        ITEM_REJECTS: counted_items(item_messages).quarantined,
     }
     return [
         start_quarantine(
@@ -129,10 +137,12 @@ class OrderStatsJob:
         menu: Callable[[], DataFrame] | None = None,
         **trigger,
     ) -> list[StreamingQuery]:
-        """``quarantine`` keeps what cannot be counted, at the cost of a second read of each
+        """Messages that are not counted are numbered by reason in the same read, see
+        :meth:`rejects`; ``quarantine`` keeps them as well, at the cost of a second read of each
         topic. ``menu`` reads the menu items as they are; without it no top items are published."""
-        restaurants = running_restaurant_stats(order_messages, self.key)
-        items = running_item_counts(item_messages)
+        order_messages.sparkSession.streams.addListener(RejectCounts(order_messages.sparkSession, self.root))
+        restaurants = running_restaurant_stats(order_messages, self.key, reject_metrics(self.root, ORDER_REJECTS))
+        items = running_item_counts(item_messages, reject_metrics(self.root, ITEM_REJECTS))
         top_restaurants = self._top(RESTAURANT_TOPIC, self.key, "total_revenue")
         top_items = [] if menu is None else [self._top(ITEM_TOPIC, "fk_menu_item", "item_quantity", labelled_by(menu))]
         queries = [
@@ -166,6 +176,13 @@ class OrderStatsJob:
         """Current quantities per menu item."""
         return read_current(spark, self.changelog(ITEM_TOPIC), MENU_ITEM_STATS, "fk_menu_item")
 
+    def rejects(self, spark: SparkSession, after: list[StreamingQuery] = ()) -> DataFrame:
+        """``topic``, ``reason`` and ``n`` messages that were not counted up to now. The numbers are
+        noted a moment after a batch ends; with ``after``, only when those of all its batches are."""
+        for topic in (ORDER_REJECTS, ITEM_REJECTS):
+            await_counts(spark, self.root, topic, after)
+        return read_rejects(spark, self.root, (ORDER_REJECTS, ITEM_REJECTS))
+
     def top_restaurants(self, spark: SparkSession) -> DataFrame:
         """The top restaurants as published after the last batch."""
         return read_view(spark, self.view(RESTAURANT_TOPIC), restaurant_stats_schema(self.key))

@@ -426,6 +426,28 @@ def test_the_job_publishes_both_tops(session, topic, tmp_path):
     assert as_set(job.top_restaurants(session)) == as_set(top_restaurants(job.restaurant_stats(session)))
 
 
+def test_rejects_are_counted_in_the_same_read_and_once(session, topic, tmp_path):
+    items = Topic(tmp_path / "items")
+    topic.send(order(0, "A", 1.0), "not json", "{}", " ")
+    items.send('{"fk_menu_item":1,"item_quantity":1}', "[")
+    job, other = OrderStatsJob(str(tmp_path / "job")), OrderStatsJob(str(tmp_path / "other"))
+
+    def run_job(some):
+        queries = some.start(topic.stream(session), items.stream(session), quarantine=False, availableNow=True)
+        assert len(queries) == 2
+        await_all(queries)
+        return as_set(some.rejects(session, after=queries))
+
+    assert job.rejects(session).collect() == []
+    first = {("orders", "malformed", 1), ("orders", "incomplete", 1), ("orders", "empty", 1), ("order_items", "malformed", 1)}
+    assert run_job(job) == first
+    # Started again with nothing new, and beside another job over the same topics: nothing is counted twice.
+    assert run_job(job) == first == run_job(other)
+    topic.send('{"restaurant_name":"A","total_cost":1e300}', "no")
+    assert run_job(job) == first - {("orders", "malformed", 1)} | {("orders", "malformed", 2), ("orders", "amount_not_finite", 1)}
+    assert as_set(job.restaurant_stats(session)) == {("A", 1.0, 4.0)}
+
+
 def test_the_quarantine_query_checks_the_items_of_every_order(spark, tmp_path):
     source = "/root/testdata/sf0.001"
     for name in ("orders", "supplier"):
