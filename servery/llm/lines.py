@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from servery.llm.common import WORD_SPACE, stored
 from servery.llm.hosts import let
@@ -29,6 +30,8 @@ WINDOW = 1
 #: Its beginning is less than ``WINDOW`` lines before the first: each line that begins a repeated gram
 #: has a fingerprint of its own, which leads to a document that has that line as well.
 REACH = GRAM_LINES + WINDOW
+#: More than a text can have lines.
+_PLACES = 1 << 31
 _LINES = r"(?<=\n)(?=[^\n])|(?<=[.!?] )(?=\S)"
 
 
@@ -95,14 +98,31 @@ def indexed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _first_places(places: DataFrame) -> DataFrame:
+    """Of each gram that stands twice or more ``g``, ``first`` and ``first_pos``: the smallest id
+    that has it, and its smallest place there."""
+    kind = places.schema["doc_id"].dataType
+    if isinstance(kind, IntegralType):
+        # Both in one number of fixed width, which is aggregated by hash, without a sort.
+        both = F.min(F.col("doc_id").cast("decimal(20,0)") * F.lit(_PLACES) + F.col("pos"))
+        doc = F.floor(F.col("p") / _PLACES)
+        first, at = doc.cast(kind), (F.col("p") - doc * F.lit(_PLACES)).cast("int")
+    else:
+        both, first, at = F.min(F.struct("doc_id", "pos")), F.col("p.doc_id"), F.col("p.pos")
+    found = places.groupBy("g").agg(both.alias("p"), F.count("*").alias("n")).where("n > 1")
+    return found.select("g", first.alias("first"), at.alias("first_pos"))
+
+
 def repeats(index: DataFrame) -> DataFrame:
     """doc_id, ``_text``, ``pos``, ``first``, ``first_pos``: each later place of a fingerprint,
-    with the first document that has it and its first place there. The smaller id comes first."""
+    with the first document that has it and its first place there. The smaller id comes first.
+
+    The first places are detached from their grouping, so that the join can split the places
+    of a gram that a third of all documents have.
+    """
     places = index.select("doc_id", "_text", F.explode("f").alias("f")).select("doc_id", "_text", "f.g", "f.pos")
-    first = places.groupBy("g").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    met = stored(places.join(first.select("g", "first"), "g"), "repeats")
-    at = met.where("doc_id = first").groupBy("g").agg(F.min("pos").alias("first_pos"))
-    return met.join(at, "g").where("doc_id != first OR pos > first_pos").drop("g")
+    met = places.join(_first_places(places).hint("rebalance"), "g")
+    return stored(met.where("doc_id != first OR pos > first_pos").drop("g"), "repeats")
 
 
 def _extended(h: Column, other: Column, m: Column) -> Column:
