@@ -272,6 +272,14 @@ SELECT 'restaurant' AS kind, restaurant_name AS key, CAST(sum(CAST(total_cost AS
 FROM o JOIN r ON fk_restaurant = restaurant_id GROUP BY restaurant_name
 UNION ALL
 SELECT 'item', CAST(fk_menu_item AS VARCHAR), CAST(sum(item_quantity) AS DOUBLE) FROM i GROUP BY fk_menu_item
+""",
+    "user_fields_unknown": """
+SELECT c_custkey AS user_id, 'results.loyalty' AS field, 'unknown' AS problem, '{"level":"gold"}' AS value
+FROM customer WHERE c_custkey % 5 = 0
+UNION ALL
+SELECT c_custkey, 'results.location.street', 'mistyped', '"Main"' FROM customer WHERE c_custkey % 7 = 0
+UNION ALL
+SELECT c_custkey, 'results.login.username', 'mistyped', '["x"]' FROM customer WHERE c_custkey % 11 = 0
 """,
     "stream_quarantine": _REJECTS,
     "stream_rejects": _REJECTS,

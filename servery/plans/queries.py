@@ -18,6 +18,7 @@ from servery.operators.ids import assign_ids, next_id
 from servery.operators.orders import load_orders
 from servery.operators.latest import latest_per_key
 from servery.operators.paging import Listing, listing, page_index
+from servery.operators.variants import left_behind
 from servery.plans import dashboard
 from servery.plans.inputs import Inputs
 from servery.schemas import (
@@ -591,6 +592,19 @@ def _user_profiles(inputs: Inputs) -> DataFrame:
     ).select("user_id", "fk_address", "profile.*")
 
 
+@query
+def user_fields_unknown(inputs: Inputs) -> DataFrame:
+    """Of every five documents one has a field more, of every seven one has a text for its street,
+    and of every eleven one has a list for its user name."""
+    key, value = F.col("c_custkey"), F.col("value")
+    more = F.replace(value, F.lit('"name":{"first"'), F.lit('"loyalty":{"level":"gold"},"name":{"first"'))
+    value = F.when(key % 5 == 0, more).otherwise(value)
+    value = F.when(key % 7 == 0, F.regexp_replace(value, '"street":[{][^}]*[}]', '"street":"Main"')).otherwise(value)
+    value = F.when(key % 11 == 0, F.regexp_replace(value, '"username":"[^"]*"', '"username":["x"]')).otherwise(value)
+    texts = _user_texts(inputs).select(key.alias("user_id"), value.alias("text"))
+    return left_behind(texts, USER_DOCUMENT)
+
+
 @query
 def user_flatten(inputs: Inputs) -> DataFrame:
     users = documents.flatten_users(_user_profiles(inputs))

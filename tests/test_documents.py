@@ -17,7 +17,17 @@ from servery.operators.documents import (
     parse_users,
 )
 from servery.operators.quality import check_documents, quarantined, unreadable_prices, usable
-from servery.schemas import ADDRESS, MENU_ITEMS, NAME_LIST, RESTAURANTS, USERS, conform
+from servery.operators.variants import left_behind
+from servery.schemas import (
+    ADDRESS,
+    MENU_ITEMS,
+    NAME_LIST,
+    RESTAURANT_DOCUMENT,
+    RESTAURANTS,
+    USER_DOCUMENT,
+    USERS,
+    conform,
+)
 from servery.sinks.messages import keyed_messages, publish_to_files, write_names
 from servery.sources.documents import (
     read_document_lines,
@@ -209,3 +219,33 @@ def test_tables_as_json_and_as_sql(spark, tmp_path):
 def test_conform_adds_and_orders_columns(spark):
     got = conform(spark.sql("SELECT 'x' AS address_info, '7' AS address_id, 1 AS other"), ADDRESS)
     assert [tuple(row) for row in got.collect()] == [(7, "x", None, None)]
+
+
+def test_what_a_schema_leaves_behind_is_told(spark):
+    texts = {
+        1: '{"results":[{"name":{"first":"A","title":"Dr"},"gender":["x"],"nat":null,"extra":1},{"login":"me"}],"info":{"a":[1,2]}}',
+        2: '{"results":{"name":1}}',
+        3: "not json",
+        4: None,
+        5: '[1]',
+        6: '{"results":[{"name":{"first":7,"last":true}},null,3]}',
+        7: "{}",
+    }
+    docs = spark.createDataFrame([(k, t) for k, t in texts.items()], "id long, text string")
+    assert as_set(left_behind(docs, USER_DOCUMENT)) == {
+        (1, "results.name.title", "unknown", '"Dr"'),
+        (1, "results.gender", "mistyped", '["x"]'),
+        (1, "results.extra", "unknown", "1"),
+        (1, "results.login", "mistyped", '"me"'),
+        (1, "info", "unknown", '{"a":[1,2]}'),
+        (2, "results", "mistyped", '{"name":1}'),
+        (5, "", "mistyped", "[1]"),
+        (6, "results", "mistyped", "3"),
+    }
+    menu = '{"foods":[{"name":"Tea","price":{"amount":1}},{"name":"Pie","size":"L"}],"drinks":"none"}'
+    docs = spark.createDataFrame([(menu,)], "text string")
+    assert as_set(left_behind(docs, RESTAURANT_DOCUMENT)) == {
+        ("foods.price", "mistyped", '{"amount":1}'),
+        ("foods.size", "unknown", '"L"'),
+        ("drinks", "mistyped", '"none"'),
+    }
