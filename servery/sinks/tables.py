@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from servery.schemas import TABLES, conform
 from servery.staging import discard, stored
 
+#: Ranges of keys in which a table is looked through for those of a batch.
+_RANGES = 32
+
 
 def create_tables(spark: SparkSession, root: str) -> dict[str, str]:
     """Create the tables that do not exist yet; returns the folder of each."""
@@ -37,7 +41,8 @@ def append_new(rows: DataFrame, path: str, schema: StructType, key: str) -> Appe
     Of several rows with one key the smallest in column order is taken. One writer at a time,
     and ``rows`` must not read the table itself.
 
-    Only keys are shuffled to find the clashes. They, and the rows taken of those that share a
+    Of the table only row groups that reach into the batch's ranges of keys are read, and only keys
+    are shuffled to find the clashes. They, and the rows taken of those that share a
     key, are stored before the table changes, so that a retry, or a later read of the rejects,
     cannot come to another result; rows without a clash, as a rule nearly all of them, then go
     from their scan to the table.
@@ -59,7 +64,8 @@ def _clashes(keyed: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Keys that the table has (``known``) or that occur more than once among the rows."""
     copies = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
     # The batch is the side that is hashed or sent round: of the table only hits move.
-    known = table.select(key).join(copies.select(key), key, "left_semi").distinct()
+    stored_keys = table.select(key).where(_within(key, _ranges(keyed, key)))
+    known = stored_keys.join(copies.select(key), key, "left_semi").distinct()
     known = known.withColumn("known", F.lit(True))
     joined = copies.join(known, key, "left")
     return joined.select(key, "copies", F.coalesce("known", F.lit(False)).alias("known")).where(
@@ -67,6 +73,23 @@ def _clashes(keyed: DataFrame, table: DataFrame, key: str) -> DataFrame:
     ).drop("copies")
 
 
+def _ranges(keyed: DataFrame, key: str) -> list[tuple]:
+    """Smallest and largest key of the rows. Where whole numbers lie far apart, those of each of
+    ``_RANGES`` equal stretches between them, so that a few far-off keys do not stretch the rest."""
+    low, high, n = keyed.agg(F.min(key), F.max(key), F.count(key)).first()
+    if low is None or not isinstance(keyed.schema[key].dataType, IntegralType) or high - low < 4 * n:
+        return [(low, high)]
+    stretch = F.floor((F.col(key).cast("decimal(20,0)") - F.lit(low)) / F.lit((high - low) // _RANGES + 1))
+    found = keyed.groupBy(stretch.alias("stretch")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    return sorted((row["low"], row["high"]) for row in found.collect())
+
+
+def _within(key: str, ranges: list[tuple]) -> Column:
+    """Bare comparisons, by which a scan skips row groups without such keys: as ids go on from batch
+    to batch, nearly all of a table."""
+    return reduce(Column.__or__, [F.col(key).between(low, high) for low, high in ranges])
+
+
 def _smallest(rows: DataFrame, key: str) -> DataFrame:
     """One row per key of rows that were joined by that key.
 

@@ -18,7 +18,7 @@ from servery.plans.dashboard import order_listing
 from servery.plans.inputs import Inputs
 from servery.plans.queries import QUERIES
 from servery.schemas import MENU_ITEMS, ORDER_EVENT, ORDERS, USERS
-from servery.sinks.tables import append_new
+from servery.sinks.tables import _ranges, _within, append_new
 from servery.sources.tables import scan_table
 
 
@@ -92,6 +92,26 @@ def test_compaction_of_a_changelog_hashes(spark):
     assert "HashAggregate" in text and "Sort" not in text
 
 
+def test_the_rows_read_for_a_batch_do_not_grow_with_the_table(spark, tmp_path):
+    path, schema = str(tmp_path / "orders"), "order_id long, v string"
+    for batch in range(20):
+        ids = spark.range(batch * 1000, batch * 1000 + 1000).selectExpr("id AS order_id", "'x' AS v")
+        ids.coalesce(1).write.mode("append").parquet(path)
+
+    def rows_read(ids):
+        keyed = spark.createDataFrame([(i, "y") for i in ids], schema)
+        scan = spark.read.schema(schema).parquet(path).where(_within("order_id", _ranges(keyed, "order_id")))
+        assert {r.order_id for r in scan.collect()} >= set(ids) & set(range(20_000))
+        return scan._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    assert rows_read(range(20_000, 20_100)) == 0  # ids that go on
+    assert rows_read(range(19_950, 20_050)) == 1000
+    # Two far-off keys open two more parts, and not all between them.
+    assert rows_read([5, 10_500, *range(19_950, 20_050)]) <= 4000
+    assert rows_read([-(2**63), 2**63 - 1, 7]) <= 20_000
+    assert rows_read([]) == 0
+
+
 def test_appended_rows_are_not_shuffled(spark, tmp_path):
     """As long as few keys clash, only keys go through a shuffle."""
     Inputs(spark, SMALL).menu_items().limit(20).write.parquet(str(tmp_path / "menu"))
