@@ -17,6 +17,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], sequence: Sequence[str])
     picked on its own, which hashes without sorting as long as the values are of fixed width,
     as those of the statistics are. All picks see the same rows in the same order, so they stay
     together even if a sequence value repeats.
+
+    With more, rows are sorted by key in each task. Packing the sequence into one number of fixed
+    width avoids that, but then texts have to be fetched by a second join or by their hashes; over 4
+    million events either took two to three times as long (3.3 s and 2.5 s against 1.1 s).
     """
     others = [name for name in df.columns if name not in keys]
     if len(sequence) == 1:
