@@ -8,7 +8,7 @@ import json
 import pytest
 from test_documents import profile, restaurant
 
-from servery.jobs import dashboard, load_documents, order_stats, publish
+from servery.jobs import dashboard, load_documents, load_orders, order_stats, publish
 from servery.schemas import MENU_ITEMS, ORDER_ITEM, ORDERS, RESTAURANTS, USERS
 from servery.sinks.tables import append_new, create_tables
 
@@ -57,7 +57,12 @@ def test_from_documents_to_the_dashboard(spark, tmp_path, capsys):
     publish.main(["--tables", tables, "--from", "3/8/2024", "--to", "03/09/2024", "--format", "text", *topics])
 
     root = str(tmp_path / "stats")
-    order_stats.main(["--root", root, "--format", "text", "--once", "--quarantine", "--state-partitions", "2", *topics])
+    order_stats.main(["--root", root, "--format", "text", "--once", "--quarantine", "--state-partitions", "2", "--tables", tables, *topics])
+    capsys.readouterr()
+    with pytest.raises(SystemExit):
+        dashboard.main(["--tables", tables])
+    with pytest.raises(SystemExit):
+        dashboard.main(["--tables", tables, "--changelog", "kafka", "--servers", "s", "--live"])
     capsys.readouterr()
     dashboard.main(["--tables", tables, "--root", root, "--sort", "total_cost", "--descending"])
     shown = capsys.readouterr().out
@@ -66,6 +71,43 @@ def test_from_documents_to_the_dashboard(spark, tmp_path, capsys):
     assert shown.index("|99.0 ") < shown.index("|14.5 ") < shown.index("|12.0      |")
     assert "page 1 of 1" in shown
 
+    # What the job published is the same, and a page can be gone on from.
+    cursors = shown.splitlines()[-1]
+    dashboard.main(["--tables", tables, "--root", root, "--live", "--sort", "total_cost", "--descending", "--after", cursors.split("'")[3]])
+    live = capsys.readouterr().out
+    assert live.split("+--")[:2] == shown.split("+--")[:2] and "Soup\\n$12.00" in live and "|99.0 " not in live
+
+
+def test_placed_orders_are_loaded_with_ids_that_go_on(spark, tmp_path):
+    tables, rejects = str(tmp_path / "tables"), str(tmp_path / "rejects")
+    paths = create_tables(spark, tables)
+    menu = [(0, 7, "Tea", "beverage", 2.5), (1, 7, "Pie", "food", 4.25)]
+    spark.createDataFrame(menu, MENU_ITEMS).write.mode("append").parquet(paths["menu_items"])
+    for turn in (0, 1):
+        landing = tmp_path / f"landing-{turn}"
+        for name in ("placed", "drawn"):
+            (landing / name).mkdir(parents=True)
+        placed = [
+            {"draft": d, "fk_restaurant": 7, "fk_user": 3, "order_datetime": "2024-03-08 05:12:33", "cust_restaurant_rating": 4.5}
+            for d in (20, 10)
+        ]
+        lines = [*map(json.dumps, placed), "broken", '{"draft":30}']
+        (landing / "placed" / "a.json").write_text("\n".join(lines))
+        drawn = [(10, 0), (10, 1), (10, 0), (20, 1), (99, 1)]
+        text = [json.dumps({"draft": d, "fk_menu_item": i}) for d, i in drawn] + ['{"draft":10}']
+        (landing / "drawn" / "a.json").write_text("\n".join(text))
+        load_orders.main(
+            ["--tables", tables, "--rejects", rejects, "--placed", str(landing / "placed"), "--drawn", str(landing / "drawn")]
+        )
+    orders = spark.read.schema(ORDERS).parquet(paths["orders"])
+    assert as_set(orders.select("order_id", "total_cost")) == {(0, 9.25), (1, 4.25), (2, 9.25), (3, 4.25)}
+    items = spark.read.schema(ORDER_ITEM).parquet(paths["order_item"])
+    first = {(0, 0, 0, 2), (1, 1, 0, 1), (2, 1, 1, 1)}
+    assert as_set(items) == first | {(n + 3, item, order + 2, q) for n, item, order, q in first}
+    bad = spark.read.parquet(f"{rejects}/placed").groupBy("reason").count()
+    assert as_set(bad) == {("malformed", 2), ("incomplete", 2)}
+    assert spark.read.parquet(f"{rejects}/drawn").count() == 2
+
 
 def test_periods_that_follow_each_other_publish_every_order_once(spark, tmp_path):
     tables = str(tmp_path / "tables")
