@@ -6,7 +6,8 @@ from unittest.mock import MagicMock
 
 import pytest
 
-from servery.schemas import RESTAURANT_STATS, USERS
+from servery.jobs import dashboard
+from servery.schemas import MENU_ITEMS, RESTAURANT_STATS, USERS
 from servery.sinks.changelog import start_kafka_changelog
 from servery.sinks.messages import publish_to_kafka
 from servery.sources.changelog import read_kafka_changelog
@@ -47,6 +48,21 @@ def test_kafka_changelog_is_read_as_a_bounded_batch(spark):
     )
 
 
+def test_the_dashboard_reads_what_is_published_to_topics(spark):
+    texts = ['{"restaurant_name":"A","total_revenue":2.5}', '{"restaurant_name":"B","total_revenue":9.0}',
+             '{"restaurant_name":"A","total_revenue":12.5,"avg_rate":4.0}']
+    orders = spark.createDataFrame([(bytearray(t.encode()), n) for n, t in enumerate(texts)], "value binary, offset long")
+    items = spark.createDataFrame([(bytearray(b'{"fk_menu_item":1,"item_quantity":4}'), 0)], "value binary, offset long")
+    session = MagicMock(read=recorder(None))
+    session.read.load.side_effect = [orders, items]
+    menu = spark.createDataFrame([(1, 0, "Tea", "beverage", 2.5)], MENU_ITEMS)
+    args = dashboard.arguments(["--tables", "t", "--changelog", "kafka", "--servers", "broker:9092"])
+    restaurants, top = dashboard.tops(session, args, menu)
+    assert [tuple(row) for row in restaurants.collect()] == [("A", 12.5, 4.0), ("B", 9.0, None)]
+    assert [tuple(row) for row in top.collect()] == [("Tea\n$2.50", 4, 2.5)]
+    assert [call.args for call in session.read.option.call_args_list] == [("subscribe", "restaurant_stats"), ("subscribe", "menu_item_stats")]
+
+
 def test_kafka_sinks(spark):
     writer = recorder(None)
     publish_to_kafka(MagicMock(write=writer), "orders_topic", **SERVERS)
