@@ -2,12 +2,15 @@
 
 A text is taken as lines; a line of several sentences counts as one line for each, so that a
 passage is found in the middle of a paragraph as well. Every line is hashed. A gram is the hash
-of consecutive lines of ``GRAM_BYTES`` in all, and of each window of ``WINDOW`` grams the smallest
-is a fingerprint: what two texts share, and is as long as a window, has a fingerprint in both.
-The window is a single gram, since one long line is a gram and has to be found alone, whatever
-stands around it. The first document that has a fingerprint keeps it. In later places the match is
-extended both ways, line by line, as far as the next fingerprint can be, and the lines of all
-matches are deleted.
+of so many lines, by powers of two, as have ``GRAM_BYTES`` in all, or of ``GRAM_LINES`` lines; it
+starts at each line. Of each window of ``WINDOW`` consecutive grams the smallest is a fingerprint.
+A window ends with the first line that is a gram by itself, so such a line is found alone,
+whatever stands around it. What two texts share, and is as long as a window, has a fingerprint in
+both: runs of ``RUN_BYTES`` are longer than any window with its grams.
+
+The first document that has a fingerprint keeps it. In later places the match is extended both
+ways, line by line, as far as the next fingerprint can be. The lines of all matches make runs, and
+those of ``RUN_BYTES`` or ``RUN_LINES`` are deleted.
 
 Only fingerprints are shuffled, and each later place meets one first place, so a passage that is
 everywhere costs a row for each of its places. DataFrame expressions only.
@@ -15,6 +18,8 @@ everywhere costs a row for each of its places. DataFrame expressions only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -22,14 +27,19 @@ from pyspark.sql.types import IntegralType
 from servery.llm.common import WORD_SPACE, stored
 from servery.llm.hosts import let
 
-#: A gram has as many lines as make up so many bytes, or ``GRAM_LINES`` lines.
-GRAM_BYTES = 100
-GRAM_LINES = 12
-WINDOW = 1
-#: Lines a match is extended forward: as far as the end of a run can be from its last fingerprint.
-#: Its beginning is less than ``WINDOW`` lines before the first: each line that begins a repeated gram
-#: has a fingerprint of its own, which leads to a document that has that line as well.
-REACH = GRAM_LINES + WINDOW
+#: A gram has as many lines, by powers of two, as make up so many bytes, or ``GRAM_LINES`` lines.
+GRAM_BYTES = 24
+GRAM_LINES = 8
+#: Grams of which the smallest is a fingerprint.
+WINDOW = 4
+#: What is deleted has at least so many bytes, or so many lines.
+RUN_BYTES = 100
+RUN_LINES = 12
+#: Lines a match is extended forward: as far as the end of a run can be from its last
+#: fingerprint. Its beginning is less than ``WINDOW`` lines before the first.
+REACH = 2 * GRAM_LINES + WINDOW
+#: The low bits of a hash hold the bytes it stands for, up to this number.
+_BYTES = 63
 #: More than a text can have lines.
 _PLACES = 1 << 31
 _LINES = r"(?<=\n)(?=[^\n])|(?<=[.!?] )(?=\S)"
@@ -40,62 +50,68 @@ def lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), _LINES)
 
 
-def _hashed(text: Column) -> Column:
-    """Hash and bytes of each line, without the space around it."""
+def _bytes(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(_BYTES).cast("long"))
 
-    def of(line: Column) -> Column:
-        return let(F.btrim(line, F.lit(WORD_SPACE)), lambda t: F.struct(F.xxhash64(t).alias("h"), F.octet_length(t).alias("b")))
 
-    return F.transform(lines(text), of)
+def _packed(h: Column, size: Column) -> Column:
+    """A hash with the bytes it stands for in its low bits."""
+    return h.bitwiseAND(F.lit(~_BYTES).cast("long")).bitwiseOR(F.least(size, F.lit(_BYTES)).cast("long"))
 
 
-def _grams(rows: Column) -> Column:
-    """The gram that starts at each line, as long as one does."""
+def _hashed(text: Column) -> Column:
+    """The hash of each line, without the space around it."""
+    bare = F.transform(lines(text), lambda line: F.btrim(line, F.lit(WORD_SPACE)))
+    return F.transform(bare, lambda t: _packed(F.xxhash64(t), F.octet_length(t)))
 
-    def start(_: Column, i: Column) -> Column:
-        done = lambda a: (a["b"] >= GRAM_BYTES) | (a["n"] == GRAM_LINES)
-        return F.aggregate(
-            F.slice(rows, i + 1, GRAM_LINES),
-            F.struct(F.lit(0).alias("b"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("h")),
-            lambda a, x: F.when(done(a), a).otherwise(
-                F.struct(
-                    (a["b"] + x["b"]).alias("b"), (a["n"] + 1).alias("n"), F.xxhash64(a["h"], x["h"]).alias("h")
-                )
-            ),
-            lambda a: F.when(done(a), a["h"]),
-        )
 
-    return F.filter(F.transform(rows, start), lambda g: g.isNotNull())
+def _grams(h: Column) -> Column:
+    """The gram that starts at each line; NULL where the text ends before one is complete."""
+
+    def doubled(g: Column, step: int) -> Column:
+        def both(x: Column, i: Column) -> Column:
+            after = F.get(g, i + step)
+            joined = _packed(F.xxhash64(x, after), _bytes(x) + _bytes(after))
+            return F.when((_bytes(x) >= GRAM_BYTES) | after.isNull(), x).otherwise(joined)
+
+        return F.transform(g, both)
+
+    steps = [1 << k for k in range(GRAM_LINES.bit_length() - 1)]
+    nested = reduce(lambda made, step: lambda g: let(doubled(g, step), made), reversed(steps), lambda g: g)
+    whole = lambda n: lambda x, i: F.when((_bytes(x) >= GRAM_BYTES) | (i + GRAM_LINES <= n), x)
+    return F.transform(nested(h), whole(F.size(h)))
 
 
-def _fingerprints(grams: Column) -> Column:
-    """Gram and place of the smallest gram of each window, the later of equals."""
+def _fingerprints(h: Column) -> Column:
+    """Gram and place of the smallest gram of each window, the first of equals."""
 
-    def chosen(pairs: Column) -> Column:
-        windows = F.sequence(F.lit(1), F.greatest(F.size(pairs) - WINDOW + 1, F.lit(1)))
-        return F.array_distinct(F.transform(windows, lambda i: -F.array_min(F.slice(pairs, i, WINDOW))["i"]))
+    def chosen(g: Column) -> Column:
+        def smallest(x: Column, i: Column) -> Column:
+            alone = lambda k: F.coalesce(_bytes(F.get(h, i + k)) >= GRAM_BYTES, F.lit(False))
+            before = lambda k: F.coalesce(x < F.get(g, i - k), F.lit(False))
+            after = lambda k: F.coalesce(x <= F.get(g, i + k), F.lit(True))
+            found = F.lit(False)
+            for back in range(WINDOW):  # the window that starts so many lines before
+                holds = F.lit(True)
+                for k in range(back, 0, -1):
+                    holds = holds & ~alone(-k) & before(k)
+                rest = F.lit(True)
+                for k in range(WINDOW - 1 - back, 0, -1):
+                    rest = alone(k - 1) | (after(k) & rest)
+                found = found | (holds & rest)
+            return F.when(x.isNotNull() & found, F.struct(x.alias("g"), i.alias("pos")))
 
-    def placed(g: Column) -> Column:
-        if WINDOW == 1:
-            return F.transform(g, lambda x, i: F.struct(x.alias("g"), i.alias("pos")))
-        pairs = F.transform(g, lambda x, i: F.struct(x.alias("g"), (-i).alias("i")))
-        return F.transform(let(pairs, chosen), lambda at: F.struct(F.get(g, at).alias("g"), at.alias("pos")))
+        return F.filter(F.transform(g, smallest), lambda f: f.isNotNull())
 
-    none = F.array().cast("array<struct<g: bigint, pos: int>>")
-    return let(grams, lambda g: F.when(F.size(g) == 0, none).otherwise(placed(g)))
+    return let(_grams(h), chosen)
 
 
 def indexed(docs: DataFrame) -> DataFrame:
     """doc_id, ``_text`` (a hash of the text), the line hashes ``h`` and the fingerprints ``f``
     of each different row, stored. Rows without an id or a text are left out."""
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    rows = known.select("doc_id", F.xxhash64("text").alias("_text"), _hashed(F.col("text")).alias("_lines"))
-    return stored(
-        rows.select(
-            "doc_id", "_text", F.transform("_lines", lambda x: x["h"]).alias("h"), _fingerprints(let(F.col("_lines"), _grams)).alias("f")
-        ),
-        "lines",
-    )
+    rows = known.select("doc_id", F.xxhash64("text").alias("_text"), _hashed(F.col("text")).alias("h"))
+    return stored(rows.select("doc_id", "_text", "h", _fingerprints(F.col("h")).alias("f")), "lines")
 
 
 def _first_places(places: DataFrame) -> DataFrame:
@@ -125,24 +141,26 @@ def repeats(index: DataFrame) -> DataFrame:
     return stored(met.where("doc_id != first OR pos > first_pos").drop("g"), "repeats")
 
 
-def _extended(h: Column, other: Column, m: Column) -> Column:
-    """The lines around a match that are alike on both sides: from, and up to but without."""
+def _extended(h: Column, other: Column, m: Column, ahead: Column) -> Column:
+    """The lines around a match that are alike on both sides: from, and up to but without. It is
+    extended forward by ``ahead`` lines at most."""
 
-    def reach(step: int, most: int) -> Column:
+    def reach(step: int, most: Column) -> Column:
         here, there = (lambda k: m["pos"] + step * k), (lambda k: m["first_pos"] + step * k)
         inside = lambda k: (here(k) >= 0) & (there(k) >= 0)
         alike = lambda k: inside(k) & F.coalesce(F.get(h, here(k)) == F.get(other, there(k)), F.lit(False))
         return F.aggregate(
-            F.sequence(F.lit(1), F.lit(most)),
+            F.sequence(F.lit(1), most),
             F.lit(0),
             lambda n, k: F.when((n == k - 1) & alike(k), k).otherwise(n),
         )
 
-    return F.struct((m["pos"] - reach(-1, WINDOW)).alias("a"), (m["pos"] + reach(1, REACH) + 1).alias("b"))
+    return F.struct((m["pos"] - reach(-1, F.lit(WINDOW))).alias("a"), (m["pos"] + reach(1, ahead) + 1).alias("b"))
 
 
 def deletions(index: DataFrame) -> DataFrame:
-    """doc_id, ``_text``, ``_runs``: the runs of lines to delete, sorted, apart from each other."""
+    """doc_id, ``_text``, ``_runs``: the runs of lines in matches, sorted, apart from each other.
+    Some may be too short to be deleted."""
     matched = repeats(index).groupBy("doc_id", "_text", "first").agg(
         F.array_sort(F.collect_set(F.struct((F.col("pos") - F.col("first_pos")).alias("d"), "pos"))).alias("m")
     )
@@ -153,12 +171,12 @@ def deletions(index: DataFrame) -> DataFrame:
     both = both.where("doc_id != first OR _text = _other")
 
     def span(m: Column, i: Column) -> Column:
-        # Where the next line matches the next one there, its match goes on from here.
+        # Forward no farther than the next match of the same distance, which goes on from there.
         after = F.get("m", i + 1)
-        inner = F.coalesce((after["d"] == m["d"]) & (after["pos"] == m["pos"] + 1), F.lit(False))
+        gap = F.when(after["d"] == m["d"], after["pos"] - m["pos"] - 1)
+        ahead = F.greatest(F.least(gap, F.lit(REACH)), F.lit(1))
         at = F.struct(m["pos"].alias("pos"), (m["pos"] - m["d"]).alias("first_pos"))
-        line = F.struct(m["pos"].alias("a"), (m["pos"] + 1).alias("b"))
-        return F.when(inner, line).otherwise(_extended(F.col("h"), F.col("_h"), at))
+        return _extended(F.col("h"), F.col("_h"), at, ahead)
 
     spans = both.select("doc_id", "_text", F.transform("m", span).alias("s"))
     spans = spans.select("doc_id", "_text", F.filter("s", lambda s: s["b"] > s["a"]).alias("s"))
@@ -182,6 +200,16 @@ def deletions(index: DataFrame) -> DataFrame:
     return every.select("doc_id", "_text", joined.alias("_runs"))
 
 
+def _long(found: Column, runs: Column) -> Column:
+    """The runs of ``RUN_LINES`` or ``RUN_BYTES``, white space around the lines not counted."""
+
+    def size(r: Column) -> Column:
+        some = F.slice(found, r["a"] + 1, r["b"] - r["a"])
+        return F.aggregate(some, F.lit(0), lambda n, line: n + F.octet_length(F.btrim(line, F.lit(WORD_SPACE))))
+
+    return F.filter(runs, lambda r: (r["b"] - r["a"] >= RUN_LINES) | (size(r) >= RUN_BYTES))
+
+
 def _kept(found: Column, runs: Column) -> Column:
     """The lines between the runs, put together."""
     after = F.concat(F.array(F.lit(0)), F.transform(runs, lambda r: r["b"]))
@@ -190,23 +218,40 @@ def _kept(found: Column, runs: Column) -> Column:
     return F.array_join(pieces, "")
 
 
+def _left(text: Column, runs: Column) -> Column:
+    """What is left of a text, and how many lines are deleted (``text``, ``n``). Without a run
+    that is long enough the text is as it was."""
+
+    def cut(found: Column) -> Column:
+        def without(due: Column) -> Column:
+            deleted = F.aggregate(due, F.lit(0), lambda n, r: n + r["b"] - r["a"])
+            return F.struct(F.when(F.size(due) == 0, text).otherwise(_kept(found, due)).alias("text"), deleted.alias("n"))
+
+        return let(_long(found, runs), without)
+
+    whole = F.struct(text.alias("text"), F.lit(0).alias("n"))
+    return F.when(runs.isNull(), whole).otherwise(let(lines(text), cut))
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the text that is left, and ``n_lines``, ``n_deleted`` (long). Where nothing
     is deleted the text is as it was; rows without an id or a text have 0 of either. Rows that
-    agree in id and text count as one document and get the same text."""
-    index = indexed(docs)
+    agree in id and text count as one document and get the same text. Columns of these two names
+    are replaced; any others are kept, whatever they are called."""
+    index = indexed(docs.select("doc_id", "text"))
     known = index.select("doc_id", "_text", F.size("h").cast("long").alias("_n")).distinct()
     # Only texts with a run to delete are cut into lines again.
     cut = known.join(deletions(index), ["doc_id", "_text"], "left").withColumnsRenamed({"doc_id": "_id", "_text": "_hash"})
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    joined = keyed.join(cut, (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_hash")), "left")
-    deleted = F.aggregate("_runs", F.lit(0), lambda n, r: n + r["b"] - r["a"])
-    text = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(_kept(lines(F.col("text")), F.col("_runs")))
+    # The caller's columns travel as one, so that none can clash.
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("key"))
+    joined = keyed.join(cut, (F.col("row.doc_id") == F.col("_id")) & (F.col("key") == F.col("_hash")), "left")
+    left = joined.select("row", "_n", _left(F.col("row.text"), F.col("_runs")).alias("left"))
     zero = F.lit(0).cast("long")
-    return joined.select(
-        *[text.alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_deleted")],
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
+    return left.select(
+        *[F.col("left.text").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in kept],
         F.coalesce("_n", zero).alias("n_lines"),
-        F.coalesce(deleted.cast("long"), zero).alias("n_deleted"),
+        F.col("left.n").cast("long").alias("n_deleted"),
     )
 
 
@@ -214,11 +259,13 @@ def deduplicated(docs: DataFrame, least: float = 0.0, least_words: int = 50) ->
     """The columns of ``docs``, without repeated runs, and without the rows of which nothing but
     white space is left, or both no more than the share ``least`` of their bytes and fewer than
     ``least_words`` words. Rows of which nothing is deleted stay, empty ones too."""
-    left = without_repeats(docs.withColumn("_bytes", F.octet_length("text")))
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("rest")
+    left = without_repeats(docs.select("doc_id", "text", rest, F.octet_length("text").alias("bytes")))
     bare = F.btrim("text", F.lit(WORD_SPACE))
     few = F.size(F.split(bare, f"[{WORD_SPACE}]+")) < least_words
-    little = (bare == "") | ((F.octet_length("text") <= least * F.col("_bytes")) & few)
-    return left.where((F.col("n_deleted") == 0) | ~little).select(*docs.columns)
+    little = (bare == "") | ((F.octet_length("text") <= least * F.col("bytes")) & few)
+    kept = left.where((F.col("n_deleted") == 0) | ~little)
+    return kept.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
 
 
 def line_digest(docs: DataFrame) -> DataFrame:

@@ -24,28 +24,53 @@ def mix(a, b):
     return struct.unpack("<q", struct.pack("<Q", h))[0]
 
 
+def packed(h, size):
+    h = struct.unpack("<q", struct.pack("<Q", h % 2**64))[0]
+    return (h & ~63) | min(size, 63)
+
+
 def hashed(text):
     units = CUT.split(text)
-    signed = lambda h: struct.unpack("<q", struct.pack("<Q", h))[0]
-    return units, [(signed(xxhash.xxh64_intdigest(u.strip(SPACE).encode(), 42)), len(u.strip(SPACE).encode())) for u in units]
-
-
-def fingerprints(rows):
-    grams = []
-    for i in range(len(rows)):
-        h = size = n = 0
-        for x, b in rows[i : i + lines.GRAM_LINES]:
-            h, size, n = mix(h, x), size + b, n + 1
-            if size >= lines.GRAM_BYTES or n == lines.GRAM_LINES:
-                grams.append(h)
-                break
+    bare = [u.strip(SPACE).encode() for u in units]
+    return units, [packed(xxhash.xxh64_intdigest(u, 42), len(u)) for u in bare]
+
+
+def fingerprints(h):
+    size = lambda x: x & 63
+    grams, step = list(h), 1
+    while step < lines.GRAM_LINES:
+        grams = [
+            x if size(x) >= lines.GRAM_BYTES or i + step >= len(h) else packed(mix(x, grams[i + step]), size(x) + size(grams[i + step]))
+            for i, x in enumerate(grams)
+        ]
+        step *= 2
+    n = sum(size(x) >= lines.GRAM_BYTES or i + lines.GRAM_LINES <= len(h) for i, x in enumerate(grams))
     chosen = set()
-    for i in range(max(len(grams) - lines.WINDOW + 1, 1) if grams else 0):
-        window = [(grams[j], -j) for j in range(i, min(i + lines.WINDOW, len(grams)))]
-        chosen.add(-min(window)[1])
+    for i in range(n):  # windows, cut short by the end and by lines that are grams
+        window = []
+        for j in range(i, min(i + lines.WINDOW, n)):
+            window.append((grams[j], j))
+            if size(h[j]) >= lines.GRAM_BYTES:
+                break
+        chosen.add(min(window)[1])
     return [(grams[i], i) for i in sorted(chosen)]
 
 
+def runs_of(places):
+    runs = []
+    for i in sorted(places):
+        if runs and runs[-1][1] == i:
+            runs[-1][1] = i + 1
+        else:
+            runs.append([i, i + 1])
+    return runs
+
+
+def long_runs(units, places):
+    size = lambda a, b: sum(len(u.strip(SPACE).encode()) for u in units[a:b])
+    return {i for a, b in runs_of(places) if b - a >= lines.RUN_LINES or size(a, b) >= lines.RUN_BYTES for i in range(a, b)}
+
+
 def brute(texts: dict):
     """What is left of each text."""
     of = {d: hashed(t) for d, t in texts.items() if t is not None}
@@ -56,17 +81,18 @@ def brute(texts: dict):
     gone = {d: set() for d in of}
     for found in places.values():
         d0, p0 = min(found)
-        first = [h for h, _ in of[d0][1]]
+        first = of[d0][1]
         for d, pos in found:
             if (d, pos) == (d0, p0):
                 continue
-            own = [h for h, _ in of[d][1]]
+            own = of[d][1]
             for step in (1, -1):
                 for k in range(0 if step > 0 else 1, (lines.REACH if step > 0 else lines.WINDOW) + 1):
                     a, b = pos + step * k, p0 + step * k
-                    if not (0 <= a < len(own) and 0 <= b < len(first) and own[a] == first[b]):
+                    if not (0 <= a < len(own) and 0 <= b < len(first)) or k and own[a] != first[b]:
                         break
                     gone[d].add(a)
+    gone = {d: long_runs(of[d][0], gone[d]) for d in of}
     left = {d: "".join(u for i, u in enumerate(of[d][0]) if i not in gone[d]) for d in of}
     return {d: (left.get(d), len(of[d][0]) if d in of else 0, len(gone.get(d, ()))) for d in texts}
 
@@ -162,4 +188,44 @@ def test_every_common_gram_goes_whatever_stands_around_it(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     gone = {r.doc_id: {i for a, b in r._runs for i in range(a, b)} for r in lines.deletions(lines.indexed(docs)).collect()}
     assert all(len(due[d]) == 1 for d in range(1, 30)) and all(due[102 + 3 * k] for k in range(12))
-    assert all(due[d] <= gone.get(d, set()) for d in texts)
+    for d, text in texts.items():
+        units = CUT.split(text)
+        assert due[d] <= long_runs(units, gone.get(d, set())), d
+
+
+def test_runs_of_short_lines_of_any_lengths_share_a_fingerprint():
+    """Any run of 100 bytes or 12 lines has the same fingerprint in both texts."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    for k in range(20_000):
+        most = rng.choice([3, 8, 12, 16, 20, 31, 40])
+        run = []
+        while len(run) < 12 and sum(map(len, run)) < 100:
+            run.append(word(rng.randint(1, most)))
+        around = lambda: [word(rng.randint(1, most)) for _ in range(14)]
+        found = [{g for g, _ in fingerprints(hashed("\n".join([*around(), *run, *around()]))[1])} for _ in range(2)]
+        assert found[0] & found[1], run
+
+
+def test_fingerprints_are_window_minima(spark):
+    rng = random.Random(7)
+    texts = ["\n".join("".join(rng.choices("ab", k=rng.choice([1, 5, 9, 15, 23, 24, 70]))) for _ in range(n)) for n in [0, 1, 2, 3, 7, 8, 9, 40, 400]]
+    rows = lines.indexed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        h = hashed(texts[r.doc_id])[1]
+        assert r.h == h and [tuple(f) for f in r.f] == fingerprints(h)
+    assert sum(len(r.f) for r in rows) < 0.8 * sum(len(r.h) for r in rows)
+
+
+CLASHING = "doc_id long, text string, _id long, _n long, _runs string, _hash string, _text string, _bytes int, h int, f int, row int, rest int, left int, key int"
+
+
+def test_other_columns_stay_whatever_their_names(spark):
+    own = (1, 2, "r", "h", "t", 5, 6, 7, 8, 9, 10, 11)
+    docs = spark.createDataFrame([(1, "x" * 200, *own), (2, "x" * 200 + "\nmine", *own)], CLASHING)
+    left = {r.doc_id: tuple(r) for r in lines.without_repeats(docs).collect()}
+    assert left == {1: (1, "x" * 200, *own, 1, 0), 2: (2, "mine", *own, 2, 1)}
+    kept = lines.deduplicated(docs)
+    assert kept.columns == docs.columns and {tuple(r)[:2] for r in kept.collect()} == {(1, "x" * 200), (2, "mine")}
+    assert all(tuple(r)[2:] == own for r in kept.collect())
