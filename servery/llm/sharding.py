@@ -30,7 +30,7 @@ def interleaved(rows: DataFrame, shards: int, stratum: str, tie: list[str], seed
     shuffled = stored(rows.withColumn("_h", F.xxhash64(F.lit(seed), *tie)), "shuffled")
     n = shuffled.count()
     ranked = stored(_ranked(shuffled, stratum, tie, buckets_for(n)), "ranked")
-    placed = _placed(ranked, stratum, tie, buckets_for(n))
+    placed = _placed(ranked, stratum, tie, buckets_for(n), seed)
     # Whole numbers: position * shards // n, and the first position of a shard.
     shard = F.expr(f"(position * {shards}) div {max(n, 1)}")
     first = F.expr(f"(shard * {n} + {shards - 1}) div {shards}")
@@ -63,21 +63,24 @@ def _ranked(rows: DataFrame, stratum: str, tie: list[str], buckets: int) -> Data
     )
 
 
-def _placed(rows: DataFrame, stratum: str, tie: list[str], buckets: int) -> DataFrame:
-    """Each row's place in the order of fractional ranks ``(rank - 1/2) / size``. They spread
-    evenly over 0 to 1, so equal stretches make even buckets."""
-    rows = rows.withColumn("_part", F.expr(f"((2 * _rank - 1) * {buckets}) div (2 * _of)"))
+def _placed(rows: DataFrame, stratum: str, tie: list[str], buckets: int, seed: int) -> DataFrame:
+    """Each row's place in the order of fractional ranks ``(rank - u) / size``, with a number
+    ``u`` between 0 and 1 that a hash gives each stratum. They spread evenly over 0 to 1, those of
+    many strata with a row each as well, so equal stretches make even buckets."""
+    spread = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("place"), stratum), 11) + F.lit(0.5)) / F.lit(2.0**53)
+    rows = rows.withColumn("_place", (F.col("_rank") - spread) / F.col("_of"))
+    rows = rows.withColumn("_part", F.least(F.floor(F.col("_place") * buckets), F.lit(buckets - 1)))
     counts = rows.groupBy("_part").agg(F.count("*").alias("_in"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         F.col("_part").alias("_p"), F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before")
     )
-    inside = Window.partitionBy("_part").orderBy((F.col("_rank") - 0.5) / F.col("_of"), stratum, "_h", *tie)
+    inside = Window.partitionBy("_part").orderBy("_place", stratum, "_h", *tie)
     return (
         rows.withColumn("position", F.row_number().over(inside))
         .join(offsets, F.col("_part") == F.col("_p"))
         .withColumn("position", F.col("position") + F.col("_before") - 1)
-        .drop("_part", "_p", "_before")
+        .drop("_place", "_part", "_p", "_before")
     )
 
 

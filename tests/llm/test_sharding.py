@@ -43,6 +43,29 @@ def test_nulls_copies_clashing_names_and_few_rows(spark, n):
     assert max(sizes.values()) - min(sizes.get(s, 0) for s in range(4)) <= 1
 
 
+def test_many_sources_of_one_row_spread_evenly(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "buckets_for", lambda n: 64)
+    rows = [(i, "", "big" if i % 2 else f"host{i}", None) for i in range(20_000)]
+    out = sharding.shard_digest(spark.createDataFrame(rows, SCHEMA)).select("shard", "source").collect()
+    big = Counter(r.shard for r in out if r.source == "big")
+    assert all(abs(big[s] - 625) <= 0.1 * 625 for s in range(16))
+
+
+def test_order_matches_brute_force(spark):
+    """Within a source the order of the hashes; all by rank less the source's number over size."""
+    rows = [(i, f"text {i}", f"s{i % 7 if i % 3 else i}", None) for i in range(900)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    keys = frame.selectExpr(
+        "doc_id", "source", "xxhash64(0, doc_id, crc32(text), octet_length(text) + 1L) AS h", "xxhash64(0, 'place', source) AS u"
+    ).collect()
+    of = {}
+    for r in keys:
+        of.setdefault(r.source, []).append((r.h % 2**64, r.doc_id, ((r.u % 2**64 >> 11) + 0.5) / 2**53))
+    due = sorted(((k + 1 - u) / len(some), s, d) for s, some in of.items() for k, (_, d, u) in enumerate(sorted(some)))
+    out = sorted((r.position, r.doc_id) for r in sharding.shard_digest(frame).collect())
+    assert [d for _, d in out] == [d for _, _, d in due]
+
+
 def test_empty_table(spark):
     assert sharding.shard_digest(spark.createDataFrame([], SCHEMA)).collect() == []
 
