@@ -97,9 +97,10 @@ def ownership(spans: DataFrame, repository: str, owner: str) -> DataFrame:
 
 def judged(spans: DataFrame, repository: str, owner: str, most_owners: int = MOST_OWNERS) -> DataFrame:
     """``spans`` with repositories, owners, ``example`` (more owners than ``most_owners``) and
-    ``live`` (not an example, and random to look at)."""
+    ``live`` (not an example, and random to look at). The counts are detached from their
+    grouping, so that the join can split the places of a secret that is everywhere."""
     spans = spans.withColumn("hash", F.sha2(F.col("secret").cast("binary"), 256))
-    counted = spans.join(ownership(spans, repository, owner), "hash")
+    counted = spans.join(ownership(spans, repository, owner).hint("rebalance"), "hash")
     example = F.col("owners") > most_owners
     return counted.withColumn("example", example).withColumn("live", ~example & looks_random(F.col("secret")))
 

@@ -219,7 +219,7 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
 
     Alternates large-star and small-star contraction (Kiveris et al., 2014), which takes
     logarithmically many rounds. A star's centre is found by an aggregate that combines before
-    the shuffle; joins on a large centre are left to the splitting of skewed joins.
+    the shuffle, and detached from its grouping, so that a join on a large centre can be split.
     """
     edges = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = None
@@ -230,9 +230,9 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         before = state
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         centre = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(centre, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        large = both.join(centre.hint("rebalance"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         centre = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(centre, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
+        small = large.join(centre.hint("rebalance"), "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
         small = small.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a != b").distinct()
         edges = stored(small, "links")
     else:
@@ -250,7 +250,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     roots = components(links(fps, radius, turns))
     rooted = fps.join(roots, fps.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    by_fp = rooted.join(least.hint("rebalance"), "root").select(F.col("fp").alias("_fp"), "component_id")
     return rows.join(by_fp, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
