@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as make it no column of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: ``spark.checkpoint.dir``, or where that is unset (tests,
     one machine) a folder in the warehouse."""

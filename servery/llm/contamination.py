@@ -159,7 +159,9 @@ def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents without a match, all their columns unchanged."""
     _, found, _ = matches(docs.select("doc_id", "text"), items.select("item_id", "text"), size)
-    return _keyed(docs).join(found.select(*KEY).distinct(), list(KEY), "left_anti").drop(*KEY)
+    # The caller's columns travel as one, so that none can clash.
+    keyed = _keyed(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")).select("row", *KEY)
+    return keyed.join(found.select(*KEY).distinct(), list(KEY), "left_anti").select("row.*")
 
 
 def near_matches(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = SLOP) -> DataFrame:

@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -165,20 +167,24 @@ def disguised(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, i
     plain = readable(text)
     if plain is None:
         return []
-    added, taken = [], sorted((s, e) for s, _, e in known)
+    taken = sorted((s, e) for s, _, e in known)
+    begins, latest = [s for s, _ in taken], list(accumulate((e for _, e in taken), max, initial=-1))
+    added = []
     for start, kind, end in identifiers(plain.text):
         s, e = plain.starts[start], max(plain.ends[start:end])
-        if all(e <= a or s >= b for a, b in taken):
+        # None of the known spans that begin before its end may end after its start.
+        if latest[bisect_left(begins, e)] <= s:
             added.append((s, kind, e))
     return sorted(set(added))
 
 
 def found_in(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``added``, arrays of (kind, start, end) in code points, end
-    exclusive, sorted by start and kind. NULL and empty texts have none. Neither may be a column
-    already."""
-    if {"base", "added"} & set(docs.columns):
-        raise ValueError("base and added must not be columns already")
+    exclusive, sorted by start and kind. NULL and empty texts have none. Columns of these names,
+    other than the text, are replaced."""
+    docs = docs.drop(*({"base", "added"} - {text}))
+    if text in ("base", "added"):
+        raise ValueError("the text must not be called base or added")
     place = docs.columns.index(text)
 
     def named(spans: list[tuple[int, int, int]]) -> list[dict]:

@@ -198,9 +198,10 @@ def fit_on(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> dict
 def scored(docs: DataFrame, model: dict, text: str = "text", column: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text: 0 to 1, higher is likelier toxic. Texts
     without a word, NULL among them, get the share of toxic rows the model has seen.
-    ``column`` must not be a column already."""
-    if column in docs.columns:
-        raise ValueError(f"{column} is a column already")
+    A column called ``column`` is replaced."""
+    if column == text:
+        raise ValueError("the score must not replace the text")
+    docs = docs.drop(column)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from conftest import SMALL
@@ -103,3 +104,18 @@ def test_offsets_survive_random_disguises():
             assert len(out.text) == len(out.starts) == len(out.ends)
             assert all(0 <= s < e <= len(text) for s, e in zip(out.starts, out.ends))
             assert list(out.starts) == sorted(out.starts)
+
+
+def test_many_identifiers_and_one_disguise_take_linear_time():
+    text = " ".join(f"a{i}@mail.example.org" for i in range(20_000)) + " jane [at] site [dot] org"
+    known = pii.identifiers(text)
+    begin = time.process_time()
+    added = pii.disguised(text, known)
+    assert len(known) == 20_000 and len(added) == 1
+    assert time.process_time() - begin < 10
+
+
+def test_columns_called_like_the_spans_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a@b.org", 1, 2)], "doc_id long, text string, base int, added int")
+    (row,) = pii.found_in(docs).collect()
+    assert [tuple(s) for s in row.base] == [("email", 0, 7)] and row.added == []
