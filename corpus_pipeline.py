@@ -7,17 +7,11 @@ shared folder and read again as the next one's ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from servery.llm import contamination, lines, packing, simhash, toxicity
-from servery.llm.common import stored, table
-
-#: Differing bits of near-duplicates. Of two texts that share four fifths of their five-word
-#: shingles, some seven of 64 bits are expected to differ; unrelated ones differ in half.
-NEAR_BITS = 6
-#: A document with repeated runs is a scrap if no more than this share of its bytes, and fewer
-#: than so many words, are left. Text of that many words stays, however little of the whole it is.
-LEAST_NEW = 0.2
-LEAST_WORDS = 50
+from servery.llm.common import stored, table, unused
+
 #: Documents whose worst passage is toxic with at least this probability go.
 TOXIC = 0.3
 
@@ -25,18 +19,19 @@ TOXIC = 0.3
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not toxic."""
     model = toxicity.fit_on(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model, column="_score").where(f"_score < {TOXIC}").drop("_score")
+    score = unused(docs, "score")
+    return toxicity.scored(docs, model, column=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def novel_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without runs of lines that an earlier one has. Those that say next to
-    nothing new go: a few words that are left of a near copy are no text."""
-    return lines.deduplicated(docs, LEAST_NEW, LEAST_WORDS)
+    """The documents without runs of lines that an earlier one has; those of which nothing is
+    left go."""
+    return lines.deduplicated(docs)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.deduplicated(docs, radius=NEAR_BITS, turns=4)
+    """One document of each group of near-duplicates, as operator 4 links them."""
+    return simhash.deduplicated(docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
