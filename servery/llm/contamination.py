@@ -161,7 +161,9 @@ def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Dat
     _, found, _ = matches(docs.select("doc_id", "text"), items.select("item_id", "text"), size)
     # The caller's columns travel as one, so that none can clash.
     keyed = _keyed(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")).select("row", *KEY)
-    return keyed.join(found.select(*KEY).distinct(), list(KEY), "left_anti").select("row.*")
+    # Few documents have a match: while their keys can be sent to all, no text is shuffled.
+    dirty = stored(found.select(*KEY).distinct(), "contaminated")
+    return keyed.join(_small(dirty, dirty.count()), list(KEY), "left_anti").select("row.*")
 
 
 def near_matches(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = SLOP) -> DataFrame:
