@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -33,6 +33,8 @@ from servery.streaming.rejects import RejectCounts, await_counts, counting_rejec
 
 RESTAURANT_TOPIC, ITEM_TOPIC = "restaurant_stats", "menu_item_stats"
 ORDER_REJECTS, ITEM_REJECTS = "orders", "order_items"
+#: How many rows are shown first to find one of a top-k.
+_SHOWN_FIRST = 10
 
 
 def order_events(
@@ -232,8 +234,28 @@ def live_top_k(
     because totals fell or a row is shown no more, or if there is no full previous top-k, all current
     statistics are read. (A row that comes to be shown without a change of its statistics is seen
     when its statistics change or all are read.)
+
+    Of a batch only rows that rank no lower than the previous last row are shown, and of those, as of
+    all statistics, the best few first: a static table meets a few rows, and neither it nor the batch
+    is sent to all tasks. More are shown only if that leaves less than k of them.
     """
     present = shown or (lambda stats: stats)
+    few = k if shown is None else _SHOWN_FIRST * k
+
+    def no_lower(row: Row, schema: StructType) -> Column:
+        """Whether a row ranks no lower than ``row``."""
+        known, at, after = F.col(value), row[value], F.col(key) <= F.lit(row[key])
+        if at is None:
+            return known.isNotNull() | after
+        at = F.lit(at).cast(schema[value].dataType)
+        return (known > at) | ((known == at) & after)
+
+    def best_shown(stats: DataFrame, schema: StructType) -> list[Row]:
+        asked = top_k(stats, value, key, few).collect()
+        best = top_k(present(few_rows(stats.sparkSession, asked, schema)), value, key, k).collect()
+        if len(best) < k and len(asked) == few and shown is not None:
+            best = top_k(present(stats), value, key, k).collect()
+        return best
 
     def rank(row: Row) -> tuple:
         return (row[value] is None, -(row[value] or 0), row[key])
@@ -244,14 +266,13 @@ def live_top_k(
         previous = view_rows(spark, path, schema)
         best: list[Row] = []
         if len(previous) == k and set(batch.columns) <= set(schema.names):
-            known = few_rows(spark, [[row[c] for c in batch.columns] for row in previous], batch.schema)
-            unchanged = known.join(batch.select(key), key, "left_anti").select(*batch.columns)
-            best = top_k(present(unchanged.unionByName(batch)), value, key, k).collect()
-            last = max(map(rank, previous))
-            best = [row for row in best if rank(row) <= last]
+            keys = F.col(key).isin([row[key] for row in previous])
+            moved = {row[key] for row in batch.where(keys).select(key).collect()}
+            known = [[row[c] for c in batch.columns] for row in previous if row[key] not in moved]
+            rising = batch.where(no_lower(max(previous, key=rank), batch.schema))
+            best = best_shown(few_rows(spark, known, batch.schema).unionByName(rising), batch.schema)
         if len(best) < k:
-            stats = read_current(spark, changelog, batch.schema, key)
-            best = top_k(present(stats), value, key, k).collect()
+            best = best_shown(read_current(spark, changelog, batch.schema, key), batch.schema)
         if best != previous:
             publish_view(spark, best, path)
 

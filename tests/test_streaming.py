@@ -411,6 +411,37 @@ def test_live_top_items_follow_the_counts_and_the_menu(session, tmp_path):
     assert checked == [True] * 8
 
 
+def test_a_live_top_shows_the_best_of_a_batch_alone(session, tmp_path):
+    """The menu meets a few rows of a batch of many, unless most of the best are not on it."""
+    items, view, changelog = Topic(tmp_path / "items"), str(tmp_path / "top"), str(tmp_path / "log")
+    for turn in range(3):
+        items.send(*[{"fk_menu_item": i, "item_quantity": i + turn} for i in range(2000)])
+    listed, asked, checked = 2000, [], []
+
+    def shown(stats):
+        asked.append(stats.count())
+        menu = session.range(listed).select(F.col("id").alias("item_id"), F.lit("I").alias("item_name"), F.lit(1.0).alias("price"))
+        return labelled_item_counts(stats, menu, "fk_menu_item").select(LABELLED_ITEM_STATS.names)
+
+    refresh = live_top_k(view, "fk_menu_item", "item_quantity", changelog, k=3, shown=shown)
+
+    def after(batch, batch_id):
+        refresh(batch, batch_id)
+        checked.append([row["fk_menu_item"] for row in read_view(session, view, LABELLED_ITEM_STATS).collect()])
+
+    stats = running_item_counts(items.stream(session))
+    await_all([start_file_changelog(stats, changelog, str(tmp_path / "c"), after_batch=[after], availableNow=True)])
+    assert checked == [[1999, 1998, 1997]] * 3
+    assert max(asked) <= 30
+    # Thousands rank higher but are not on the menu.
+    listed, asked[:] = 500, []
+    for turn in range(2):
+        items.send(*[{"fk_menu_item": i, "item_quantity": 1} for i in range(2000)])
+    stats = running_item_counts(items.stream(session))
+    await_all([start_file_changelog(stats, changelog, str(tmp_path / "c"), after_batch=[after], availableNow=True)])
+    assert checked[3:] == [[499, 498, 497]] * 2
+
+
 def test_the_job_publishes_both_tops(session, topic, tmp_path):
     items = Topic(tmp_path / "items")
     for n in range(3):
