@@ -559,9 +559,13 @@ def extract_json(inputs: Inputs) -> DataFrame:
     return events.select("event_id", F.from_json("value", "k int")["k"].alias("k"))
 
 
-def _user_texts(inputs: Inputs) -> DataFrame:
-    """A user document for each customer."""
-    customer = inputs.table("customer")
+#: Documents that a task takes apart as variants.
+_TASK_DOCUMENTS = 10_000
+
+
+def _user_texts(inputs: Inputs, customer: DataFrame | None = None) -> DataFrame:
+    """A user document for each customer, or for some rows of that table."""
+    customer = inputs.table("customer") if customer is None else customer
     text = F.col
     profile = F.struct(
         F.struct(
@@ -601,7 +605,10 @@ def user_fields_unknown(inputs: Inputs) -> DataFrame:
     value = F.when(key % 5 == 0, more).otherwise(value)
     value = F.when(key % 7 == 0, F.regexp_replace(value, '"street":[{][^}]*[}]', '"street":"Main"')).otherwise(value)
     value = F.when(key % 11 == 0, F.regexp_replace(value, '"username":"[^"]*"', '"username":["x"]')).otherwise(value)
-    texts = _user_texts(inputs).select(key.alias("user_id"), value.alias("text"))
+    customer = inputs.table("customer")
+    # The table is small beside the work on its documents: by its bytes a few tasks would read it all.
+    spread = customer.repartition(max(1, -(-customer.count() // _TASK_DOCUMENTS)))
+    texts = _user_texts(inputs, spread).select(key.alias("user_id"), value.alias("text"))
     return left_behind(texts, USER_DOCUMENT)
 
 

@@ -250,3 +250,14 @@ def test_statistics_join_no_order_of_a_hot_restaurant(spark, no_broadcast, hot):
     result = aggregates.restaurant_stats_from_tables(hot, dimension(spark, "restaurant_id", "restaurant_name"))
     assert "skew=true" not in executed(result)  # one row per restaurant is left to join
     assert ORDERS.names == hot.columns
+
+
+def test_documents_of_a_small_table_are_dealt_to_many_tasks(spark, tmp_path):
+    customer = spark.range(25_000).selectExpr(
+        "id AS c_custkey", "concat('C#', id) AS c_name", "1 AS c_nationkey", "'M' AS c_mktsegment"
+    )
+    customer.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    found = QUERIES["user_fields_unknown"](spark, str(tmp_path)).select(F.spark_partition_id().alias("task"), "user_id")
+    assert found.select("task").distinct().count() == 3
+    marked = {n for n in range(25_000) if n % 5 == 0 or n % 7 == 0 or n % 11 == 0}
+    assert {row["user_id"] for row in found.select("user_id").distinct().collect()} == marked
