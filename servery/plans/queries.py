@@ -97,27 +97,42 @@ def latest_stats(inputs: Inputs) -> DataFrame:
 # --- running statistics ------------------------------------------------------------------
 
 
-#: Messages in a file of a replayed topic, files in a micro-batch, and keys in a part of the state.
+#: Messages in a file of a replayed topic, files in a micro-batch at least, and keys in a part of the state.
 _FILE_MESSAGES, _BATCH_FILES, _STATE_KEYS = 100_000, 2, 500_000
 
 
-def _topic(inputs: Inputs, rows: DataFrame, key: str, folder: str) -> None:
+def _key_count(inputs: Inputs) -> int:
+    return max(inputs.restaurants().count(), inputs.menu_items().count())
+
+
+def _batch_files(keys: int) -> int:
+    """Files of a micro-batch. What a batch costs by the keys there are, a snapshot or a lookup in
+    the menu, is shared by as many messages at least: over all batches it grows with the messages."""
+    return max(_BATCH_FILES, -(-keys // _FILE_MESSAGES))
+
+
+def _state_parts(keys: int) -> int:
+    return max(8, -(-keys // _STATE_KEYS))
+
+
+def _topic(rows: DataFrame, key: str, folder: str, batch_files: int) -> None:
     """Publish rows as a topic of files, which make two micro-batches at least."""
-    files = max(2 * _BATCH_FILES, -(-rows.count() // _FILE_MESSAGES))
+    files = max(2 * batch_files, -(-rows.count() // _FILE_MESSAGES))
     # Dealt out before they are encoded: rows are smaller than their messages.
     publish_to_files(keyed_messages(rows.repartition(files), key), folder)
 
 
 def _replayed_job(inputs: Inputs, snapshot_every: int = 100) -> OrderStatsJob:
-    """The job over both topics. Micro-batches are of a fixed size, so it is their number that
-    grows with the data; the parts of the state grow with the keys."""
+    """The job over both topics. Micro-batches grow with the keys, their number with the messages
+    to a key; the parts of the state grow with the keys."""
     job = OrderStatsJob(scratch_path(inputs.spark, "stream"), snapshot_every=snapshot_every)
-    _topic(inputs, joins.enrich_orders(inputs.orders(), inputs.restaurants()), "order_id", f"{job.root}/orders")
-    _topic(inputs, inputs.order_items(), "fk_order", f"{job.root}/items")
-    keys = max(inputs.restaurants().count(), inputs.menu_items().count())
-    session = streaming_session(inputs.spark, state_partitions=max(8, -(-keys // _STATE_KEYS)))
+    keys = _key_count(inputs)
+    files = _batch_files(keys)
+    _topic(joins.enrich_orders(inputs.orders(), inputs.restaurants()), "order_id", f"{job.root}/orders", files)
+    _topic(inputs.order_items(), "fk_order", f"{job.root}/items", files)
+    session = streaming_session(inputs.spark, state_partitions=_state_parts(keys))
     topics = [
-        topic_stream(session, f"{job.root}/{name}", fmt="text", maxFilesPerTrigger=str(_BATCH_FILES))
+        topic_stream(session, f"{job.root}/{name}", fmt="text", maxFilesPerTrigger=str(files))
         for name in ("orders", "items")
     ]
     await_all(job.start(*topics, quarantine=False, menu=inputs.menu_items, availableNow=True))
@@ -127,10 +142,11 @@ def _replayed_job(inputs: Inputs, snapshot_every: int = 100) -> OrderStatsJob:
 def _replayed(inputs: Inputs, rows: DataFrame, key: str, running, stats_key: str, after=()) -> str:
     """One running statistic over a topic; returns the folder of the run."""
     root = scratch_path(inputs.spark, "stream")
-    _topic(inputs, rows, key, f"{root}/topic")
-    keys = max(inputs.restaurants().count(), inputs.menu_items().count())
-    session = streaming_session(inputs.spark, state_partitions=max(8, -(-keys // _STATE_KEYS)))
-    messages = topic_stream(session, f"{root}/topic", fmt="text", maxFilesPerTrigger=str(_BATCH_FILES))
+    keys = _key_count(inputs)
+    files = _batch_files(keys)
+    _topic(rows, key, f"{root}/topic", files)
+    session = streaming_session(inputs.spark, state_partitions=_state_parts(keys))
+    messages = topic_stream(session, f"{root}/topic", fmt="text", maxFilesPerTrigger=str(files))
     job = start_file_changelog(
         running(messages), f"{root}/changelog", f"{root}/checkpoint", key=stats_key,
         after_batch=[make(f"{root}/top", f"{root}/changelog") for make in after], availableNow=True,

@@ -14,6 +14,8 @@ from servery.operators.joins import labelled_item_counts
 from servery.operators.latest import compact_changelog
 from servery.operators.topk import top_k
 from servery.plans.dashboard import top_items, top_restaurants
+from servery.plans import queries
+from servery.plans.inputs import Inputs
 from servery.plans.queries import QUERIES
 from servery import versions
 from servery.schemas import LABELLED_ITEM_STATS, MENU_ITEM_STATS, MENU_ITEMS, ORDER_EVENT, RESTAURANT_STATS
@@ -479,6 +481,22 @@ def test_rejects_are_counted_in_the_same_read_and_once(session, topic, tmp_path)
     assert as_set(job.restaurant_stats(session)) == {("A", 1.0, 4.0)}
 
 
+def test_batches_grow_with_the_keys_and_their_number_with_the_messages_to_a_key(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "_FILE_MESSAGES", 100)
+    source = "/root/testdata/sf0.001"
+    (tmp_path / "supplier.parquet").symlink_to(f"{source}/supplier.parquet")
+    part = spark.range(1000).selectExpr(
+        "id AS p_partkey", "'P' AS p_name", "'B' AS p_brand", "'T' AS p_type", "1 AS p_size", "1D AS p_retailprice"
+    )
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    items = spark.range(5000).selectExpr("id AS l_orderkey", "id % 1000 AS l_partkey", "2D AS l_quantity")
+    items.write.parquet(str(tmp_path / "lineitem.parquet"))
+    root = queries._replayed_items(Inputs(spark, str(tmp_path)))
+    assert sorted(current_version(spark, f"{root}/changelog")[1]["live"]) == ["0", "1", "2", "3", "4"]
+    counts = read_current(spark, f"{root}/changelog", MENU_ITEM_STATS, "fk_menu_item")
+    assert as_set(counts) == {(i, 10) for i in range(1000)}
+
+
 def test_the_quarantine_query_checks_the_items_of_every_order(spark, tmp_path):
     source = "/root/testdata/sf0.001"
     for name in ("orders", "supplier"):
