@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,9 @@ SHARD_DOCUMENTS = 512
 REMEMBERED = 700_000
 K1, B = 1.2, 0.75
 _SPACE = re.compile("[\\t\\n\\r ]+")
-# Latin-1 texts are taken apart at letters, but for those with these characters in them.
+# Control characters that part words for Python, but not for the tokenizer.
+_NO_SPACE = "\x1c\x1d\x1e\x1f"
+# Words are taken apart at letters, but for those with these characters in them.
 _OTHER = re.compile("['Ā-\U0010ffff\xaa\xb5\xba]|<\\|")
 _WORD = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
 _LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|[^\\t\\n\\r a-z\xdf-\xf6\xf8-\xff]+")
@@ -42,14 +45,28 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Remembered(dict):
+    """What ``learn`` makes of a word, kept once it was asked for."""
+
+    def __init__(self, learn: Callable[[str], bytes]) -> None:
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.learn(word)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class Ids:
     """The ids of texts, as bytes of little-endian numbers of one width: those of a text's
-    pieces, one after another, which are remembered. What is not a plain word is encoded many at a
-    time, as words of one call."""
+    words, one after another, which are remembered. Words of other letters than Latin-1's are
+    encoded many at a time, as words of one call."""
 
     def __init__(self, definition: str, width: str) -> None:
         self.tokenizer, self.width = Tokenizer.from_str(definition), width
-        self.known: dict[str, bytes] = {}
+        self.known = _Remembered(self._learned)
         size = np.dtype(width).itemsize
         self.codes = [i.to_bytes(size, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.end = self.codes[END_ID]
@@ -57,50 +74,72 @@ class Ids:
         steps = self.tokenizer.pre_tokenizer
         self.letters = {ord(c): steps.pre_tokenize_str(c)[0][0] for c in map(chr, range(256)) if _WORD.fullmatch(c)}
 
-    def _learn(self, new: list[str]) -> None:
-        """A word of small Latin-1 letters is one unit to the model as it stands. Anything else
-        takes all the tokenizer's steps."""
-        model, codes, letters = self.tokenizer.model, self.codes, self.letters
-        rest = []
-        for word in new:
-            if _WORD.fullmatch(word):
-                self.known[word] = b"".join([codes[t.id] for t in model.tokenize(word.translate(letters))])
-            else:
-                rest.append(word)
-        self._encode(rest)
-
-    def _encode(self, new: list[str], step: int = 20_000) -> None:
+    def _learned(self, word: str) -> bytes:
+        """A word of small Latin-1 letters is one unit to the model as it stands. In any other
+        Latin-1 word the tokenizer lowers letters and parts them from all else; but for
+        apostrophes, which may begin an ending, and special tokens. The rest takes all the
+        tokenizer's steps."""
+        if _WORD.fullmatch(word):
+            codes = self.codes
+            return b"".join([codes[t.id] for t in self.tokenizer.model.tokenize(word.translate(self.letters))])
+        if not _OTHER.search(word):
+            lowered = word.lower()
+            pieces = _LETTERS.findall(lowered)
+            if len(pieces) > 1 or lowered != word:
+                return b"".join([self.known[piece] for piece in pieces])
+        return self._encoded([word])[0]
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
         size = np.dtype(self.width).itemsize
-        for at in range(0, len(new), step):
-            some = new[at : at + step]
-            encoded = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(encoded.ids, self.width).tobytes()
-            ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(some) + 1)) * size
-            ends = ends.tolist()
-            self.known.update((w, ids[s:e]) for w, s, e in zip(some, ends, ends[1:]))
+        encoded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(encoded.ids, self.width).tobytes()
+        ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(words) + 1)) * size
+        ends = ends.tolist()
+        return [ids[s:e] for s, e in zip(ends, ends[1:])]
+
+    def _learn(self, met: set[str], step: int = 20_000) -> None:
+        """Those of these words that take all the tokenizer's steps."""
+        new = met.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = met
+        rest = [word for word in new if _OTHER.search(word)]
+        for at in range(0, len(rest), step):
+            some = rest[at : at + step]
+            self.known.update(zip(some, self._encoded(some)))
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         """The ids of whole texts, each with the one that ends it."""
-        pieces = [_pieces(text) for text in texts]
+        latin = [_is_latin(text or "") for text in texts]
+        words = [_words(text or "", small) for text, small in zip(texts, latin)]
+        if not all(latin):
+            self._learn(set().union(*[each for each, small in zip(words, latin) if not small]))
         known = self.known
-        met = set().union(*pieces)
-        new = met.difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = met
-        self._learn(list(new))
-        return [b"".join(map(known.__getitem__, each)) + self.end for each in pieces]
+        return [b"".join(map(known.__getitem__, each)) + self.end for each in words]
 
 
-def _pieces(text: str | None) -> list[str]:
-    """Pieces that the tokenizer encodes one by one. In a Latin-1 text it lowers letters and
-    parts them from all else; but for apostrophes, which may begin an ending, and special
-    tokens. Any other text is parted at ASCII space only."""
-    if not text:
-        return []
-    if _OTHER.search(text):
+@lru_cache(maxsize=1)
+def _ids(definition: str, width: str) -> Ids:
+    """Kept by a Python worker from one task to the next, with the words it remembers."""
+    return Ids(definition, width)
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _words(text: str, latin: bool) -> list[str]:
+    """What the tokenizer encodes one by one: it parts texts at white space. Latin-1 texts are
+    lowered at once, which could make special tokens of capitals."""
+    if latin and "<|" not in text:
+        text = text.lower()
+    if any(c in text for c in _NO_SPACE):
         return list(filter(None, _SPACE.split(text)))
-    return _LETTERS.findall(text.lower())
+    return text.split()
 
 
 def _slices(texts: list[str | None], characters: int = 1_000_000) -> Iterator[list[str | None]]:
@@ -125,7 +164,7 @@ def tokenized(docs: DataFrame, tokenizer: str, shards: int) -> DataFrame:
     width = _width(Tokenizer.from_str(shared.value).get_vocab_size())
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = Ids(shared.value, width)
+        ids = _ids(shared.value, width)
         for batch in batches:
             found = [x for run in _slices(batch.iloc[:, 2].tolist()) for x in ids.of(run)]
             yield pd.DataFrame({"doc_id": batch.iloc[:, 0], "shard": batch.iloc[:, 1], "ids": found})
@@ -147,10 +186,13 @@ def document_counts(tokens: DataFrame, width: str, size: int) -> np.ndarray:
     """In how many documents each id occurs. A row for each id of the vocabulary comes back."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(size, np.int64)
+        counts, held = np.zeros(size, np.int64), np.zeros(size, bool)
         for batch in batches:
             for ids in batch["ids"]:
-                counts[np.unique(np.frombuffer(ids, width))] += 1
+                held[np.frombuffer(ids, width)] = True
+                at = np.flatnonzero(held)
+                counts[at] += 1
+                held[at] = False
         (at,) = counts.nonzero()
         yield pd.DataFrame({"id": at, "n": counts[at]})
 
@@ -165,28 +207,38 @@ class Index:
     to their score. Terms that more than half of all documents hold add nothing."""
 
     def __init__(self, documents: list[np.ndarray], inverse: np.ndarray, mean_length: float) -> None:
-        found = [np.unique(ids, return_counts=True) for ids in documents]
-        self.terms = [t[inverse[t] > 0].astype(np.int64) for t, _ in found]
-        sizes = [len(t) for t in self.terms]
-        term = np.concatenate([np.zeros(0, np.int64), *self.terms])
-        tf = np.concatenate([np.zeros(0), *[n[inverse[t] > 0] for t, n in found]])
-        owner = np.repeat(np.arange(len(documents)), sizes)
-        length = np.array([len(ids) for ids in documents])[owner]
-        weight = inverse[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
-        order = np.argsort(term, kind="stable")
-        self.owner, self.weight = owner[order], weight[order]
-        self.known, self.first = np.unique(term[order], return_index=True)
-        self.after = np.append(self.first[1:], len(term))
         self.n = len(documents)
+        lengths = np.array([len(ids) for ids in documents], np.int64)
+        ids = np.concatenate(documents)
+        worth = inverse[ids] > 0
+        # By term, then document: one sort for all of the shard.
+        found = ids[worth].astype(np.int64) * self.n + np.repeat(np.arange(self.n), lengths)[worth]
+        found.sort()
+        first = _first(found)
+        tf = np.diff(first, append=len(found))
+        term, self.owner = np.divmod(found[first], self.n)
+        length = lengths[self.owner]
+        self.weight = inverse[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
+        self.first = _first(term)
+        self.sizes = np.diff(self.first, append=len(term))
+        # The terms of each document, by their place among those of the shard.
+        place = np.repeat(np.arange(len(self.first)), self.sizes)
+        self.places = place[np.argsort(self.owner, kind="stable")]
+        self.ends = np.append(0, np.bincount(self.owner, minlength=self.n).cumsum())
 
     def scores(self, document: int) -> np.ndarray:
         """Of every document of the shard, for the terms of one of them."""
-        at = np.searchsorted(self.known, self.terms[document])
-        first, sizes = self.first[at], self.after[at] - self.first[at]
+        at = self.places[self.ends[document] : self.ends[document + 1]]
+        first, sizes = self.first[at], self.sizes[at]
         rows = np.repeat(first - np.append(0, sizes.cumsum()[:-1])[: len(sizes)], sizes) + np.arange(sizes.sum())
         return np.bincount(self.owner[rows], self.weight[rows], minlength=self.n)
 
 
+def _first(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)])
+
+
 def windows(lengths: list[int], scores, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, window, offset) of each piece. ``scores`` gives, for a seed,
     the scores of all documents; the larger come first, then the earlier."""

@@ -98,3 +98,34 @@ def test_nulls_empty_long_and_repeated_rows(spark):
     twice = packing.packing_digest(docs.where("doc_id = 2").unionByName(docs.where("doc_id = 2"))).collect()
     assert [(r.doc_tokens, r.length) for r in twice] == [(1, 1), (1, 1)]
     assert packing.packing_digest(docs.limit(0)).collect() == []
+
+
+def test_a_worker_learns_a_word_once(monkeypatch):
+    definition = open(PATH, encoding="utf-8").read()
+    learned = Counter()
+    learn = packing.Ids._learned
+    monkeypatch.setattr(packing.Ids, "_learned", lambda self, word: learned.update([word]) or learn(self, word))
+    packing._ids.cache_clear()
+    texts = ["Fish, rock\xa0bird fish.", "rock,\nfish\x85bird\x0b(fish)", "naïve Fish\x1cRock"]
+    for _ in range(2):  # two tasks of one worker
+        assert packing._ids(definition, "<u4").of(texts) == [expected(text).tobytes() for text in texts]
+    assert {"fish", "rock", "bird", "fish,", "rock,"} <= set(learned) and max(learned.values()) == 1
+
+
+def test_only_words_of_other_letters_are_encoded_by_all_steps(monkeypatch):
+    definition = open(PATH, encoding="utf-8").read()
+    ids = packing.Ids(definition, "<u4")
+    encoded = []
+    encode = packing.Ids._encoded
+    monkeypatch.setattr(packing.Ids, "_encoded", lambda self, words: encoded.extend(words) or encode(self, words))
+    text = "Fish rock “bird” don't Tree. <|ENDOFTEXT|> žába 12"
+    assert ids.of([text]) == [expected(text).tobytes()]
+    assert sorted(encoded) == sorted(["“bird”", "don't", ".", "<|ENDOFTEXT|>", "žába", "12"])
+
+
+def test_words_are_forgotten_when_they_are_many(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    ids = packing.Ids(open(PATH, encoding="utf-8").read(), "<u4")
+    texts = ["one two, three four. five's žába два", "два one's two (three) four", "один два три четыре five"]
+    assert ids.of(texts) == [expected(text).tobytes() for text in texts]
+    assert len(ids.known) <= 7
