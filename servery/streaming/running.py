@@ -237,7 +237,8 @@ def live_top_k(
 
     Of a batch only rows that rank no lower than the previous last row are shown, and of those, as of
     all statistics, the best few first: a static table meets a few rows, and neither it nor the batch
-    is sent to all tasks. More are shown only if that leaves less than k of them.
+    is sent to all tasks. More are shown only if that leaves less than k of them, by a join that
+    sorts both sides: neither the table nor the statistics go through the driver.
     """
     present = shown or (lambda stats: stats)
     few = k if shown is None else _SHOWN_FIRST * k
@@ -254,7 +255,8 @@ def live_top_k(
         asked = top_k(stats, value, key, few).collect()
         best = top_k(present(few_rows(stats.sparkSession, asked, schema)), value, key, k).collect()
         if len(best) < k and len(asked) == few and shown is not None:
-            best = top_k(present(stats), value, key, k).collect()
+            # Many rows meet the static table, which a broadcast would take through the driver.
+            best = top_k(present(stats.hint("merge")), value, key, k).collect()
         return best
 
     def rank(row: Row) -> tuple:

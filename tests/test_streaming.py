@@ -444,6 +444,30 @@ def test_a_live_top_shows_the_best_of_a_batch_alone(session, tmp_path):
     assert checked[3:] == [[499, 498, 497]] * 2
 
 
+def test_a_menu_without_the_best_items_is_not_broadcast(session, tmp_path):
+    """Whether there is a top already, none yet, or one that is not full."""
+    view, changelog, plans = str(tmp_path / "top"), str(tmp_path / "log"), []
+    menu = session.range(300).select(F.col("id").alias("item_id"), F.lit("I").alias("item_name"), F.lit(1.0).alias("price"))
+
+    def shown(stats):
+        joined = labelled_by(lambda: menu)(stats)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    refresh = live_top_k(view, "fk_menu_item", "item_quantity", changelog, k=3, shown=shown)
+    write = write_changelog_batch(changelog, key="fk_menu_item")
+    for batch_id in range(3):
+        batch = session.createDataFrame([(i, i + batch_id) for i in range(2000)] + [(None, 9999)], MENU_ITEM_STATS)
+        plans.clear()
+        write(batch, batch_id)
+        refresh(batch, batch_id)
+        assert [tuple(row) for row in read_view(session, view, LABELLED_ITEM_STATS).select("fk_menu_item", "item_quantity").collect()] == [
+            (i, i + batch_id) for i in (299, 298, 297)
+        ]
+        # The few best alone may be sent to the menu, and then all meet it.
+        assert "Broadcast" not in plans[-1] and "SortMergeJoin" in plans[-1]
+
+
 def test_the_job_publishes_both_tops(session, topic, tmp_path):
     items = Topic(tmp_path / "items")
     for n in range(3):
