@@ -27,7 +27,7 @@ WINDOW = 2048
 END_ID = 1
 #: Documents in a shard; a shard is one task's index.
 SHARD_DOCUMENTS = 512
-#: Words whose ids a task remembers at a time.
+#: Words whose ids a Python worker remembers at a time.
 REMEMBERED = 700_000
 K1, B = 1.2, 0.75
 _SPACE = re.compile("[\\t\\n\\r ]+")
